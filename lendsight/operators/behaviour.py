@@ -46,16 +46,43 @@ def _is_late() -> Column:
     return F.col("due_status") != "on_time"
 
 
+# Running quantities that the features below build on.
+
+
+def _position() -> Column:
+    return F.row_number().over(_by_credit())
+
+
+def _balance_cents() -> Column:
+    return F.sum(cents(F.col("net_movement"))).over(_to_date())
+
+
+def _late_streak() -> Column:
+    # Rows since the last one that was not late; a missing status counts as not late.
+    punctual = F.when(F.coalesce(_is_late(), F.lit(False)), F.lit(None)).otherwise(F.col("_position"))
+    return (F.col("_position") - F.coalesce(F.max(punctual).over(_to_date()), F.lit(0))).cast("bigint")
+
+
+def _balances() -> dict[str, Column]:
+    def mean(n: int) -> Column:
+        frame = _last_rows(n)
+        return F.sum("_balance_cents").over(frame).cast("double") / (F.count("_balance_cents").over(frame) * 100)
+
+    return {"balance": F.col("_balance_cents") / 100, **{f"balance_avg_{n}": mean(n) for n in BALANCE_SPANS}}
+
+
+def _overdraft_ratio() -> Column:
+    return F.avg((F.col("overdraft_amount") > 0).cast("double")).over(_last_rows(OVERDRAFT_SPAN))
+
+
+def _incident_frequency() -> Column:
+    # A missing status is no evidence either way: avg() leaves it out.
+    return F.avg((F.col("due_status") == "unpaid").cast("double")).over(_last_rows(INCIDENT_SPAN))
+
+
 def with_late_streak(activity: DataFrame) -> DataFrame:
     """Number of consecutive late or unpaid instalments up to this row; a missing status ends the run."""
-    position = F.row_number().over(_by_credit())
-    punctual = F.when(F.coalesce(_is_late(), F.lit(False)), F.lit(None)).otherwise(F.col("_position"))
-    last_punctual = F.coalesce(F.max(punctual).over(_to_date()), F.lit(0))
-    return (
-        activity.withColumn("_position", position)
-        .withColumn("late_streak", (F.col("_position") - last_punctual).cast("bigint"))
-        .drop("_position")
-    )
+    return activity.withColumn("_position", _position()).withColumn("late_streak", _late_streak()).drop("_position")
 
 
 def with_status_islands(activity: DataFrame) -> DataFrame:
@@ -72,33 +99,30 @@ def with_status_islands(activity: DataFrame) -> DataFrame:
 
 def with_balance_trend(activity: DataFrame) -> DataFrame:
     """Running account balance and its rolling means."""
-    trended = activity.withColumn("_balance_cents", F.sum(cents(F.col("net_movement"))).over(_to_date()))
-    averages = {
-        f"balance_avg_{n}": F.sum("_balance_cents").over(_last_rows(n)).cast("double")
-        / (F.count("_balance_cents").over(_last_rows(n)) * 100)
-        for n in BALANCE_SPANS
-    }
-    return trended.withColumns({"balance": F.col("_balance_cents") / 100, **averages}).drop("_balance_cents")
+    return activity.withColumn("_balance_cents", _balance_cents()).withColumns(_balances()).drop("_balance_cents")
 
 
 def with_overdraft_ratio(activity: DataFrame) -> DataFrame:
     """Share of the last three rows with an overdraft."""
-    used = (F.col("overdraft_amount") > 0).cast("double")
-    return activity.withColumn("overdraft_ratio_3", F.avg(used).over(_last_rows(OVERDRAFT_SPAN)))
+    return activity.withColumn("overdraft_ratio_3", _overdraft_ratio())
 
 
 def with_incident_frequency(activity: DataFrame) -> DataFrame:
     """Share of unpaid instalments among the known statuses of the last six rows."""
-    unpaid = (F.col("due_status") == "unpaid").cast("double")
-    return activity.withColumn("incident_freq_6", F.avg(unpaid).over(_last_rows(INCIDENT_SPAN)))
+    return activity.withColumn("incident_freq_6", _incident_frequency())
 
 
 def features_from_activity(activity: DataFrame) -> DataFrame:
-    enriched = with_late_streak(activity)
-    enriched = with_balance_trend(enriched)
-    enriched = with_overdraft_ratio(enriched)
-    enriched = with_incident_frequency(enriched)
-    return enriched.select(*FEATURE_TABLE)
+    """All features in two window passes over one sort."""
+    running = activity.withColumns(
+        {
+            "_position": _position(),
+            "_balance_cents": _balance_cents(),
+            "overdraft_ratio_3": _overdraft_ratio(),
+            "incident_freq_6": _incident_frequency(),
+        }
+    )
+    return running.withColumns({"late_streak": _late_streak(), **_balances()}).select(*FEATURE_TABLE)
 
 
 def behaviour_features(events: DataFrame, grain: str = "month", order_by: Column | None = None) -> DataFrame:

@@ -36,6 +36,11 @@ def credit_score(state: DataFrame, credit_id) -> DataFrame:
     return score_table(state.filter(F.col("credit_id") == F.lit(credit_id)))
 
 
+def credit_scores(state: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Scores of the credits listed in ``wanted``; unknown ones give no row."""
+    return score_table(state.join(wanted.select("credit_id"), "credit_id", "left_semi"))
+
+
 def watch_list(state: DataFrame, limit: int = WATCH_LIST_SIZE) -> DataFrame:
     """The ``limit`` riskiest credits at or above the medium alert, ties in credit order."""
     return (

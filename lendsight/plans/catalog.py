@@ -102,8 +102,9 @@ def _default_entries(spark, folder):
 # --- portfolio -----------------------------------------------------------------------
 
 
-def _credit_score(spark, folder):
-    return portfolio.credit_score(m.activity_state(spark, folder), 7)
+def _credit_lookup(spark, folder):
+    in_debt = m.table(spark, folder, "customer").filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("credit_id"))
+    return portfolio.credit_scores(m.activity_state(spark, folder), in_debt)
 
 
 def _provision_stress(spark, folder):
@@ -135,8 +136,8 @@ def _hash_split(spark, folder):
 
 
 def _fitted(spark, folder):
-    dataset = materialise(model.with_class_weight(m.activity_training_set(spark, folder)), "training")
-    return model.fit_and_predict(dataset)
+    dataset = materialise(m.activity_training_set(spark, folder), "training")
+    return model.fit_and_predict(model.with_class_weight(dataset))
 
 
 def _model_predictions(spark, folder):
@@ -268,7 +269,7 @@ QUERIES: dict[str, Query] = {
     "default_entries": _default_entries,
     "portfolio_state": m.activity_state,
     "risk_score": _on_state(portfolio.score_table),
-    "credit_score": _credit_score,
+    "credit_lookup": _credit_lookup,
     "at_risk_top": _on_state(portfolio.watch_list),
     "at_risk_display": _on_state(lambda state: portfolio.watch_list_display(portfolio.watch_list(state))),
     "portfolio_overview": _on_state(portfolio.overview),

@@ -24,21 +24,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def activity_events(spark: SparkSession, folder: str) -> DataFrame:
-    raw = F.col("event_type")
-    digit = F.get_json_object("props", "$.k").cast("int") % 10
-    return table(spark, folder, "events").select(
+    """Events in our vocabulary; signups, which no feature uses, are left out at the scan."""
+    raw, digit = F.col("event_type"), F.col("digit")
+    used = table(spark, folder, "events").filter(raw.isin("purchase", "click", "view", "error"))
+    # A column of its own, so that the JSON is parsed once and only for instalments.
+    parsed = F.when(raw == "purchase", F.get_json_object("props", "$.k").cast("int") % 10)
+    return used.withColumn("digit", parsed).select(
         "event_id",
         F.when(raw == "purchase", "instalment")
-        .when(raw.isin("click", "view"), "movement")
         .when(raw == "error", "overdraft")
-        .otherwise("enquiry")
+        .otherwise("movement")
         .alias("kind"),
         F.col("user_id").alias("credit_id"),
         F.to_date("ts").alias("event_date"),
         F.when(raw == "view", -F.col("value")).otherwise(F.col("value")).alias("amount"),
-        F.when(
-            raw == "purchase", F.when(digit < 7, "on_time").when(digit < 9, "late").otherwise("unpaid")
-        ).alias("due_status"),
+        F.when(digit < 7, "on_time").when(digit < 9, "late").when(digit == 9, "unpaid").alias("due_status"),
     )
 
 
@@ -98,17 +98,15 @@ def activity_panel(features: DataFrame, credits: DataFrame) -> DataFrame:
     )
 
 
-def stored_activity(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Feature table, stored since state and labels read it more than once, and the panel on it."""
-    features = materialise(activity_features(spark, folder), "features")
-    return features, activity_panel(features, activity_credits(spark, folder))
+def stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Feature table, stored since the panel, the state and the labels all read it."""
+    return materialise(activity_features(spark, folder), "features")
 
 
 def activity_state(spark: SparkSession, folder: str) -> DataFrame:
-    features, panel = stored_activity(spark, folder)
-    return state.portfolio_state(
-        panel, features, activity_credits(spark, folder), clients(spark, folder), panel_order="period"
-    )
+    features, credits = stored_features(spark, folder), activity_credits(spark, folder)
+    panel = activity_panel(features, credits)
+    return state.portfolio_state(panel, features, credits, clients(spark, folder), panel_order="period")
 
 
 def activity_labels(panel: DataFrame) -> DataFrame:
@@ -116,7 +114,8 @@ def activity_labels(panel: DataFrame) -> DataFrame:
 
 
 def activity_training_set(spark: SparkSession, folder: str) -> DataFrame:
-    features, panel = stored_activity(spark, folder)
+    features = stored_features(spark, folder)
+    panel = activity_panel(features, activity_credits(spark, folder))
     return model.training_set(features, activity_labels(panel), grain=GRAIN)
 
 
@@ -166,7 +165,7 @@ def country_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_events(spark: SparkSession, folder: str) -> DataFrame:
     return panels.instalment_events(
-        order_panel(spark, folder), order_credits(spark, folder), clients(spark, folder), country_codes(spark, folder)
+        order_panel(spark, folder, cluster=True), order_credits(spark, folder), clients(spark, folder), country_codes(spark, folder)
     )
 
 

@@ -314,7 +314,8 @@ FROM monthly_ahead WHERE stage <> 3 AND seen = 6""",
 SELECT credit_id, month_index, previous_stage, stage FROM monthly_ahead WHERE stage = 3 AND previous_stage <> 3""",
     "portfolio_state": _daily(_STATE) + " SELECT * FROM state",
     "risk_score": _daily(_STATE) + "\n" + _SCORE_COLUMNS,
-    "credit_score": _daily(_STATE) + f"\n{_SCORE_COLUMNS} WHERE credit_id = 7",
+    "credit_lookup": _daily(_STATE)
+    + f"\n{_SCORE_COLUMNS} WHERE credit_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
     "at_risk_top": _daily(_STATE) + _WATCH_LIST,
     "at_risk_display": _daily(_STATE) + f"""
 SELECT credit_id AS "Crédit", country AS "Pays", credit_type AS "Type", score AS "Score", alert_level AS "Alerte",

@@ -113,6 +113,19 @@ COUNTRIES = [
     ("Togo", "TG", 29.757),
 ]
 
+# Names of the tables below a portfolio folder.
+LAYOUT = {
+    "clients": "clients.csv",
+    "credits": "credits.csv",
+    "panel": "panel_mensuel.csv",
+    "labels": "labels.csv",
+    "features": "features",
+    "summary": "analyse_risque_pays",
+    "predictions": "predictions_test",
+    "metrics": "metriques_modele",
+    "model": "model",
+}
+
 # Interchange schemas, in the column order of the files.
 EVENTS = T.StructType(
     [
