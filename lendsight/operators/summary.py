@@ -60,10 +60,21 @@ def stage_share(panel: DataFrame, date: str = "statement_date") -> DataFrame:
 
 
 def label_correlation(training: DataFrame, label: str, features: list[str] = CORRELATED) -> DataFrame:
-    """Pearson correlation of each feature with the label, over the rows where both are known, lowest first."""
-    as_double = [F.corr(F.col(f).cast("double"), F.col(label).cast("double")).alias(f) for f in features]
+    """Pearson correlation of each feature with the label, over the rows where both are known, lowest first.
+
+    NULL for a feature or label that never varies; one pass for all features.
+    """
+    sums = []
+    for name in features:
+        both = F.col(name).isNotNull() & F.col(label).isNotNull()
+        x, y = F.when(both, F.col(name).cast("double")), F.when(both, F.col(label).cast("double"))
+        sums.append(F.struct(F.covar_pop(x, y).alias("cov"), (F.stddev_pop(x) * F.stddev_pop(y)).alias("spread")).alias(name))
+    correlations = [F.when(F.col(n)["spread"] > 0, F.col(n)["cov"] / F.col(n)["spread"]).alias(n) for n in features]
     return (
-        training.agg(*as_double).unpivot([], features, "feature", "correlation").orderBy("correlation", "feature")
+        training.agg(*sums)
+        .select(*correlations)
+        .unpivot([], features, "feature", "correlation")
+        .orderBy(F.asc_nulls_last("correlation"), "feature")
     )
 
 
