@@ -42,7 +42,7 @@ def period_activity(events: DataFrame, grain: str = "month", order_by: Column |
     A period counts only if it holds an instalment. All aggregation buffers are
     fixed-width, so partial sums run in hash maps on the map side and a credit
     with very many events reaches the shuffle as one row per period and task.
-    ``order_by`` is a BIGINT that says which instalment of a period is first.
+    ``order_by`` is a BIGINT below 2**60 that says which instalment of a period is first.
     """
     kind, amount = F.col("kind"), cents(F.col("amount"))
     order = _arrival_order() if order_by is None else order_by

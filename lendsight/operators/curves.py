@@ -44,7 +44,7 @@ def classification_metrics(predictions: DataFrame, label: str, prediction: str =
 
 
 def threshold_table(scored: DataFrame, score: str, label: str, decimals: int | None = SCORE_DECIMALS) -> DataFrame:
-    """True and false positives at every score taken as threshold, highest first.
+    """Positives and negatives at every score, and true and false positives when it is the threshold.
 
     Scores lie in 0..1. Rounded to four decimals they have at most 10 001
     values, which are then summed in one task. With ``decimals=None`` every
@@ -54,14 +54,12 @@ def threshold_table(scored: DataFrame, score: str, label: str, decimals: int | N
     counts = (
         scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(value.alias("threshold"))
-        .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
+        .agg(F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) != 1).alias("negatives"))
     )
     if decimals is None or decimals > SCORE_DECIMALS:
-        return running_totals(counts, "threshold", {"tp": "_pos", "fp": "_neg"}, descending=True).select(
-            "threshold", "tp", "fp"
-        )
+        return running_totals(counts, "threshold", {"tp": "positives", "fp": "negatives"}, descending=True)
     upto = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.select("threshold", F.sum("_pos").over(upto).alias("tp"), F.sum("_neg").over(upto).alias("fp"))
+    return counts.withColumns({"tp": F.sum("positives").over(upto), "fp": F.sum("negatives").over(upto)})
 
 
 def _origin(df: DataFrame, **values: float) -> DataFrame:
@@ -73,10 +71,10 @@ def _origin(df: DataFrame, **values: float) -> DataFrame:
 def roc_points(table: DataFrame, drop_collinear: bool = False) -> DataFrame:
     """False and true positive rates per threshold, from the origin (threshold NULL) on.
 
-    ``drop_collinear`` leaves out points on the straight line between their neighbours.
+    ``drop_collinear`` leaves out points on the straight line between their
+    neighbours; that looks at the table in one task and is for rounded tables.
     """
     if drop_collinear:
-        # Works on the rounded table only, whose size is bounded.
         down = Window.orderBy(F.desc("threshold"))
         bends = F.lit(False)
         for c in ("tp", "fp"):
@@ -104,22 +102,21 @@ def pr_points(table: DataFrame) -> DataFrame:
 
 
 def area_under_curves(table: DataFrame) -> DataFrame:
-    """Trapezoid areas under the ROC and the precision-recall curve, over the rounded table.
+    """Trapezoid areas under the ROC and the precision-recall curve, rounded table or not.
 
-    The precision-recall curve starts at recall 0 with the precision of the highest threshold.
+    The counts at a threshold tell where the strip to its left begins, so this
+    is a plain aggregate. The precision-recall curve starts at recall 0 with
+    the precision of the highest threshold.
     """
-    down = Window.orderBy(F.desc("threshold"))
-    tp, fp = F.col("tp"), F.col("fp")
-    before_tp, before_fp = F.lag(tp, 1, 0).over(down), F.lag(fp, 1, 0).over(down)
+    tp, fp, positives, negatives = (F.col(c) for c in ("tp", "fp", "positives", "negatives"))
+    before_tp, before_fp = tp - positives, fp - negatives
     precision = tp / (tp + fp)
-    strips = table.select(
-        tp,
-        fp,
-        ((fp - before_fp) * (tp + before_tp)).cast("double").alias("roc"),
-        ((tp - before_tp) * (precision + F.coalesce(F.lag(precision).over(down), precision))).alias("pr"),
-    )
-    summed = strips.agg(
-        F.sum("roc").alias("roc"), F.sum("pr").alias("pr"), F.max("tp").alias("tp"), F.max("fp").alias("fp")
+    before = F.when(before_tp + before_fp > 0, before_tp / (before_tp + before_fp)).otherwise(precision)
+    summed = table.agg(
+        F.sum(negatives.cast("double") * (tp + before_tp)).alias("roc"),
+        F.sum(positives * (precision + before)).alias("pr"),
+        F.max("tp").alias("tp"),
+        F.max("fp").alias("fp"),
     )
     return summed.select(
         F.when((tp > 0) & (fp > 0), F.col("roc") / (2.0 * tp * fp)).alias("auc_roc"),

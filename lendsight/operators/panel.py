@@ -55,9 +55,15 @@ def credit_panel(
 
     ``dpd`` is an expression over the credit and ``month_index``, or a table
     (credit_id, month_index, dpd). ``cluster`` shuffles the credits before the
-    expansion, so that later windows per credit need no shuffle of the wider table.
+    expansion, so that later windows and joins per credit need no shuffle of the
+    many panel rows.
     """
-    months = active_months(credits.repartition("credit_id") if cluster else credits, horizon)
+    if cluster:
+        # A fixed number of partitions: adaptive execution sizes them by the
+        # credits it shuffles and would merge what the expansion then multiplies.
+        partitions = int(credits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        credits = credits.repartition(partitions, "credit_id")
+    months = active_months(credits, horizon)
     if isinstance(dpd, DataFrame):
         months = months.join(dpd.select("credit_id", "month_index", "dpd"), ["credit_id", "month_index"])
     else:
@@ -74,30 +80,26 @@ def credit_panel(
     )
 
 
-def enriched_panel(panel: DataFrame, credits: DataFrame, clients: DataFrame) -> DataFrame:
-    """Panel rows with the credit's terms and the client's country.
+def enriched_panel(panel: DataFrame, credits: DataFrame, clients: DataFrame, countries: DataFrame) -> DataFrame:
+    """Panel rows with the credit's terms and the client's country and country code.
 
-    Credits meet clients first: that join moves one row per credit instead of
-    one per credit and month, and the panel is then joined on a key that
-    repeats at most once a month.
+    Countries meet clients and clients meet credits before the panel is joined:
+    the keys that few values share (country, client) are then joined at one row
+    per client or credit, and the panel only on the credit, which repeats at
+    most once a month. A country that ``countries`` does not list has a NULL code.
     """
-    terms = credits.select("credit_id", "client_id", "principal", "term_months").join(
-        clients.select("client_id", "country"), "client_id"
-    )
+    located = clients.select("client_id", "country").join(countries.select("country", "country_code"), "country", "left")
+    terms = credits.select("credit_id", "client_id", "principal", "term_months").join(located, "client_id")
     return panel.join(terms.drop("client_id"), "credit_id")
 
 
 def instalment_events(panel: DataFrame, credits: DataFrame, clients: DataFrame, countries: DataFrame) -> DataFrame:
-    """Instalment event of every panel row, plus an overdraft event where the panel shows one.
-
-    ``countries`` gives (country, country_code); a country it does not list has a NULL code.
-    """
+    """Instalment event of every panel row, plus an overdraft event where the panel shows one."""
     both = F.array(F.lit("instalment"), F.lit("overdraft"))
     one = F.array(F.lit("instalment"))
     due = F.col("kind") == "instalment"
     return (
-        enriched_panel(panel, credits, clients)
-        .join(countries.select("country", "country_code"), "country", "left")
+        enriched_panel(panel, credits, clients, countries)
         .withColumn("kind", F.explode(F.when(F.col("overdraft_amount") > 0, both).otherwise(one)))
         .select(
             stable_id("EVT", F.col("credit_id"), F.col("month_index"), F.col("kind")).alias("event_id"),

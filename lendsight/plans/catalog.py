@@ -227,6 +227,19 @@ def _rate_clip(spark, folder):
 # --- files ---------------------------------------------------------------------------
 
 
+def _roundtrip_summary(spark, folder):
+    path = scratch_path(spark, "summary")
+    features = behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id"))
+    sinks.write_summary(summary.risk_by_country_period(features, m.accounts(spark, folder), m.clients(spark, folder)), path)
+    return tables.read_summary(spark, path).withColumn("period", period_label(F.col("period"), "month"))
+
+
+def _roundtrip_labels(spark, folder):
+    path = scratch_path(spark, "labels")
+    sinks.write_labels(labels.default_labels(m.order_panel(spark, folder, cluster=True)), path)
+    return _day(tables.read_labels(spark, path), "statement_date")
+
+
 def _roundtrip_jsonl(spark, folder):
     path = scratch_path(spark, "events")
     sinks.write_events(m.order_events(spark, folder).na.fill({"country_code": "none"}), path)
@@ -298,5 +311,7 @@ QUERIES: dict[str, Query] = {
     "model_metrics": _model_metrics,
     "roundtrip_jsonl": _roundtrip_jsonl,
     "roundtrip_csv": _roundtrip_csv,
+    "roundtrip_labels": _roundtrip_labels,
+    "roundtrip_summary": _roundtrip_summary,
     "roundtrip_parquet": _roundtrip_parquet,
 }

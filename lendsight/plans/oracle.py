@@ -422,5 +422,10 @@ SELECT event_id, kind, credit_id::VARCHAR AS credit_id, client_id::VARCHAR AS cl
     "roundtrip_csv": "WITH" + _MONTHS + """
 SELECT credit_id::VARCHAR AS credit_id, client_id::VARCHAR AS client_id, month_index, dpd, stage, outstanding, overdraft_amount,
        strftime(stated, '%Y-%m-%d') AS statement_date FROM monthly""",
+    "roundtrip_labels": "WITH" + _MONTHLY_LABELS + """
+SELECT credit_id::VARCHAR AS credit_id, client_id::VARCHAR AS client_id, month_index,
+       strftime(stated, '%Y-%m-%d') AS statement_date, stage, default_within_3
+FROM monthly_ahead WHERE stage <> 3""",
+    "roundtrip_summary": _by_month(_FEATURES) + _RISK_SUMMARY,
     "roundtrip_parquet": _by_month(_FEATURES) + _FEATURE_COLUMNS.replace("credit_id", "credit_id::VARCHAR AS credit_id"),
 }

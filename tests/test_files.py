@@ -79,6 +79,31 @@ def test_events_survive_a_round_trip(spark, event_folder, tmp_path):
     assert any(r["statut"] is None for r in raw)
 
 
+def test_a_hot_folder_is_split_over_files(spark, tmp_path):
+    """A third of all events in one folder: no single task writes them."""
+    hot = F.col("id") % 3 == 0
+    events = spark.range(0, 60000, 1, 8).select(
+        F.concat(F.lit("E"), F.col("id")).alias("event_id"),
+        F.lit("movement").alias("kind"),
+        F.concat(F.lit("C"), F.col("id") % 500).alias("credit_id"),
+        F.lit("X").alias("client_id"),
+        F.lit(datetime.date(2022, 1, 1)).alias("event_date"),
+        F.col("id").cast("double").alias("amount"),
+        F.lit(None).cast("string").alias("due_status"),
+        F.when(hot, "TG").otherwise(F.concat(F.lit("X"), F.col("id") % 40)).alias("country_code"),
+        F.lit(2022).alias("year"),
+        F.lit(1).alias("month"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        sinks.write_events(events, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    parts = lambda folder: len([f for f in os.listdir(tmp_path / f"out/pays_code={folder}/annee=2022/mois=01") if f.startswith("part")])
+    assert parts("TG") > 1
+    assert tables.read_events(spark, str(tmp_path / "out")).count() == 60000
+
+
 def test_wrong_header_is_an_error(spark, tmp_path):
     (tmp_path / "clients.csv").write_text("client_id,type_client,pays\nX,Y,Z\n")
     with pytest.raises(Exception):
@@ -203,5 +228,5 @@ def test_report_job(spark, root, built, tmp_path):
 
 def test_a_client_with_a_third_of_the_credits(spark, root):
     given = tables.read_tables(spark, root, ["panel", "credits", "clients"])
-    joined = panel.enriched_panel(given["panel"], given["credits"], given["clients"])
+    joined = panel.enriched_panel(given["panel"], given["credits"], given["clients"], tables.country_dimension(spark))
     assert joined.count() == 240 * MONTHS

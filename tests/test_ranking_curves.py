@@ -110,9 +110,11 @@ def test_dropping_collinear_points_keeps_the_area(scored):
     assert thin.count() <= full.count() and area(thin) == pytest.approx(area(full), abs=1e-12)
 
 
-def test_areas_equal_the_library_evaluator(scored):
-    areas = curves.area_under_curves(curves.threshold_table(scored, "score", "label")).first()
-    rounded = scored.select(F.bround("score", 4).alias("score"), F.col("label").cast("double").alias("label"))
+@pytest.mark.parametrize("decimals", [2, 4, None])
+def test_areas_equal_the_library_evaluator(scored, decimals):
+    areas = curves.area_under_curves(curves.threshold_table(scored, "score", "label", decimals)).first()
+    score = F.col("score") if decimals is None else F.bround("score", decimals)
+    rounded = scored.select(score.alias("score"), F.col("label").cast("double").alias("label"))
     judge = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0)
     assert areas.auc_roc == pytest.approx(judge.evaluate(rounded, {judge.metricName: "areaUnderROC"}), abs=1e-12)
     assert areas.auc_pr == pytest.approx(judge.evaluate(rounded, {judge.metricName: "areaUnderPR"}), abs=1e-12)
