@@ -1,4 +1,6 @@
-"""Median seconds per registered query; prints one JSON line.
+"""Median seconds and shuffles per registered query; prints one JSON line.
+
+The shuffles are those of the returned plan; what a query stores before is timed but not counted.
 
 BENCH_SF_DIR  folder of the tables       (default /root/testdata/sf0.1)
 BENCH_CPUS    local threads              (default 4)
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import statistics
 import sys
 import time
@@ -37,14 +40,17 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    seconds = {}
+    seconds, shuffles = {}, {}
     for name in names:
         timed = []
         while len(timed) < 2 or (len(timed) <= runs and sum(timed) < 10):
             start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            df = QUERIES[name](spark, folder)
+            df.write.format("noop").mode("overwrite").save()
             timed.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(timed[1:]), 4)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        shuffles[name] = len(re.findall(r"\bExchange (?:hash|range|Single)", plan))
         print(f"{name:32s} {seconds[name]:8.3f}  (first {timed[0]:.3f})", file=sys.stderr)
     spark.stop()
 
@@ -53,6 +59,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "shuffles": shuffles,
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(result))

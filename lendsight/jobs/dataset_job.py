@@ -1,8 +1,8 @@
 """spark-submit job: panel, labels and events derived from one another.
 
-    spark-submit lendsight/jobs/dataset_job.py panel  --root <folder> --dpd <csv: credit_id, mois_relatif, dpd_jours>
-    spark-submit lendsight/jobs/dataset_job.py labels --root <folder>
-    spark-submit lendsight/jobs/dataset_job.py events --root <folder> --output <folder>
+    python -m lendsight.jobs.dataset_job panel  --root <folder> --dpd <csv: credit_id, mois_relatif, dpd_jours>
+    python -m lendsight.jobs.dataset_job labels --root <folder>
+    python -m lendsight.jobs.dataset_job events --root <folder> --output <folder>
 """
 
 from __future__ import annotations
@@ -33,12 +33,14 @@ def write_panel(spark: SparkSession, root: str, dpd_path: str, thirty_day_steps:
     return sinks.write_panel(built, f"{root}/{schemas.LAYOUT['panel']}")
 
 
-def write_labels(spark: SparkSession, root: str, drop_censored: bool = False) -> dict:
+def write_labels(
+    spark: SparkSession, root: str, drop_censored: bool = False, horizon: int = labels.LABEL_HORIZON
+) -> dict:
     """Labels of the panel; returns their number and the share of positive ones."""
     given = tables.read_tables(spark, root, ["panel"])["panel"]
     path = f"{root}/{schemas.LAYOUT['labels']}"
-    rows = sinks.write_labels(labels.default_labels(given, drop_censored=drop_censored), path)
-    prevalence = tables.read_labels(spark, path).agg(F.avg("default_within_3")).first()[0]
+    rows = sinks.write_labels(labels.default_labels(given, horizon, drop_censored=drop_censored), path, horizon=horizon)
+    prevalence = tables.read_labels(spark, path, horizon).agg(F.avg(f"default_within_{horizon}")).first()[0]
     return {"rows": rows, "prevalence": prevalence}
 
 
@@ -57,6 +59,7 @@ def main() -> None:
     steps.choices["panel"].add_argument("--dpd", required=True)
     steps.choices["panel"].add_argument("--thirty-day-steps", action="store_true")
     steps.choices["labels"].add_argument("--drop-censored", action="store_true")
+    steps.choices["labels"].add_argument("--horizon", type=int, default=labels.LABEL_HORIZON, help="months ahead")
     steps.choices["events"].add_argument("--output", required=True)
     args = parser.parse_args()
     spark = get_session("lendsight-dataset")
@@ -64,7 +67,7 @@ def main() -> None:
         if args.step == "panel":
             print("panel rows:", write_panel(spark, args.root, args.dpd, args.thirty_day_steps))
         elif args.step == "labels":
-            print(write_labels(spark, args.root, args.drop_censored))
+            print(write_labels(spark, args.root, args.drop_censored, args.horizon))
         else:
             print("event files:", write_events(spark, args.root, args.output))
     finally:

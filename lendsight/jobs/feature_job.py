@@ -1,6 +1,6 @@
 """spark-submit job: raw events to the feature table.
 
-    spark-submit lendsight/jobs/feature_job.py --input <events> --output <features>
+    python -m lendsight.jobs.feature_job --input <events> --output <features>
 """
 
 from __future__ import annotations

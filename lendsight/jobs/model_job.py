@@ -1,6 +1,6 @@
 """spark-submit job: risk summary, training set, model, test predictions and metrics.
 
-    spark-submit lendsight/jobs/model_job.py --root <folder>
+    python -m lendsight.jobs.model_job --root <folder>
 
 Reads ``features`` below the root and labels, credits and clients below ``--tables``.
 """

@@ -1,23 +1,42 @@
 """spark-submit job: state of the portfolio and the answers read from it.
 
-    spark-submit lendsight/jobs/portfolio_job.py --root <folder> --output <folder>
+    python -m lendsight.jobs.portfolio_job --root <folder> --output <folder>
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lendsight.operators import portfolio
 from lendsight.operators.state import portfolio_state
+from lendsight.operators.summary import duplicate_keys
 from lendsight.session import get_session
 from lendsight.sources import tables
 
 
-def run(spark: SparkSession, root: str, output: str, part: float = 0.1, limit: int = portfolio.WATCH_LIST_SIZE) -> None:
+def check_keys(given: dict[str, DataFrame]) -> None:
+    """Fail on two rows for one credit and month, or two credits or clients with one id."""
+    keys = {"panel": ["credit_id", "month_index"], "features": ["credit_id", "period"], "credits": ["credit_id"], "clients": ["client_id"]}
+    for name, columns in keys.items():
+        example = duplicate_keys(given[name], *columns).first()
+        if example:
+            raise ValueError(f"{name}: more than one row for {example.asDict()}")
+
+
+def run(
+    spark: SparkSession,
+    root: str,
+    output: str,
+    part: float = 0.1,
+    limit: int = portfolio.WATCH_LIST_SIZE,
+    checked: bool = False,
+) -> None:
     """Write the scored state once, then answer every question from that table."""
     given = tables.read_tables(spark, root)
+    if checked:
+        check_keys(given)
     state = portfolio_state(given["panel"], given["features"], given["credits"], given["clients"])
     scored = portfolio.with_score(state)
     scored.write.mode("overwrite").parquet(f"{output}/state")
@@ -40,11 +59,12 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder of clients, credits, panel and features")
     parser.add_argument("--output", required=True)
     parser.add_argument("--part", type=float, default=0.1, help="share of credits downgraded in the stress")
+    parser.add_argument("--check-keys", action="store_true", help="fail on duplicate keys before anything is written")
     parser.add_argument("--limit", type=int, default=portfolio.WATCH_LIST_SIZE, help="length of the watch list")
     args = parser.parse_args()
     spark = get_session("lendsight-portfolio")
     try:
-        run(spark, args.root, args.output, args.part, args.limit)
+        run(spark, args.root, args.output, args.part, args.limit, args.check_keys)
     finally:
         spark.stop()
 

@@ -1,6 +1,6 @@
 """spark-submit job: the tables behind the descriptive report.
 
-    spark-submit lendsight/jobs/report_job.py --root <folder> --output <folder>
+    python -m lendsight.jobs.report_job --root <folder> --output <folder>
 """
 
 from __future__ import annotations

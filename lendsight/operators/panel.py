@@ -65,7 +65,9 @@ def credit_panel(
         credits = credits.repartition(partitions, "credit_id")
     months = active_months(credits, horizon)
     if isinstance(dpd, DataFrame):
-        months = months.join(dpd.select("credit_id", "month_index", "dpd"), ["credit_id", "month_index"])
+        # Spark takes the expanded months for as small as the credits and might
+        # broadcast them; a merge join never does.
+        months = months.hint("merge").join(dpd.select("credit_id", "month_index", "dpd"), ["credit_id", "month_index"])
     else:
         months = months.withColumn("dpd", dpd.cast("int"))
     months = months.withColumn("stage", rules.stage_from_dpd(F.col("dpd"))).withColumn(

@@ -107,3 +107,8 @@ def ever_default_rate(panel: DataFrame) -> DataFrame:
 def event_partitions(events: DataFrame) -> DataFrame:
     """Events in each country, year and month partition."""
     return events.groupBy("country_code", "year", "month").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once, which the windows and joins on them take for granted not to exist."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -150,9 +150,6 @@ PANEL = (
     "credit_id string, client_id string, mois_relatif int, dpd_jours int, stage_ifrs9 int, "
     "solde_restant_du_fcfa double, depassement_decouvert_fcfa double, date_releve date"
 )
-LABELS = (
-    "credit_id string, client_id string, mois_relatif int, date_releve date, stage_ifrs9 int, bascule_defaut_3m int"
-)
 FEATURES = (
     "credit_id string, annee_mois string, statut_echeance string, retards_consecutifs bigint, "
     "solde_compte_fcfa double, solde_moyen_3m_fcfa double, solde_moyen_6m_fcfa double, "
@@ -166,3 +163,16 @@ PREDICTIONS = (
     "credit_id string, annee_mois string, bascule_defaut_3m int, proba_positif double, prediction double"
 )
 METRICS = ", ".join(f"{name} double" for name in METRIC_COLUMNS)
+
+
+def label_columns(horizon: int = 3) -> dict[str, str]:
+    """Label columns for another horizon than three months."""
+    keys = {theirs: ours for theirs, ours in LABEL_COLUMNS.items() if ours != "default_within_3"}
+    return {**keys, f"bascule_defaut_{horizon}m": f"default_within_{horizon}"}
+
+
+def label_schema(horizon: int = 3) -> str:
+    return (
+        "credit_id string, client_id string, mois_relatif int, date_releve date, stage_ifrs9 int, "
+        f"bascule_defaut_{horizon}m int"
+    )

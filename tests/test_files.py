@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lendsight import schemas
 from lendsight.jobs import dataset_job, feature_job, model_job, portfolio_job, report_job
 from lendsight.operators import behaviour, labels, panel
+from lendsight.operators.state import credit_attributes
 from lendsight.session import scratch_root
 from lendsight.sources import sinks, tables
 
@@ -213,6 +214,31 @@ def test_portfolio_job(spark, root, built, tmp_path):
     assert by_country.agg(F.sum("ecl")).first()[0] == overview.total_ecl
 
 
+def test_portfolio_job_can_check_keys(spark, root, built, tmp_path):
+    portfolio_job.run(spark, root, str(tmp_path / "answers"), checked=True)
+    given = tables.read_tables(spark, root)
+    given["panel"] = given["panel"].unionByName(given["panel"].limit(1))
+    with pytest.raises(ValueError, match="panel: more than one row"):
+        portfolio_job.check_keys(given)
+
+
+def test_labels_for_another_horizon(spark, root, tmp_path):
+    panel_table = tables.read_panel(spark, f"{root}/panel_mensuel.csv")
+    labelled = labels.default_labels(panel_table, horizon=6)
+    assert sinks.write_labels(labelled, str(tmp_path / "labels"), horizon=6) == labelled.count()
+    again = tables.read_labels(spark, str(tmp_path / "labels"), horizon=6)
+    assert again.columns == labelled.columns and sorted(again.collect()) == sorted(labelled.collect())
+
+
+def test_feature_files_with_narrow_streaks(spark, tmp_path):
+    """Streaks stored as INT, as row numbers are, can be read too."""
+    schema = schemas.FEATURES.replace("retards_consecutifs bigint", "retards_consecutifs int")
+    row = ("A", "2022-03", "impaye", 4, 1.0, 2.0, 3.0, 4.0, 0.5, 0.25)
+    spark.createDataFrame([row], schema).write.partitionBy("annee_mois").parquet(str(tmp_path / "features"))
+    got = tables.read_features(spark, str(tmp_path / "features")).first()
+    assert (got.period, got.due_status, got.late_streak) == (datetime.date(2022, 3, 1), "unpaid", 4)
+
+
 def test_report_job(spark, root, built, tmp_path):
     out = str(tmp_path / "report")
     report_job.run(spark, root, out)
@@ -230,3 +256,28 @@ def test_a_client_with_a_third_of_the_credits(spark, root):
     given = tables.read_tables(spark, root, ["panel", "credits", "clients"])
     joined = panel.enriched_panel(given["panel"], given["credits"], given["clients"], tables.country_dimension(spark))
     assert joined.count() == 240 * MONTHS
+
+
+def test_a_hot_client_is_split_by_adaptive_execution(spark):
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50000)
+    credits = spark.range(0, 600000, 1, 12).select(
+        F.concat(F.lit("C"), F.col("id")).alias("credit_id"), hot.alias("client_id"), F.lit("Habitat").alias("credit_type")
+    )
+    clients = spark.range(50000).select(F.col("id").alias("client_id"), F.lit("Togo").alias("country"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = credit_attributes(credits, clients).select(F.max("credit_id"), F.count(F.lit(1)).alias("n"))
+        assert joined.first().n == 600000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
