@@ -9,9 +9,13 @@ FEATURE_STATE = ["late_streak", "balance_avg_3", "balance_avg_12", "overdraft_ra
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key, by aggregation: no window, and rows of one key fold map-side."""
-    newest = F.max(F.struct(order, *columns)).alias("newest")
-    return df.groupBy(key).agg(newest).select(key, *[F.col("newest")[c].alias(c) for c in columns])
+    """The row with the greatest ``order`` per key, by aggregation: no window and no sort.
+
+    Numbers and dates aggregate in hash maps, and the rows of a key fold on the
+    map side. All columns follow the same order, so they come from one row; of
+    rows that share the greatest ``order`` it is any one.
+    """
+    return df.groupBy(key).agg(*[F.max_by(c, order).alias(c) for c in columns])
 
 
 def credit_attributes(credits: DataFrame, clients: DataFrame) -> DataFrame:

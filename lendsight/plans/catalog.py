@@ -280,6 +280,7 @@ QUERIES: dict[str, Query] = {
     "default_labels": _default_labels,
     "default_labels_uncensored": _default_labels_uncensored,
     "default_entries": _default_entries,
+    "latest_panel": m.latest_order_state,
     "portfolio_state": m.activity_state,
     "risk_score": _on_state(portfolio.score_table),
     "credit_lookup": _credit_lookup,

@@ -62,29 +62,39 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def activity_credits(spark: SparkSession, folder: str) -> DataFrame:
-    """One credit per customer with orders, with the terms of the first order."""
-    first = F.min(F.struct("o_orderkey", "o_totalprice", "o_orderpriority")).alias("first")
-    user = F.col("o_custkey")
+    """One credit per customer with orders, with the terms of the first order.
+
+    The credit type is the digit its priority begins with: a number aggregates
+    in a hash map where a text would need a sort.
+    """
+    user, first = F.col("o_custkey"), F.col("o_orderkey")
+    digit = F.substring("o_orderpriority", 1, 1).cast("int")
     return (
         table(spark, folder, "orders")
-        .groupBy("o_custkey")
-        .agg(first)
+        .groupBy(user)
+        .agg(F.min_by("o_totalprice", first).alias("principal"), F.min_by(digit, first).alias("digit"))
         .select(
             user.alias("credit_id"),
             user.alias("client_id"),
-            F.col("first.o_totalprice").alias("principal"),
-            F.col("first.o_orderpriority").alias("credit_type"),
+            "principal",
+            F.concat(F.lit("P"), F.col("digit")).alias("credit_type"),
             (F.lit(6) + user % 31).alias("term_months"),
         )
     )
 
 
-def activity_panel(features: DataFrame, credits: DataFrame) -> DataFrame:
-    """Stage and balance per credit and day: thirty days past due for every late instalment in a row."""
+def _with_age(features: DataFrame) -> DataFrame:
+    """Rows of a credit counted from 0, and whether a row is its last; the window is the one of the features."""
     by_credit = Window.partitionBy("credit_id").orderBy("period")
-    elapsed = F.row_number().over(by_credit) - 1
+    return features.withColumns(
+        {"months_elapsed": F.row_number().over(by_credit) - 1, "is_last": F.lead("period").over(by_credit).isNull()}
+    )
+
+
+def activity_panel(aged: DataFrame, credits: DataFrame) -> DataFrame:
+    """Stage and balance per credit and day: thirty days past due for every late instalment in a row."""
     return (
-        features.select("credit_id", "period", (30 * F.col("late_streak")).cast("int").alias("dpd"), elapsed.alias("months_elapsed"))
+        aged.select("credit_id", "period", (30 * F.col("late_streak")).cast("int").alias("dpd"), "months_elapsed")
         .join(credits, "credit_id")
         .select(
             "credit_id",
@@ -98,15 +108,13 @@ def activity_panel(features: DataFrame, credits: DataFrame) -> DataFrame:
     )
 
 
-def stored_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Feature table, stored since the panel, the state and the labels all read it."""
-    return materialise(activity_features(spark, folder), "features")
-
-
 def activity_state(spark: SparkSession, folder: str) -> DataFrame:
-    features, credits = stored_features(spark, folder), activity_credits(spark, folder)
-    panel = activity_panel(features, credits)
-    return state.portfolio_state(panel, features, credits, clients(spark, folder), panel_order="period")
+    """State of every user. Only last rows matter, so only those, one per user, are stored and joined."""
+    aged = _with_age(activity_features(spark, folder))
+    last = materialise(aged.filter("is_last"), "last-features")
+    credits = activity_credits(spark, folder)
+    panel = activity_panel(last, credits)
+    return state.portfolio_state(panel, last, credits, clients(spark, folder), panel_order="period")
 
 
 def activity_labels(panel: DataFrame) -> DataFrame:
@@ -114,8 +122,9 @@ def activity_labels(panel: DataFrame) -> DataFrame:
 
 
 def activity_training_set(spark: SparkSession, folder: str) -> DataFrame:
-    features = stored_features(spark, folder)
-    panel = activity_panel(features, activity_credits(spark, folder))
+    # Stored, since both the labels and the training set read it.
+    features = materialise(activity_features(spark, folder), "features")
+    panel = activity_panel(_with_age(features), activity_credits(spark, folder))
     return model.training_set(features, activity_labels(panel), grain=GRAIN)
 
 
@@ -142,6 +151,12 @@ def order_credits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def latest_order_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Last panel row of every order with its expected loss."""
+    last = state.latest_per_key(order_panel(spark, folder), "credit_id", "month_index", ["month_index", *state.PANEL_STATE])
+    return last.withColumn("ecl", rules.expected_loss(F.col("outstanding"), F.col("stage")))
+
+
 def _draw() -> Column:
     return (F.col("credit_id") * 13 + F.col("month_index") * 29) % 100
 

@@ -56,7 +56,7 @@ features AS (
 _CREDITS = """,
 credits AS (
     SELECT o_custkey AS credit_id, arg_min(o_totalprice, o_orderkey) AS principal,
-           arg_min(o_orderpriority, o_orderkey) AS credit_type, 6 + o_custkey % 31 AS term
+           'P' || substr(arg_min(o_orderpriority, o_orderkey), 1, 1) AS credit_type, 6 + o_custkey % 31 AS term
     FROM orders GROUP BY o_custkey
 ),
 clients AS (
@@ -312,6 +312,10 @@ SELECT credit_id, client_id, month_index, strftime(stated, '%Y-%m-%d') AS statem
 FROM monthly_ahead WHERE stage <> 3 AND seen = 6""",
     "default_entries": "WITH" + _MONTHLY_LABELS + """
 SELECT credit_id, month_index, previous_stage, stage FROM monthly_ahead WHERE stage = 3 AND previous_stage <> 3""",
+    "latest_panel": "WITH" + _MONTHS + """
+SELECT credit_id, month_index, stage, outstanding,
+       round_even(outstanding * CASE stage WHEN 1 THEN 0.01::DOUBLE WHEN 2 THEN 0.1::DOUBLE ELSE 0.6::DOUBLE END, 0) AS ecl
+FROM monthly QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY month_index DESC) = 1""",
     "portfolio_state": _daily(_STATE) + " SELECT * FROM state",
     "risk_score": _daily(_STATE) + "\n" + _SCORE_COLUMNS,
     "credit_lookup": _daily(_STATE)
