@@ -104,18 +104,38 @@ def loss_by_country(state: DataFrame) -> DataFrame:
     )
 
 
-def _cut(counts: DataFrame, key: str, wanted: Column, descending: bool) -> DataFrame:
-    """Bucket in which the ``wanted``-th row falls, and how many rows of it are still wanted.
+def _riskiest_share_cut(ranked: DataFrame, part: float) -> DataFrame:
+    """The last row inside the share, as (at, last_tie); no row if the share is empty.
 
-    ``counts`` holds one row per bucket; the callers bound the number of buckets.
+    ``ranked`` has ``rank_score``, the tie-breaking ``tie`` and its ``prefix``.
     """
-    order = F.col(key).desc() if descending else F.col(key).asc()
-    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    high_first = Window.orderBy(F.desc("rank_score"))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    n, upto = F.col("n"), F.col("upto")
+    wanted = F.floor(F.sum(n).over(everything).cast("double") * F.lit(float(part)))
+    holds_last = (F.col("rest") > upto - n) & (F.col("rest") <= upto)
+    rest_inside = F.col("rest") - upto + n
+
+    score_cut = (
+        ranked.groupBy("rank_score")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumns({"rest": wanted, "upto": F.sum(n).over(high_first.rowsBetween(Window.unboundedPreceding, 0))})
+        .filter(holds_last)
+        .select("rank_score", rest_inside.alias("rest"))
+    )
+    prefix_cut = (
+        ranked.join(F.broadcast(score_cut), "rank_score")
+        .groupBy("rank_score", "rest", "prefix")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum(n).over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)))
+        .filter(holds_last)
+        .select("rank_score", "prefix", rest_inside.alias("rest"))
+    )
     return (
-        counts.withColumn("upto", F.sum("n").over(upto))
-        .withColumn("wanted", wanted)
-        .filter((F.col("wanted") > F.col("upto") - F.col("n")) & (F.col("wanted") <= F.col("upto")))
-        .select(F.struct(F.col(key).alias("at"), (F.col("wanted") - F.col("upto") + F.col("n")).alias("rest")).alias("cut"))
+        ranked.join(F.broadcast(prefix_cut), ["rank_score", "prefix"])
+        .withColumn("place", F.row_number().over(Window.orderBy("tie")))
+        .filter(F.col("place") == F.col("rest"))
+        .select(F.col("rank_score").alias("at"), F.col("tie").alias("last_tie"))
     )
 
 
@@ -126,32 +146,15 @@ def riskiest_share(scored: DataFrame, part: float) -> Column:
     finds the score at which the cut falls; equal scores follow the md5 of the
     credit id, whose prefix gives a second even histogram, and only one of its
     slices is ranked. That holds however many credits share the cut's score.
-    ``scored`` is read several times and should be a stored table.
+    ``scored`` is read four times and should be a stored table.
     """
     if not 0 <= part <= 1:
         raise ValueError("part must lie between 0 and 1")
     score = F.coalesce("score", F.lit(-1.0))  # an unknown score ranks last
     tie = F.md5(F.col("credit_id").cast("string"))
-    prefix = F.substring(tie, 1, _TIE_PREFIX)
-
-    by_score = scored.groupBy(score.alias("score")).agg(F.count(F.lit(1)).alias("n"))
-    wanted = F.floor(scored.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar() * F.lit(float(part)))
-    score_cut = _cut(by_score, "score", wanted, descending=True).scalar()
-
-    at_cut = scored.filter(score == score_cut["at"]).select(tie.alias("tie"))
-    by_prefix = at_cut.groupBy(F.substring("tie", 1, _TIE_PREFIX).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-    prefix_cut = _cut(by_prefix, "prefix", score_cut["rest"], descending=False).scalar()
-
-    slice_rank = F.row_number().over(Window.orderBy("tie"))
-    last_tie = (
-        at_cut.filter(F.substring("tie", 1, _TIE_PREFIX) == prefix_cut["at"])
-        .withColumn("rank", slice_rank)
-        .filter(F.col("rank") == prefix_cut["rest"])
-        .select("tie")
-        .scalar()
-    )
-    tied = (score == score_cut["at"]) & (prefix <= prefix_cut["at"]) & (tie <= last_tie)
-    return F.coalesce((score > score_cut["at"]) | tied, F.lit(False))
+    ranked = scored.select(score.alias("rank_score"), tie.alias("tie"), F.substring(tie, 1, _TIE_PREFIX).alias("prefix"))
+    cut = _riskiest_share_cut(ranked, part).select(F.struct("at", "last_tie")).scalar()
+    return F.coalesce((score > cut["at"]) | ((score == cut["at"]) & (tie <= cut["last_tie"])), F.lit(False))
 
 
 def provision_stress(scored: DataFrame, part: float) -> DataFrame:

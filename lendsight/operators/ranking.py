@@ -7,34 +7,41 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lendsight.session import materialise
 
 
-def running_totals(df: DataFrame, by: str, totals: dict[str, str], descending: bool = False) -> DataFrame:
+def running_totals(
+    df: DataFrame, by: str, totals: dict[str, str], descending: bool = False, overall: dict[str, str] | None = None
+) -> DataFrame:
     """Running sums of ``totals`` (new name -> column) over all rows ordered by the distinct values of ``by``.
 
     Rows are range-partitioned into slices and stored; slice sums give each
     slice its starting point, and the sums then run within the slices. Only the
-    slice sums, one row per shuffle partition, meet in one task.
+    slice sums, one row per shuffle partition, meet in one task. ``overall``
+    adds sums over all rows.
     """
+    overall = overall or {}
     order = F.col(by).desc() if descending else F.col(by).asc()
     sliced = materialise(df.repartitionByRange(order).withColumn("_slice", F.spark_partition_id()), "running-totals")
 
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sliced.groupBy("_slice").agg(*[F.sum(c).alias(f"_sum_{name}") for name, c in totals.items()])
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    summed = sorted({*totals.values(), *overall.values()})
+    sums = sliced.groupBy("_slice").agg(*[F.sum(c).alias(f"_sum_{c}") for c in summed])
     starts = sums.select(
-        "_slice", *[F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_start_{name}") for name in totals]
+        "_slice",
+        *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_start_{name}") for name, c in totals.items()],
+        *[F.sum(f"_sum_{c}").over(everything).alias(name) for name, c in overall.items()],
     )
     within = Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = sliced.join(F.broadcast(starts), "_slice")
     running = {name: F.sum(c).over(within) + F.col(f"_start_{name}") for name, c in totals.items()}
-    return placed.withColumns(running).select(*df.columns, *totals)
+    return placed.withColumns(running).select(*df.columns, *totals, *overall)
 
 
 def value_ranks(df: DataFrame, column: str) -> DataFrame:
     """Every known value of a column with its share-of-ranks position, ties sharing their mean rank."""
-    known = df.filter(F.col(column).isNotNull())
-    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    n_known = known.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ranks = running_totals(counts, column, {"_upto": "_n"}, overall={"_known": "_n"})
     mean_rank = F.col("_upto") - (F.col("_n") - 1) / 2
-    return running_totals(counts, column, {"_upto": "_n"}).select(column, (mean_rank / n_known).alias("_rank"))
+    return ranks.select(column, (mean_rank / F.col("_known")).alias("_rank"))
 
 
 def with_percent_rank(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -43,7 +50,7 @@ def with_percent_rank(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def with_min_max(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """``value`` scaled to 0..1 between its least and greatest; NULL where all values are equal."""
+    """``value`` scaled to 0..1 between its least and greatest; NULL where all values are equal. Reads ``df`` twice."""
     valued = df.withColumn("_value", value)
     bounds = valued.agg(F.struct(F.min("_value").alias("low"), F.max("_value").alias("high")).alias("bounds")).scalar()
     span = bounds["high"] - bounds["low"]
@@ -56,4 +63,4 @@ def latent_risk(clients: DataFrame) -> DataFrame:
     ranked = with_percent_rank(clients, "monthly_income", "income_rank")
     ranked = with_percent_rank(ranked, "bank_tenure_months", "tenure_rank")
     weighted = F.lit(0.5) * (1 - F.col("income_rank")) + F.lit(0.3) * (1 - F.col("tenure_rank"))
-    return with_min_max(ranked, weighted, "latent_risk")
+    return with_min_max(materialise(ranked, "ranked"), weighted, "latent_risk")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -15,20 +14,17 @@ DEFAULTS = {
     # Split a hot join key even where that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
-def get_session(app_name: str, **overrides: str) -> SparkSession:
-    """Session for the jobs; anything given to spark-submit wins over our defaults."""
-    submitted = SparkConf()
-    builder = SparkSession.builder.appName(app_name)
+def get_session(app_name: str) -> SparkSession:
+    """Session for the jobs; a setting from spark-submit or the cluster's defaults wins over ours."""
+    spark = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false").getOrCreate()
+    given = spark.sparkContext.getConf()
     for key, value in DEFAULTS.items():
-        if not submitted.contains(key):
-            builder = builder.config(key, value)
-    for key, value in overrides.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:

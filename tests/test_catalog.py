@@ -49,6 +49,8 @@ def test_query_equals_sql(spark, duck, data, name):
     expected = _sorted_rows(columns, cursor.fetchall())
     actual = _sorted_rows(ours.columns, ours.collect())
     assert len(actual) == len(expected)
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in ("NestedLoopJoin", "CartesianProduct", "Python", "Pandas") if node in plan]
     wrong = [(a, e) for a, e in zip(actual, expected) if a != e]
     assert not wrong, (len(wrong), wrong[:3])
 

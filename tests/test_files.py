@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lendsight import schemas
+from lendsight import schemas, session
 from lendsight.jobs import dataset_job, feature_job, model_job, portfolio_job, report_job
 from lendsight.operators import behaviour, labels, panel
 from lendsight.operators.state import credit_attributes
@@ -130,6 +130,19 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_given_settings_win_over_defaults(spark):
+    given = spark.conf.get("spark.sql.session.timeZone")
+    force = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(force, None)
+    session.DEFAULTS["spark.sql.session.timeZone"] = "Asia/Tokyo"
+    try:
+        assert session.get_session("test").conf.get("spark.sql.session.timeZone") == given == "UTC"
+        assert spark.conf.get(force) == "true"
+    finally:
+        session.DEFAULTS["spark.sql.session.timeZone"] = "UTC"
+        spark.conf.set(force, before) if before is not None else spark.conf.unset(force)
+
+
 # --- jobs on a small portfolio written as plain CSV files ------------------------------
 
 MONTHS = 24
