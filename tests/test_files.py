@@ -294,3 +294,27 @@ def test_a_hot_client_is_split_by_adaptive_execution(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+class _Session:
+    """Just what scratch_root looks at."""
+
+    def __init__(self, master, configured=None, checkpoint=None):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: configured or default)})
+        self.sparkContext = self
+        self.master, self.checkpoint = master, checkpoint
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+    def setCheckpointDir(self, folder):
+        self.checkpoint = folder
+
+
+def test_scratch_folder_is_never_local_on_a_cluster():
+    assert scratch_root(_Session("yarn", "hdfs:///scratch/")) == "hdfs:///scratch"
+    assert scratch_root(_Session("yarn", checkpoint="hdfs:///set")) == "hdfs:///set"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(_Session("spark://host:7077"))
+    local = _Session("local[4]")
+    assert scratch_root(local) == scratch_root(local) == local.checkpoint
