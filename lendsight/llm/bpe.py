@@ -23,8 +23,9 @@ from pyspark.sql import Column, functions as F
 from lendsight.llm.words import Memo
 
 #: States and finished pieces that a worker keeps; beyond it starts afresh.
-MAX_STEPS = 400_000
-MAX_PIECES = 500_000
+MAX_STEPS = 300_000
+MAX_PIECES = 150_000
+MAX_STRETCHES = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -202,7 +203,7 @@ class TextEncoder:
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
         self.pieces = Memo(self._encode_piece, MAX_PIECES)
-        self.stretches = Memo(self._encode_stretch, MAX_PIECES)
+        self.stretches = Memo(self._encode_stretch, MAX_STRETCHES)
 
     def _encode_piece(self, piece: str) -> bytes:
         ids = self.transducer.encode(piece.encode())
@@ -317,3 +318,16 @@ def decode_ids(ids: Column, path: str) -> Column:
         return pa.array([decoder.decode(x or b"") for x in batch.to_pylist()], pa.string())
 
     return decode.asNondeterministic()(ids)
+
+
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """Struct of ids, as from ``encode_text``, and the text that ``decode_ids`` makes of them, in one Python worker."""
+
+    @F.arrow_udf("struct<ids:binary,text:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        encoder, decoder = _encoder(path, pattern), _decoder(path)
+        ids = [encoder.encode(t or "") for t in texts.to_pylist()]
+        columns = [pa.array(ids, pa.binary()), pa.array([decoder.decode(x) for x in ids], pa.string())]
+        return pa.StructArray.from_arrays(columns, ["ids", "text"])
+
+    return both.asNondeterministic()(text)

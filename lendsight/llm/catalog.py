@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendsight.llm import bpe, quality, sharding, token_files
+from lendsight.llm import bpe, ctw, embedding_dedup, html_text, jaccard_join, mixing, quality, sharding, token_files, toxicity
 from lendsight.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,17 +15,54 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+MIX = mixing.Targets(
+    lang={"en": 0.5, "fr": 0.2, "de": 0.15, "es": 0.1},
+    topic={"prose": 0.5, "long": 0.3, "short": 0.08, "table": 0.06, "symbols": 0.04},
+)
+
+
+#: Whole texts are large rows, so an Arrow batch takes fewer of them than Spark's default.
+ROWS_IN_BATCH = 1000
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_IN_BATCH)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def near_duplicate_vectors_query(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(_table(spark, folder, "embeddings"))
+
+
 def token_files_query(spark: SparkSession, folder: str) -> DataFrame:
     files = token_files.write_token_files(_table(spark, folder, "documents"), "doc_id", "text", TOKENIZER, END_ID)
     return token_files.read_token_files(files).withColumnRenamed("key", "doc_id")
 
 
+def mixed_sources_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    docs = docs.withColumn("n_tokens", mixing.token_count(F.col("text")))
+    docs = docs.withColumn("topic", mixing.text_form(F.col("text"), F.col("n_tokens"))).drop("text")
+    mixed = mixing.mixed_documents(materialise(docs, "attributes"), MIX)
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+
+
+def toxicity_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    index = toxicity.fit(docs, _table(spark, folder, "labels"))
+    judged = docs.select("doc_id", toxicity.toxicity(F.col("text"), index, spark).alias("judged"))
+    return judged.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("judged.score").alias("score"),
+        F.when(F.col("judged.score") >= 0.7, 1).otherwise(0).alias("predicted"), F.col("judged.evidence").alias("evidence"),
+    )
+
+
+def context_tree_query(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.score_documents(_table(spark, folder, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def balanced_shards_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     items = docs.select(
@@ -38,13 +75,17 @@ def balanced_shards_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def main_text_query(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", html_text.extract_text(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def bpe_round_trip_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    encoded = docs.select("doc_id", bpe.encode_text(F.col("text"), RANKS, public_tokenizers.PATTERN).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", bpe.decode_ids(F.col("ids"), RANKS).alias("decoded"))
-    return decoded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    made = docs.select("doc_id", bpe.round_trip(F.col("text"), RANKS, public_tokenizers.PATTERN).alias("made"))
+    return made.select(
+        "doc_id", (F.octet_length("made.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("made.ids", 256).alias("ids_sha256"), F.sha2(F.col("made.text").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
@@ -56,11 +97,21 @@ def quality_rules_query(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "m.*", "base_failed", "kept")
 
 
+def jaccard_join_query(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similar_documents(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_near_duplicate_vectors": near_duplicate_vectors_query,
     "op2_token_files": token_files_query,
+    "op3_mixed_sources": mixed_sources_query,
+    "op4_toxicity": toxicity_query,
+    "op5_context_tree": context_tree_query,
     "op6_balanced_shards": balanced_shards_query,
+    "op7_main_text": main_text_query,
     "op8_bpe_round_trip": bpe_round_trip_query,
     "op9_quality_rules": quality_rules_query,
+    "op10_jaccard_join": jaccard_join_query,
 }
 
 ORACLE_SQL: dict[str, str] = {}

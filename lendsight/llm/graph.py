@@ -94,7 +94,7 @@ def linked_members(
 
 
 def _compare_unit(linked):
-    def compare(key, table: pa.Table) -> pa.Table:
+    def compare(key, table):
         unit, one, two = (k.as_py() for k in key)
         ids, copies = table["id"].to_numpy(), table["copies"].to_numpy()
         payload = table["payload"].to_pylist()
