@@ -1,0 +1,255 @@
+"""Mixing, toxicity and context trees against plain computations."""
+
+import itertools
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lendsight.llm import catalog, ctw, mixing, toxicity
+
+TARGETS = mixing.Targets(lang={"en": 0.5, "fr": 0.3}, topic={"short": 0.4, "prose": 0.5}, keep=0.6)
+
+
+def _with_topic(docs):
+    known = docs.withColumn("n_tokens", mixing.token_count(F.col("text")))
+    return known.withColumn("topic", mixing.text_form(F.col("text"), F.col("n_tokens")))
+
+
+def _plain_weights(rows, targets, sweeps=400):
+    cells = Counter()
+    for source, lang, topic, tokens in rows:
+        cells[source, lang if lang in targets.lang else "other", topic if topic in targets.topic else "other"] += tokens
+    cells = {c: n for c, n in cells.items() if n}
+    total = sum(cells.values())
+    by_source = Counter()
+    for (source, _, _), n in cells.items():
+        by_source[source] += n
+    wanted = [{s: n**targets.source_power for s, n in by_source.items()}]
+    for at, shares in ((1, targets.lang), (2, targets.topic)):
+        full = {**shares, "other": 1 - sum(shares.values())}
+        wanted.append({x: full[x] for x in {c[at] for c in cells}})
+    wanted = [{x: v / sum(w.values()) for x, v in w.items()} for w in wanted]
+    weights = {c: n / total for c, n in cells.items()}
+    for _ in range(sweeps):
+        for at in range(3):
+            sums = Counter()
+            for c, w in weights.items():
+                sums[c[at]] += w
+            weights = {c: w * wanted[at][c[at]] / sums[c[at]] for c, w in weights.items()}
+    return {c: weights[c] / (cells[c] / total) for c in cells}, cells, total, wanted, weights
+
+
+def test_weights_like_plain_raking(documents):
+    known = _with_topic(documents)
+    rows = [(r.source, r.lang, r.topic, r.n_tokens) for r in known.collect()]
+    expected, cells, total, wanted, weights = _plain_weights(rows, TARGETS)
+    found = {(r.source, r.lang, r.topic): r for r in mixing.calibrated_cells(known, TARGETS).collect()}
+    assert found.keys() == expected.keys()
+    assert all(math.isclose(found[c].weight, expected[c], rel_tol=1e-6) for c in expected)
+    kept = sum(cells[c] * found[c].probability for c in cells)
+    assert all(0 < r.probability <= 1 for r in found.values())
+    assert math.isclose(kept, TARGETS.keep * total, rel_tol=1e-6) or all(r.probability == 1 for r in found.values())
+    open_cells = {c: found[c].probability / found[c].weight for c in found if found[c].probability < 1}
+    assert len({round(x, 9) for x in open_cells.values()}) <= 1
+
+
+def test_margins_are_met(spark):
+    rows = [(s, lang, topic, 10 + (i * 7) % 50) for i, (s, lang, topic) in enumerate(itertools.product("abcde", ["en", "fr", "de"], ["short", "prose", "x"]))]
+    docs = spark.createDataFrame(rows, "source string, lang string, topic string, n_tokens long")
+    found = {(r.source, r.lang, r.topic): r.weight for r in mixing.calibrated_cells(docs, TARGETS).collect()}
+    total = sum(r[3] for r in rows)
+    mass = Counter()
+    for s, lang, topic, n in rows:
+        cell = (s, lang if lang in TARGETS.lang else "other", topic if topic in TARGETS.topic else "other")
+        for x in cell:
+            mass[x, cell.index(x)] += n / total * found[cell]
+    assert math.isclose(mass["en", 1], 0.5, rel_tol=1e-6) and math.isclose(mass["short", 2], 0.4, rel_tol=1e-6)
+    assert math.isclose(mass["other", 1], 0.2, rel_tol=1e-6)
+
+
+def test_sampling_is_by_key_and_keeps_columns(documents, nothing):
+    one = mixing.sampled_documents(documents, TARGETS)
+    assert one.columns == documents.columns
+    assert sorted(str(r.doc_id) for r in one.collect()) == sorted(str(r.doc_id) for r in mixing.sampled_documents(documents.repartition(5), TARGETS).collect())
+    assert mixing.sampled_documents(nothing, TARGETS).count() == 0
+
+
+def test_sampling_numbers_are_even(spark):
+    numbers = [r[0] for r in spark.range(20_000).select(mixing.sampling_number("id")).collect()]
+    assert 0 <= min(numbers) and max(numbers) < 1 and abs(np.mean(numbers) - 0.5) < 0.01
+
+
+IDF = {b"idiot": 3.0, b"clown": 2.0, b"nice": 1.5, b"fine": 1.2, b"day": 1.0}
+
+
+@pytest.fixture(scope="module")
+def index():
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(400):
+        counts = {t: int(rng.integers(1, 4)) for t in IDF if rng.random() < 0.4}
+        rows.append((i, int(b"idiot" in counts), counts))
+    return toxicity.Index.build(IDF, rows, {0: 5.0, 1: 1.0}), rows
+
+
+def test_nearest_like_all_compared(index):
+    made, rows = index
+    vectors = {key: made.vector(counts) for key, _, counts in rows}
+    for key, _, counts in rows[:80]:
+        own = made.vector(counts)
+        plain = sorted(
+            ((-sum(w * vectors[k].get(t, 0.0) for t, w in own.items()), p) for p, k in enumerate(made.keys) if k != key), key=lambda x: (round(x[0], 9), x[1])
+        )
+        near = made.nearest(own, without=key)
+        expected = [round(-s, 9) for s, _ in plain[: toxicity.NEIGHBOURS] if s < 0]
+        assert [round(s, 9) for s, _ in near] == expected
+
+
+def test_scores_rise_with_votes(index):
+    made, rows = index
+    judged = []
+    for key, label, counts in rows:
+        near = made.nearest(made.vector(counts), without=key)
+        judged.append((made.share(near) if near else None, label))
+    made.calibrate(judged)
+    assert made.probability == sorted(made.probability) and all(0 <= p <= 1 for p in made.probability)
+    assert made.score({b"idiot": 2})[0] > 0.7 > made.score({b"nice": 1})[0]
+    assert made.score({})[0] == made.without and made.score({b"unknown": 3}) == (made.without, [])
+
+
+def _labelled(spark, documents=600):
+    rng = np.random.default_rng(3)
+    words = [f"word{i}" for i in range(200)]
+    rows, labels = [], []
+    for i in range(documents):
+        own = list(rng.choice(words, 40))
+        toxic = int(rng.random() < 0.2)
+        if toxic:
+            own[5:5] = rng.choice(["idiot,", "CLOWN", "moronisch", "moronen"], 3).tolist()
+        rows.append((i, " ".join(own)))
+        if rng.random() < 0.8:
+            labels.append((i, toxic))
+    docs = spark.createDataFrame([*rows, (None, "idiot"), (10**6, None), (10**6 + 1, "")], "doc_id long, text string")
+    return docs, spark.createDataFrame([*labels, labels[0], (None, 1), (5, None), (10**9, 1)], "doc_id long, toxic int"), dict(labels)
+
+
+def test_held_out_documents_are_told_apart(spark):
+    docs, labels, known = _labelled(spark)
+    index = toxicity.fit(docs, labels)
+    rows = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.toxicity(F.col("text"), index, spark).alias("t")).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r.doc_id is None or r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        if r.held_out and r.doc_id in known:
+            assert (r.t.score >= 0.7) == bool(known[r.doc_id])
+            assert not known[r.doc_id] or r.t.evidence[0].label == 1
+    assert not {int(k) for k in index.keys} & {r.doc_id for r in rows if r.held_out}
+
+
+def test_without_labels_nothing_is_toxic(spark, documents, nothing):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.clean_documents(documents, none).count() == documents.count()
+    assert toxicity.clean_documents(nothing, none).count() == 0
+
+
+def test_toxicity_query(spark, data):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{data}/labels.parquet").collect()}
+    rows = catalog.QUERIES["op4_toxicity"](spark, data).collect()
+    assert len(rows) == spark.read.parquet(f"{data}/documents.parquet").count()
+    tested = [r for r in rows if r.held_out and r.doc_id in labels]
+    right = sum(r.predicted == labels[r.doc_id] for r in tested)
+    assert right / len(tested) > 0.9
+
+
+def _plain_tree(texts, depth):
+    """Counts by (context, node) and weighted logs, by recursion over contexts of bytes."""
+    counts = {}
+    for text in texts:
+        data = ctw.START * depth + text + ctw.END
+        for at in range(depth, len(data)):
+            for length in range(depth + 1):
+                node = 1
+                for i in range(7, -1, -1):
+                    bit = data[at] >> i & 1
+                    counts.setdefault((data[at - length: at], node), [0, 0])[bit] += 1
+                    node = 2 * node + bit
+    children = {}
+    for context, node in counts:
+        if context:
+            children.setdefault((context[1:], node), []).append((context, node))
+
+    def own(key):
+        zeros, ones = counts[key]
+        return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
+
+    mixed = {}
+    for key in sorted(counts, key=lambda k: -len(k[0])):
+        e = own(key)
+        if len(key[0]) < depth:
+            d = sum(mixed[c] for c in children.get(key, []))
+            e, d = max(e, d), min(e, d)
+            e = e + math.log(0.5) + math.log1p(math.exp(d - e))
+        mixed[key] = e
+    return counts, own, mixed
+
+
+def _plain_score(text, depth, tree):
+    counts, own, mixed = tree
+    data, total = ctw.START * depth + text + ctw.END, 0.0
+    for at in range(depth, len(data)):
+        node = 1
+        for i in range(7, -1, -1):
+            bit, one, left = data[at] >> i & 1, 0.0, 1.0
+            path = [data[at - n: at] for n in range(depth + 1)]
+            path = [c for c in path if (c, node) in counts]
+            if not path:
+                one, left = 0.5, 0.0
+            for n, context in enumerate(path):
+                zeros, ones = counts[context, node]
+                weight = 1.0 if n == len(path) - 1 else math.exp(math.log(0.5) + own((context, node)) - mixed[context, node])
+                one += left * weight * (ones + 0.5) / (zeros + ones + 1)
+                left *= 1 - weight
+            total += math.log10(one if bit else 1 - one)
+            node = 2 * node + bit
+    return total
+
+
+@pytest.mark.parametrize("depth", [1, 4])
+@pytest.mark.parametrize("frequent", [True, False])
+def test_scores_like_a_plain_tree(spark, depth, frequent, monkeypatch):
+    if not frequent:
+        monkeypatch.setattr(ctw, "FREQUENT_WORDS", 5)
+        monkeypatch.setattr(ctw, "FREQUENT_RUNS", 20)
+    texts = ["the cat sat on the mat", "The dog sat", "", None, "the cat", "zebra é", "the the the the", "mat dog cat", "on", "sat", "cat sat é", "x" * 300]
+    rows = [(i, t) for i, t in enumerate(texts * 3)]
+    train = [(t or "").lower().encode() for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    tree = _plain_tree(train, depth)
+    words = Counter(w for t in train for w in [*t.split(), b" "])
+    total, distinct = sum(words.values()), len(words)
+    frame = spark.createDataFrame([(i, t, "score") for i, t in rows], "doc_id long, text string, base_score string")
+    found = {r.doc_id: r for r in ctw.score_documents(frame, depth=depth).collect()}
+    assert len(found) == len(rows)
+    for i, text in rows:
+        own, r = (text or "").lower().encode(), found[i]
+        tokens = [*own.split(), b" "]
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0) and r.train_tokens == total and r.n_tokens == len(tokens)
+        assert r.n_known == sum(w in words for w in tokens)
+        base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in tokens)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        assert math.isclose(r.score, _plain_score(own, depth, tree), rel_tol=1e-6)
+
+
+def test_probabilities_of_the_next_byte_add_up(spark):
+    runs = spark.createDataFrame([(97 << 8 | b, 5 if b == 98 else 0) for b in range(256)], "run long, n long")
+    assert math.isclose(sum(10**r.log10 for r in ctw.context_tree(runs, 1).collect()), 1.0, rel_tol=1e-9)
+
+
+def test_nothing_to_learn_from(documents, nothing):
+    assert ctw.score_documents(nothing).count() == 0
+    held = documents.filter(ctw.held_out(F.col("doc_id")))
+    rows = ctw.score_documents(held).collect()
+    assert rows and all(r.n_known == 0 and math.isclose(r.bits_per_byte, 8.0) for r in rows)
