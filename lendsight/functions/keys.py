@@ -26,7 +26,7 @@ def period_from_label(label: Column) -> Column:
 def stable_id(prefix: str, *parts: Column) -> Column:
     """Identifier derived from the natural key, so it needs no global sequence and survives recomputation."""
     digest = F.md5(F.concat_ws("|", *[part.cast("string") for part in parts]))
-    return F.concat(F.lit(prefix), F.substring(digest, 1, 16))
+    return F.concat(F.lit(prefix), digest)
 
 
 def split_bucket(key: Column) -> Column:
@@ -36,5 +36,9 @@ def split_bucket(key: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Money as whole hundredths: sums are exact in any order and stay in a primitive long."""
-    return F.rint(amount * 100).cast("bigint")
+    """Money as whole hundredths: sums are exact in any order, and no sum that fits a table overflows 38 digits."""
+    return F.rint(amount * 100).cast("decimal(38,0)")
+
+
+def from_cents(total: Column) -> Column:
+    return total.cast("double") / 100

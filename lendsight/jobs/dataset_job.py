@@ -26,6 +26,7 @@ def write_panel(spark: SparkSession, root: str, dpd_path: str, thirty_day_steps:
         spark.read.schema(DPD_SCHEMA)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .csv(dpd_path)
         .withColumnsRenamed(schemas.PANEL_COLUMNS)
     )
@@ -45,7 +46,7 @@ def write_labels(
 
 
 def write_events(spark: SparkSession, root: str, output: str) -> int:
-    """Events of the panel as partitioned JSON lines; returns the number of files."""
+    """Events of the panel as partitioned JSON lines; returns the number of events."""
     given = tables.read_tables(spark, root, ["clients", "credits", "panel"])
     built = panel.instalment_events(given["panel"], given["credits"], given["clients"], tables.country_dimension(spark))
     return sinks.write_events(built, output)
@@ -69,7 +70,7 @@ def main() -> None:
         elif args.step == "labels":
             print(write_labels(spark, args.root, args.drop_censored, args.horizon))
         else:
-            print("event files:", write_events(spark, args.root, args.output))
+            print("events:", write_events(spark, args.root, args.output))
     finally:
         spark.stop()
 

@@ -10,7 +10,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from lendsight.operators.behaviour import behaviour_features
-from lendsight.session import get_session
+from lendsight.session import get_session, scratch_run
 from lendsight.sources import sinks, tables
 
 
@@ -22,17 +22,21 @@ def run(
     from_month: str | None = None,
     to_month: str | None = None,
     rejected: str | None = None,
-) -> int:
-    """Write the features of the events below ``source``; returns the number of rows.
+) -> dict[str, int]:
+    """Write the features of the events below ``source``; returns the rows written and the lines read and rejected.
 
-    Features look back over all earlier periods, so a run limited by
-    ``from_month`` starts balances and streaks at that month.
+    Lines that are no event are counted in the pass that makes the features,
+    over the same folders. ``rejected`` names a folder for them, which costs a
+    second read of those folders. Features look back over all earlier periods,
+    so a run limited by ``from_month`` starts balances and streaks at that month.
     """
-    events = tables.read_events(spark, source, countries, from_month, to_month)
-    rows = sinks.write_features(behaviour_features(events), output)
+    lines = tables.pruned_lines(spark, source, countries, from_month, to_month)
+    counted, seen = tables.count_rejected(lines)
+    with scratch_run(spark):
+        rows = sinks.write_features(behaviour_features(tables.events_from_lines(counted)), output)
     if rejected:
-        tables.rejected_events(tables.read_event_lines(spark, source)).write.mode("overwrite").json(rejected)
-    return rows
+        tables.rejected_events(lines).write.mode("overwrite").json(rejected)
+    return {"rows": rows, "lines": seen.get["lines"], "rejected": seen.get["rejected"]}
 
 
 def main() -> None:
@@ -46,8 +50,8 @@ def main() -> None:
     args = parser.parse_args()
     spark = get_session("lendsight-features")
     try:
-        rows = run(spark, args.input, args.output, args.countries, args.from_month, args.to_month, args.rejected)
-        print(f"feature rows written: {rows:,}")
+        counts = run(spark, args.input, args.output, args.countries, args.from_month, args.to_month, args.rejected)
+        print(f"feature rows written: {counts['rows']:,}; lines rejected: {counts['rejected']:,} of {counts['lines']:,}")
     finally:
         spark.stop()
 

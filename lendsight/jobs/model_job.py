@@ -13,12 +13,17 @@ from pyspark.sql import SparkSession
 
 from lendsight import schemas
 from lendsight.operators import model, summary
-from lendsight.session import get_session, materialise
+from lendsight.session import get_session, materialise, scratch_run
 from lendsight.sources import sinks, tables
 
 
 def run(spark: SparkSession, root: str, tables_root: str | None = None, by_row: bool = False) -> dict:
-    """Write all results below ``root``; returns row counts and metrics."""
+    """Write all results below ``root``; returns row counts, those of the training side too, and metrics."""
+    with scratch_run(spark):
+        return _run(spark, root, tables_root, by_row)
+
+
+def _run(spark: SparkSession, root: str, tables_root: str | None, by_row: bool) -> dict:
     at = {name: f"{root}/{folder}" for name, folder in schemas.LAYOUT.items()}
     features = tables.read_features(spark, at["features"])
     given = tables.read_tables(spark, tables_root or f"{root}/synthetic", ("labels", "credits", "clients"))
@@ -30,13 +35,14 @@ def run(spark: SparkSession, root: str, tables_root: str | None = None, by_row:
     dataset = materialise(model.training_set(features, given["labels"]), "training")
     fitted, predictions, _ = model.fit_and_predict(model.with_class_weight(dataset), by_row=by_row)
     kept = materialise(
-        predictions.select("credit_id", "period", model.LABEL, "rawPrediction", "probability", "prediction"), "predictions"
+        model.with_margin(predictions).select("credit_id", "period", model.LABEL, "margin", "probability", "prediction"),
+        "predictions",
     )
     test_rows = sinks.write_predictions(model.prediction_table(kept), at["predictions"])
     sinks.write_metrics(model.evaluate(kept), at["metrics"])
     sinks.write_model(fitted, at["model"])
     metrics = tables.read_metrics(spark, at["metrics"]).first().asDict()
-    return {"summary_rows": summary_rows, "test_rows": test_rows, **metrics}
+    return {"summary_rows": summary_rows, "train_rows": dataset.count() - test_rows, "test_rows": test_rows, **metrics}
 
 
 def main() -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lendsight.operators import portfolio
 from lendsight.operators.state import portfolio_state
 from lendsight.operators.summary import duplicate_keys
-from lendsight.session import get_session
+from lendsight.session import get_session, scratch_run
 from lendsight.sources import tables
 
 
@@ -31,9 +31,18 @@ def run(
     output: str,
     part: float = 0.1,
     limit: int = portfolio.WATCH_LIST_SIZE,
-    checked: bool = False,
+    checked: bool = True,
+    credit: str | None = None,
 ) -> None:
-    """Write the scored state once, then answer every question from that table."""
+    """Write the scored state once, then answer every question from that table.
+
+    ``credit`` asks for the score of one credit besides.
+    """
+    with scratch_run(spark):
+        _run(spark, root, output, part, limit, checked, credit)
+
+
+def _run(spark: SparkSession, root: str, output: str, part: float, limit: int, checked: bool, credit: str | None) -> None:
     given = tables.read_tables(spark, root)
     if checked:
         check_keys(given)
@@ -50,6 +59,8 @@ def run(
         "loss_by_country": portfolio.loss_by_country(bare),
         "provision_stress": portfolio.provision_stress(stored, part),
     }
+    if credit is not None:
+        answers["credit_score"] = portfolio.credit_score(bare, credit)
     for name, answer in answers.items():
         answer.write.mode("overwrite").parquet(f"{output}/{name}")
 
@@ -59,12 +70,13 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder of clients, credits, panel and features")
     parser.add_argument("--output", required=True)
     parser.add_argument("--part", type=float, default=0.1, help="share of credits downgraded in the stress")
-    parser.add_argument("--check-keys", action="store_true", help="fail on duplicate keys before anything is written")
+    parser.add_argument("--unchecked", action="store_true", help="do not look for duplicate keys first")
+    parser.add_argument("--credit", help="credit whose score is written to credit_score")
     parser.add_argument("--limit", type=int, default=portfolio.WATCH_LIST_SIZE, help="length of the watch list")
     args = parser.parse_args()
     spark = get_session("lendsight-portfolio")
     try:
-        run(spark, args.root, args.output, args.part, args.limit, args.check_keys)
+        run(spark, args.root, args.output, args.part, args.limit, not args.unchecked, args.credit)
     finally:
         spark.stop()
 

@@ -9,19 +9,21 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from lendsight import schemas
 from lendsight.operators import curves, model, summary
-from lendsight.session import get_session, materialise
+from lendsight.session import get_session, materialise, scratch_run
 from lendsight.sources import tables
 
 
 def run(spark: SparkSession, root: str, output: str) -> None:
+    with scratch_run(spark):
+        _run(spark, root, output)
+
+
+def _run(spark: SparkSession, root: str, output: str) -> None:
     given = tables.read_tables(spark, root, tables.READERS)
     training = model.training_set(given["features"], given["labels"])
-    countries = [name for name, _, _ in schemas.COUNTRIES]
-    thresholds = materialise(
-        curves.threshold_table(given["predictions"], "probability_positive", model.LABEL, decimals=None), "thresholds"
-    )
+    countries = summary.country_names(given["clients"])
+    thresholds = materialise(curves.threshold_table(given["predictions"], "probability_positive", model.LABEL), "thresholds")
     reports = {
         "clients_by_country": summary.value_counts(given["clients"], "country"),
         "credits_by_type": summary.value_counts(given["credits"], "credit_type"),
@@ -33,6 +35,7 @@ def run(spark: SparkSession, root: str, output: str) -> None:
         "confusion_matrix": curves.confusion_matrix(given["predictions"], model.LABEL),
         "roc_points": curves.roc_points(thresholds),
         "pr_points": curves.pr_points(thresholds),
+        "areas": curves.area_under_curves(thresholds),
         "metrics": given["metrics"],
     }
     for name, report in reports.items():

@@ -7,27 +7,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendsight.functions.keys import cents, period_of
+from lendsight.functions.keys import cents, from_cents, period_of
 
 USED_KINDS = ("instalment", "movement", "overdraft")
 
-# A status travels through the aggregation in three bits.
+# A status travels through the aggregation as one of eight codes.
 _STATUS_CODES = {"on_time": 0, "late": 1, "unpaid": 2}
 _MISSING, _OTHER = 3, 4
 _SLOTS = 8
 
+LAST = 2**60 - 1
+# Below the order and the status, the amount: of instalments with one order key the smallest amount is first.
+_AMOUNTS = 10**19
 
-def _status_code(status: Column) -> Column:
+
+def _whole(number: int) -> Column:
+    return F.lit(str(number)).cast("decimal(20,0)")
+
+
+def _is_other(status: Column) -> Column:
+    return status.isNotNull() & ~status.isin(*_STATUS_CODES)
+
+
+def _status_code(status: Column, known_only: bool) -> Column:
     code = F.when(status.isNull(), F.lit(_MISSING))
     for name, number in _STATUS_CODES.items():
         code = code.when(status == name, F.lit(number))
-    return code.otherwise(F.lit(_OTHER))
+    unknown = F.raise_error(F.concat(F.lit("unknown status of an instalment: "), status)).cast("int")
+    return code.otherwise(unknown if known_only else F.lit(_OTHER))
 
 
 def _status_name(code: Column) -> Column:
-    name = F.when(code == _OTHER, F.lit("other"))
+    name = None
     for text, number in _STATUS_CODES.items():
-        name = name.when(code == number, F.lit(text))
+        name = F.when(code == number, F.lit(text)) if name is None else name.when(code == number, F.lit(text))
     return name
 
 
@@ -36,41 +49,66 @@ def _arrival_order() -> Column:
     return F.dayofmonth("event_date").cast("bigint") * F.lit(2**52) + F.pmod(F.xxhash64("event_id"), F.lit(2**52))
 
 
-def period_activity(events: DataFrame, grain: str = "month", order_by: Column | None = None) -> DataFrame:
+def _checked_order(order_by: Column | None) -> Column:
+    """The order of instalments; one without a key comes last, one outside the range is an error."""
+    order = _arrival_order() if order_by is None else order_by.cast("bigint")
+    outside = F.raise_error(F.concat(F.lit("order key outside 0..2**60 - 2: "), order.cast("string"))).cast("bigint")
+    return F.when(order.isNull(), F.lit(LAST)).when((order >= 0) & (order < LAST), order).otherwise(outside)
+
+
+def _first_due(order_by: Column | None, known_only: bool) -> Column:
+    """Order, status and amount of an instalment in one number, so that min() yields one row's values."""
+    place = (_checked_order(order_by) * _SLOTS + _status_code(F.col("due_status"), known_only)).cast("decimal(19,0)")
+    bound = _AMOUNTS // 2 - 1
+    amount = F.least(F.greatest(F.col("amount_cents"), _whole(-bound)), _whole(bound)).cast("decimal(20,0)")
+    return (place * _whole(_AMOUNTS) + (amount + _whole(bound + 1)).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def _first_status(other: Column | None) -> Column:
+    code = F.pmod(F.expr(f"first_due div CAST('{_AMOUNTS}' AS DECIMAL(20,0))"), F.lit(_SLOTS))
+    name = _status_name(code)
+    return name if other is None else name.when(code == _OTHER, other)
+
+
+def period_activity(
+    events: DataFrame, grain: str = "month", order_by: Column | None = None, known_only: bool = False
+) -> DataFrame:
     """First instalment, net movement and overdraft per credit and period, in one scan and one shuffle.
 
-    A period counts only if it holds an instalment. All aggregation buffers are
-    fixed-width, so partial sums run in hash maps on the map side and a credit
-    with very many events reaches the shuffle as one row per period and task.
-    ``order_by`` is a BIGINT below 2**60 that says which instalment of a period is first.
-    """
-    kind, amount = F.col("kind"), cents(F.col("amount"))
-    order = _arrival_order() if order_by is None else order_by
-    # The status rides in the low bits of the order key: min() then yields the
-    # first instalment's status, and equal keys still give one fixed answer.
-    first_due = F.when(kind == "instalment", order * F.lit(_SLOTS) + _status_code(F.col("due_status")))
+    A period counts only if it holds an instalment. ``order_by`` is a BIGINT of
+    0 to 2**60 - 2 that says which instalment of a period is first; of equal
+    ones it is the one with the smallest amount, then status.
 
-    folded = (
+    A status outside the three usual ones keeps its text. That text is the only
+    aggregation buffer without a fixed width and makes Spark aggregate by
+    sorting. With ``known_only`` such a status is an error and partial sums run
+    in hash maps on the map side. Either way a credit with very many events
+    reaches the shuffle as one row per period and task.
+    """
+    kind = F.col("kind")
+    prepared = (
         events.filter(kind.isin(*USED_KINDS))
         .withColumn("period", period_of(F.col("event_date"), grain))
-        .withColumn("first_due", first_due)
-        .withColumn("amount_cents", amount)
-        .groupBy("credit_id", "period")
-        .agg(
-            F.min("first_due").alias("first_due"),
-            F.min_by("amount_cents", "first_due").alias("due_cents"),
-            F.sum(F.when(kind == "movement", F.col("amount_cents"))).alias("movement_cents"),
-            F.sum(F.when(kind == "overdraft", F.col("amount_cents"))).alias("overdraft_cents"),
-        )
-        .filter(F.col("first_due").isNotNull())
+        .withColumn("amount_cents", cents(F.col("amount")))
+        .withColumn("first_due", F.when(kind == "instalment", _first_due(order_by, known_only)))
     )
+    aggregates = [
+        F.min("first_due").alias("first_due"),
+        F.min_by("amount_cents", "first_due").alias("due_cents"),
+        F.sum(F.when(kind == "movement", F.col("amount_cents"))).alias("movement_cents"),
+        F.sum(F.when(kind == "overdraft", F.col("amount_cents"))).alias("overdraft_cents"),
+    ]
+    if not known_only:
+        other = F.when(F.col("first_due").isNotNull() & _is_other(F.col("due_status")), F.struct("first_due", "due_status"))
+        aggregates.append(F.min(other).alias("other"))
+    folded = prepared.groupBy("credit_id", "period").agg(*aggregates).filter(F.col("first_due").isNotNull())
     return folded.select(
         "credit_id",
         "period",
-        _status_name(F.pmod(F.col("first_due"), F.lit(_SLOTS))).alias("due_status"),
-        (F.col("due_cents") / 100).alias("due_amount"),
-        (F.coalesce("movement_cents", F.lit(0)) / 100).alias("net_movement"),
-        (F.coalesce("overdraft_cents", F.lit(0)) / 100).alias("overdraft_amount"),
+        _first_status(None if known_only else F.col("other.due_status")).alias("due_status"),
+        from_cents(F.col("due_cents")).alias("due_amount"),
+        from_cents(F.coalesce("movement_cents", F.lit(0))).alias("net_movement"),
+        from_cents(F.coalesce("overdraft_cents", F.lit(0))).alias("overdraft_amount"),
     )
 
 
@@ -80,24 +118,22 @@ def period_activity_joined(events: DataFrame, grain: str = "month", order_by: Co
     Reads the events three times; kept for comparison with :func:`period_activity`.
     """
     keys = ["credit_id", "period"]
-    order = _arrival_order() if order_by is None else order_by
     dated = events.withColumn("period", period_of(F.col("event_date"), grain)).withColumn(
         "amount_cents", cents(F.col("amount"))
     )
+    other = F.when(_is_other(F.col("due_status")), F.struct("first_due", "due_status"))
     instalments = (
         dated.filter(F.col("kind") == "instalment")
-        .withColumn("first_due", order * F.lit(_SLOTS) + _status_code(F.col("due_status")))
+        .withColumn("first_due", _first_due(order_by, known_only=False))
         .groupBy(*keys)
-        .agg(F.min("first_due").alias("first_due"), F.min_by("amount_cents", "first_due").alias("due_cents"))
+        .agg(F.min("first_due").alias("first_due"), F.min_by("amount_cents", "first_due").alias("due_cents"), F.min(other).alias("other"))
         .select(
-            *keys,
-            _status_name(F.pmod(F.col("first_due"), F.lit(_SLOTS))).alias("due_status"),
-            (F.col("due_cents") / 100).alias("due_amount"),
+            *keys, _first_status(F.col("other.due_status")).alias("due_status"), from_cents(F.col("due_cents")).alias("due_amount")
         )
     )
 
     def total(kind: str, name: str) -> DataFrame:
-        return dated.filter(F.col("kind") == kind).groupBy(*keys).agg((F.sum("amount_cents") / 100).alias(name))
+        return dated.filter(F.col("kind") == kind).groupBy(*keys).agg(from_cents(F.sum("amount_cents")).alias(name))
 
     return (
         instalments.join(total("movement", "net_movement"), keys, "left")

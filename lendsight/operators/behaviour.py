@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from lendsight.functions.keys import cents
+from lendsight.functions.keys import cents, from_cents
 from lendsight.operators.activity import period_activity
 
 BALANCE_SPANS = (3, 6, 12)
@@ -68,7 +68,7 @@ def _balances() -> dict[str, Column]:
         frame = _last_rows(n)
         return F.sum("_balance_cents").over(frame).cast("double") / (F.count("_balance_cents").over(frame) * 100)
 
-    return {"balance": F.col("_balance_cents") / 100, **{f"balance_avg_{n}": mean(n) for n in BALANCE_SPANS}}
+    return {"balance": from_cents(F.col("_balance_cents")), **{f"balance_avg_{n}": mean(n) for n in BALANCE_SPANS}}
 
 
 def _overdraft_ratio() -> Column:
@@ -87,8 +87,10 @@ def with_late_streak(activity: DataFrame) -> DataFrame:
 
 def with_status_islands(activity: DataFrame) -> DataFrame:
     """Runs of equal lateness: change flag, run number and rank within the run."""
-    late = _is_late()
-    changed = F.coalesce((late != F.lag(late).over(_by_credit())).cast("int"), F.lit(1))
+    # 1 for late, 0 for on time, NULL for unknown; an unknown row starts a run, and so does the row after it.
+    state = _is_late().cast("int")
+    before = F.lag(state).over(_by_credit())
+    changed = F.when(state == before, F.lit(0)).otherwise(F.lit(1))
     within = Window.partitionBy("credit_id", "island").orderBy("period")
     return (
         activity.withColumn("changed", changed)
@@ -125,6 +127,8 @@ def features_from_activity(activity: DataFrame) -> DataFrame:
     return running.withColumns({"late_streak": _late_streak(), **_balances()}).select(*FEATURE_TABLE)
 
 
-def behaviour_features(events: DataFrame, grain: str = "month", order_by: Column | None = None) -> DataFrame:
-    """Feature table straight from raw events."""
-    return features_from_activity(period_activity(events, grain, order_by))
+def behaviour_features(
+    events: DataFrame, grain: str = "month", order_by: Column | None = None, known_only: bool = False
+) -> DataFrame:
+    """Feature table straight from raw events; for ``known_only`` see :func:`period_activity`."""
+    return features_from_activity(period_activity(events, grain, order_by, known_only))

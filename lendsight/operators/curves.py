@@ -8,6 +8,9 @@ from lendsight.functions.rules import SCORE_DECIMALS
 from lendsight.operators.ranking import running_totals
 
 
+ROUNDED_VALUES = 10**SCORE_DECIMALS + 1
+
+
 def confusion_matrix(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Counts for the four combinations of label and prediction; a combination that never occurs counts 0."""
     actual, predicted = F.col(label) == 1, F.col(prediction) == 1
@@ -43,12 +46,12 @@ def classification_metrics(predictions: DataFrame, label: str, prediction: str =
     )
 
 
-def threshold_table(scored: DataFrame, score: str, label: str, decimals: int | None = SCORE_DECIMALS) -> DataFrame:
+def threshold_table(scored: DataFrame, score: str, label: str, decimals: int | None = None) -> DataFrame:
     """Positives and negatives at every score, and true and false positives when it is the threshold.
 
-    Scores lie in 0..1. Rounded to four decimals they have at most 10 001
-    values, which are then summed in one task. With ``decimals=None`` every
-    distinct score is kept, and the running sums are spread over the cluster.
+    Every distinct score is kept, and the running sums are spread over the
+    cluster. ``decimals`` of at most four round scores of 0..1 first: they then
+    have at most 10 001 values, which are summed in one task.
     """
     value = F.col(score) if decimals is None else F.bround(F.col(score), decimals)
     counts = (
@@ -72,9 +75,12 @@ def roc_points(table: DataFrame, drop_collinear: bool = False) -> DataFrame:
     """False and true positive rates per threshold, from the origin (threshold NULL) on.
 
     ``drop_collinear`` leaves out points on the straight line between their
-    neighbours; that looks at the table in one task and is for rounded tables.
+    neighbours. It looks at neighbours in one task, so a table of more
+    thresholds than four decimals have is an error.
     """
     if drop_collinear:
+        if table.limit(ROUNDED_VALUES + 1).count() > ROUNDED_VALUES:
+            raise ValueError("drop_collinear needs scores rounded to four decimals")
         down = Window.orderBy(F.desc("threshold"))
         bends = F.lit(False)
         for c in ("tp", "fp"):

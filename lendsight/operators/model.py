@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from lendsight.functions.keys import period_of, split_bucket
-from lendsight.operators.curves import classification_metrics
+from lendsight.operators.curves import area_under_curves, classification_metrics, threshold_table
 from lendsight.session import scratch_path
 
 MODEL_FEATURES = [
@@ -114,18 +113,45 @@ def prediction_table(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     )
 
 
-def evaluate(predictions: DataFrame, label: str = LABEL) -> DataFrame:
+def with_margin(predictions: DataFrame) -> DataFrame:
+    """``margin``: the raw score of the positive class, which ranks finer than the probability near 0 and 1."""
+    return predictions.withColumn("margin", vector_to_array("rawPrediction")[1])
+
+
+def evaluate(predictions: DataFrame, label: str = LABEL, score: str = "margin") -> DataFrame:
     """One row with both areas under curve and precision, recall and F1 of the positive class, unweighted.
 
-    Three passes over ``predictions``, which should be a stored table.
+    The areas are exact: every distinct score is a threshold, and their sums
+    run over the cluster. Two passes over ``predictions``, which should be a
+    stored table.
     """
-    areas = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
-    auc_roc = areas.evaluate(predictions, {areas.metricName: "areaUnderROC"})
-    auc_pr = areas.evaluate(predictions, {areas.metricName: "areaUnderPR"})
+    areas = area_under_curves(threshold_table(predictions, score, label))
+    both = areas.select(F.struct("auc_roc", "auc_pr").alias("areas")).scalar()
     return classification_metrics(predictions, label).select(
-        F.lit(round(auc_roc, 4)).alias("auc_roc"),
-        F.lit(round(auc_pr, 4)).alias("auc_pr"),
+        F.bround(both["auc_roc"], 4).alias("auc_roc"),
+        F.bround(both["auc_pr"], 4).alias("auc_pr"),
         "precision_positive",
         "recall_positive",
         "f1_positive",
     )
+
+
+def weighted_gradient(model: PipelineModel, train: DataFrame, label: str = LABEL) -> DataFrame:
+    """(term, gradient): how far the fit is from its optimum on the rows it was fitted on, per feature and intercept.
+
+    The derivative of the mean weighted log loss: sum of weight x (probability
+    - label) x scaled feature, over the sum of weights. Zero at the optimum.
+    """
+    fitted = model.transform(train).select(
+        (F.col("weight") * (vector_to_array("probability")[1] - F.col(label))).alias("error"),
+        "weight", vector_to_array("scaled_features").alias("x"),
+    )
+    terms = {name: F.col("x")[i] for i, name in enumerate(MODEL_FEATURES)} | {"intercept": F.lit(1.0)}
+    sums = fitted.agg(*[(F.sum(F.col("error") * x) / F.sum("weight")).alias(name) for name, x in terms.items()])
+    return sums.unpivot([], list(terms), "term", "gradient")
+
+
+def scaled_features(model: PipelineModel, dataset: DataFrame) -> DataFrame:
+    """Key, period and the features as the fitted scaler sees them."""
+    scaled = model.transform(dataset).withColumn("_x", vector_to_array("scaled_features"))
+    return scaled.select("credit_id", "period", *[F.col("_x")[i].alias(name) for i, name in enumerate(MODEL_FEATURES)])

@@ -49,25 +49,32 @@ def credit_panel(
     start: str = PANEL_START,
     horizon: int = PANEL_MONTHS,
     thirty_day_steps: bool = False,
-    cluster: bool = False,
+    cluster: bool | int = False,
 ) -> DataFrame:
     """Days past due, stage and balance of every credit in every month it runs.
 
     ``dpd`` is an expression over the credit and ``month_index``, or a table
-    (credit_id, month_index, dpd). ``cluster`` shuffles the credits before the
-    expansion, so that later windows and joins per credit need no shuffle of the
-    many panel rows.
+    (credit_id, month_index, dpd), which must have a row for every month of a
+    credit: a month without one is an error, since a gap would shift every
+    later window. ``cluster`` shuffles the credits before the expansion, so
+    that later windows and joins per credit need no shuffle of the many panel
+    rows; a number asks for that many partitions, True for the session's
+    number of shuffle partitions. Up to ``horizon`` rows come of each credit,
+    so size the partitions by the panel, not by the credits.
     """
     if cluster:
-        # A fixed number of partitions: adaptive execution sizes them by the
-        # credits it shuffles and would merge what the expansion then multiplies.
-        partitions = int(credits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        credits = credits.repartition(partitions, "credit_id")
+        # A fixed number: adaptive execution sizes partitions by the credits it
+        # shuffles and would merge what the expansion then multiplies.
+        given = credits.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        credits = credits.repartition(int(given) if cluster is True else cluster, "credit_id")
     months = active_months(credits, horizon)
     if isinstance(dpd, DataFrame):
         # Spark takes the expanded months for as small as the credits and might
         # broadcast them; a merge join never does.
-        months = months.hint("merge").join(dpd.select("credit_id", "month_index", "dpd"), ["credit_id", "month_index"])
+        days = dpd.select("credit_id", "month_index", "dpd")
+        missing = F.concat_ws(" ", F.lit("no days past due for credit"), F.col("credit_id").cast("string"), F.lit("in month"), F.col("month_index").cast("string"))
+        months = months.hint("merge").join(days, ["credit_id", "month_index"], "left")
+        months = months.withColumn("dpd", F.coalesce("dpd", F.raise_error(missing).cast("int")))
     else:
         months = months.withColumn("dpd", dpd.cast("int"))
     months = months.withColumn("stage", rules.stage_from_dpd(F.col("dpd"))).withColumn(

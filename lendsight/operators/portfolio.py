@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from lendsight.functions import rules
+from lendsight.operators.curves import ROUNDED_VALUES
+from lendsight.operators.ranking import running_totals
+from lendsight.session import materialise
 
 WATCH_LIST_SIZE = 100
-_TIE_PREFIX = 4  # hex digits: ties are cut within one of 65 536 even slices
 
 
 def with_score(state: DataFrame) -> DataFrame:
@@ -61,21 +63,12 @@ def watch_list(state: DataFrame, limit: int = WATCH_LIST_SIZE) -> DataFrame:
     )
 
 
-# Headings of the watch list as shown to an analyst.
-WATCH_LIST_HEADINGS = {
-    "credit_id": "Crédit",
-    "country": "Pays",
-    "credit_type": "Type",
-    "score": "Score",
-    "alert_level": "Alerte",
-    "stage": "Stage IFRS9",
-    "outstanding": "Solde restant dû (FCFA)",
-    "late_streak": "Retards consécutifs",
-}
+WATCH_LIST_COLUMNS = ["credit_id", "country", "credit_type", "score", "alert_level", "stage", "outstanding", "late_streak"]
 
 
-def watch_list_display(watched: DataFrame) -> DataFrame:
-    return watched.select(*WATCH_LIST_HEADINGS).withColumnsRenamed(WATCH_LIST_HEADINGS)
+def watch_list_display(watched: DataFrame, headings: dict[str, str]) -> DataFrame:
+    """The watch list under the headings of a report; a column without one keeps its name."""
+    return watched.select(*[F.col(c).alias(headings.get(c, c)) for c in WATCH_LIST_COLUMNS])
 
 
 def _loss() -> Column:
@@ -104,73 +97,89 @@ def loss_by_country(state: DataFrame) -> DataFrame:
     )
 
 
-def _riskiest_share_cut(ranked: DataFrame, part: float) -> DataFrame:
-    """The last row inside the share, as (at, last_tie); no row if the share is empty.
+def _rank_score() -> Column:
+    return F.coalesce("score", F.lit(-1.0))  # an unknown score ranks last
 
-    ``ranked`` has ``rank_score``, the tie-breaking ``tie`` and its ``prefix``.
-    """
-    high_first = Window.orderBy(F.desc("rank_score"))
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    n, upto = F.col("n"), F.col("upto")
-    wanted = F.floor(F.sum(n).over(everything).cast("double") * F.lit(float(part)))
-    holds_last = (F.col("rest") > upto - n) & (F.col("rest") <= upto)
-    rest_inside = F.col("rest") - upto + n
-
-    score_cut = (
-        ranked.groupBy("rank_score")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumns({"rest": wanted, "upto": F.sum(n).over(high_first.rowsBetween(Window.unboundedPreceding, 0))})
-        .filter(holds_last)
-        .select("rank_score", rest_inside.alias("rest"))
-    )
-    prefix_cut = (
-        ranked.join(F.broadcast(score_cut), "rank_score")
-        .groupBy("rank_score", "rest", "prefix")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum(n).over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)))
-        .filter(holds_last)
-        .select("rank_score", "prefix", rest_inside.alias("rest"))
-    )
-    return (
-        ranked.join(F.broadcast(prefix_cut), ["rank_score", "prefix"])
-        .withColumn("place", F.row_number().over(Window.orderBy("tie")))
-        .filter(F.col("place") == F.col("rest"))
-        .select(F.col("rank_score").alias("at"), F.col("tie").alias("last_tie"))
+
+def _by_score(scored: DataFrame, **sums: Column) -> DataFrame:
+    """Rows and sums per score, stored: the one read of the whole table."""
+    return materialise(
+        scored.groupBy(_rank_score().alias("rank_score")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(name) for name, c in sums.items()]
+        ),
+        "by-score",
     )
 
 
-def riskiest_share(scored: DataFrame, part: float) -> Column:
-    """Predicate that holds for exactly ``floor(n * part)`` rows with the greatest scores.
+def _cut(by_score: DataFrame, part: float) -> Row | None:
+    """The score in which the share ends (``rank_score``) and how many of its rows are inside (``rest``); None for no rows.
 
-    Rows are never sorted. A histogram of the scores (at most 10 001 values)
-    finds the score at which the cut falls; equal scores follow the md5 of the
-    credit id, whose prefix gives a second even histogram, and only one of its
-    slices is ranked. That holds however many credits share the cut's score.
-    ``scored`` is read four times and should be a stored table.
+    Rounded scores have few values, which are summed in one task; a table with
+    more is summed in slices.
     """
     if not 0 <= part <= 1:
         raise ValueError("part must lie between 0 and 1")
-    score = F.coalesce("score", F.lit(-1.0))  # an unknown score ranks last
-    tie = F.md5(F.col("credit_id").cast("string"))
-    ranked = scored.select(score.alias("rank_score"), tie.alias("tie"), F.substring(tie, 1, _TIE_PREFIX).alias("prefix"))
-    cut = _riskiest_share_cut(ranked, part).select(F.struct("at", "last_tie")).scalar()
-    return F.coalesce((score > cut["at"]) | ((score == cut["at"]) & (tie <= cut["last_tie"])), F.lit(False))
+    if by_score.count() <= ROUNDED_VALUES:
+        down = Window.orderBy(F.desc("rank_score"))
+        everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        summed = by_score.withColumns(
+            {"upto": F.sum("n").over(down.rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n").over(everything)}
+        )
+    else:
+        summed = running_totals(by_score, "rank_score", {"upto": "n"}, descending=True, overall={"all": "n"})
+    wanted = F.floor(F.col("all").cast("double") * F.lit(float(part)))
+    ends_here = (F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)
+    return summed.filter(ends_here).select("rank_score", (wanted - F.col("upto") + F.col("n")).alias("rest")).first()
+
+
+def _cut_bucket(scored: DataFrame, cut: Row, **kept: Column) -> DataFrame:
+    """The rows of the cut's score that are inside the share: the first ``rest`` by credit, ranked in slices."""
+    bucket = scored.filter(_rank_score() == cut["rank_score"])
+    rows = bucket.select("credit_id", F.lit(1).alias("one"), *[c.alias(name) for name, c in kept.items()])
+    return running_totals(rows, "credit_id", {"place": "one"}).filter(F.col("place") <= cut["rest"])
+
+
+def riskiest_share(scored: DataFrame, part: float) -> Column:
+    """Predicate that holds for exactly ``floor(n * part)`` rows with the greatest scores, of equal ones in credit order.
+
+    The table is never sorted: rows per score find the score at which the cut
+    falls, and only the rows of that score are ranked, in slices over the
+    cluster, so that any number of credits may share it. ``scored`` has one row
+    per credit, is read twice and should be a stored table.
+    """
+    cut = _cut(_by_score(scored), part)
+    if cut is None:
+        return F.lit(False)
+    last = _cut_bucket(scored, cut).agg(F.max("credit_id").alias("last")).first()["last"]
+    score = _rank_score()
+    return (score > cut["rank_score"]) | ((score == cut["rank_score"]) & (F.col("credit_id") <= F.lit(last)))
 
 
 def provision_stress(scored: DataFrame, part: float) -> DataFrame:
     """Expected loss before and after the riskiest ``part`` of the credits drops one stage.
 
-    ``scored`` has credit_id, score, stage and outstanding, one row per credit,
-    and is best stored first (see :func:`riskiest_share`).
+    ``scored`` has credit_id, score, stage and outstanding, one row per credit.
+    Losses as they are and one stage down are summed per score in one read;
+    scores above the cut count whole, and only the rows of the cut's score are
+    read again. Best stored first.
     """
-    chosen = riskiest_share(scored, part)
-    stressed = F.when(F.col("chosen"), rules.downgraded_stage(F.col("stage"))).otherwise(F.col("stage"))
-    return (
-        scored.withColumn("chosen", chosen)
-        .agg(
-            F.count_if(F.col("chosen")).alias("n_downgraded"),
-            F.coalesce(F.sum(_loss()), F.lit(0.0)).alias("ecl_before"),
-            F.coalesce(F.sum(rules.expected_loss(F.col("outstanding"), stressed)), F.lit(0.0)).alias("ecl_after"),
+    worse = rules.expected_loss(F.col("outstanding"), rules.downgraded_stage(F.col("stage")))
+    by_score = _by_score(scored, loss=_loss(), worse=worse)
+    cut = _cut(by_score, part)
+    before = by_score.agg(F.coalesce(F.sum("loss"), F.lit(0.0)).alias("ecl_before"))
+    if cut is None:
+        return before.select(
+            F.lit(0).cast("bigint").alias("n_downgraded"), "ecl_before", F.col("ecl_before").alias("ecl_after"),
+            rules.variation_pct(F.col("ecl_before"), F.col("ecl_before")).alias("variation_pct"),
         )
-        .withColumn("variation_pct", rules.variation_pct(F.col("ecl_before"), F.col("ecl_after")))
-    )
+
+    def sums(rows: DataFrame, count: str) -> Column:
+        added = {"n": F.sum(count), "added": F.sum(F.col("worse") - F.col("loss"))}
+        return rows.agg(F.struct(*[F.coalesce(c, F.lit(0)).alias(name) for name, c in added.items()]).alias("sums")).scalar()
+
+    above = sums(by_score.filter(F.col("rank_score") > cut["rank_score"]), "n")
+    within = sums(_cut_bucket(scored, cut, loss=_loss(), worse=worse), "one")
+    return before.select(
+        (above["n"] + within["n"]).cast("bigint").alias("n_downgraded"), "ecl_before",
+        (F.col("ecl_before") + above["added"] + within["added"]).alias("ecl_after"),
+    ).withColumn("variation_pct", rules.variation_pct(F.col("ecl_before"), F.col("ecl_after")))

@@ -12,8 +12,10 @@ def latest_per_key(df: DataFrame, key: str, order: str, columns: list[str]) -> D
     """The row with the greatest ``order`` per key, by aggregation: no window and no sort.
 
     Numbers and dates aggregate in hash maps, and the rows of a key fold on the
-    map side. All columns follow the same order, so they come from one row; of
-    rows that share the greatest ``order`` it is any one.
+    map side. All columns follow the same order, so they come from one row.
+    A key must not have two rows of one order: it would be open which of them
+    counts. ``summary.duplicate_keys`` finds such rows, and the portfolio job
+    looks for them unless told not to.
     """
     return df.groupBy(key).agg(*[F.max_by(c, order).alias(c) for c in columns])
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lendsight.operators.labels import LABEL_HORIZON, in_default, with_label
+
 CORRELATED = ["late_streak", "balance_avg_3", "balance_avg_12", "overdraft_ratio_3", "incident_freq_6"]
 
 
@@ -13,35 +15,36 @@ def credit_country(credits: DataFrame, clients: DataFrame) -> DataFrame:
     )
 
 
+# Summary column: feature averaged, decimals.
+RISK_AVERAGES = {
+    "avg_incident_freq": ("incident_freq_6", 4),
+    "avg_late_streak": ("late_streak", 2),
+    "avg_overdraft_ratio": ("overdraft_ratio_3", 4),
+}
+
+
+def risk_cells(features: DataFrame, credits: DataFrame, clients: DataFrame) -> DataFrame:
+    """Credits, incident frequency, late streak and overdraft ratio per country and period, in no order."""
+    averages = [F.round(F.avg(feature), digits).alias(name) for name, (feature, digits) in RISK_AVERAGES.items()]
+    located = features.join(credit_country(credits, clients), "credit_id")
+    return located.groupBy("country", "period").agg(F.count(F.lit(1)).alias("n_credits"), *averages)
+
+
 def risk_by_country_period(features: DataFrame, credits: DataFrame, clients: DataFrame) -> DataFrame:
-    """Credits, incident frequency, late streak and overdraft ratio per country and period."""
-    return (
-        features.join(credit_country(credits, clients), "credit_id")
-        .groupBy("country", "period")
-        .agg(
-            F.count(F.lit(1)).alias("n_credits"),
-            F.round(F.avg("incident_freq_6"), 4).alias("avg_incident_freq"),
-            F.round(F.avg("late_streak"), 2).alias("avg_late_streak"),
-            F.round(F.avg("overdraft_ratio_3"), 4).alias("avg_overdraft_ratio"),
-        )
-        .orderBy("country", "period")
-    )
+    """``risk_cells`` ordered by country and period."""
+    return risk_cells(features, credits, clients).orderBy("country", "period")
 
 
 def risk_by_country_period_sql(features: DataFrame, credits: DataFrame, clients: DataFrame) -> DataFrame:
     """The same summary as a SQL query over the DataFrames, without names in the catalogue."""
+    averages = ", ".join(f"round(sum_{name} / known_{name}, {digits}) AS {name}" for name, (_, digits) in RISK_AVERAGES.items())
+    sums = ", ".join(
+        f"sum({feature}) AS sum_{name}, count({feature}) AS known_{name}" for name, (feature, _) in RISK_AVERAGES.items()
+    )
     return features.sparkSession.sql(
-        """
-        SELECT c.country, f.period,
-               count(*)                          AS n_credits,
-               round(avg(f.incident_freq_6), 4)   AS avg_incident_freq,
-               round(avg(f.late_streak), 2)       AS avg_late_streak,
-               round(avg(f.overdraft_ratio_3), 4) AS avg_overdraft_ratio
-        FROM {features} f
-        JOIN {credit_country} c ON c.credit_id = f.credit_id
-        GROUP BY c.country, f.period
-        ORDER BY c.country, f.period
-        """,
+        f"WITH totals AS (SELECT country, period, count(1) AS n_credits, {sums} "
+        "FROM {credit_country} NATURAL JOIN {features} GROUP BY ALL) "
+        f"SELECT country, period, n_credits, {averages} FROM totals ORDER BY country, period",
         features=features,
         credit_country=credit_country(credits, clients),
     )
@@ -78,22 +81,40 @@ def label_correlation(training: DataFrame, label: str, features: list[str] = COR
     )
 
 
-def incident_pivot(summary: DataFrame, countries: list[str]) -> DataFrame:
+def country_names(clients: DataFrame) -> list[str]:
+    """The known countries of a clients table, sorted: a distinct over one small column."""
+    return [row[0] for row in clients.select("country").distinct().filter("country IS NOT NULL").orderBy("country").collect()]
+
+
+def incident_pivot(cells: DataFrame, countries: list[str]) -> DataFrame:
     """Incident frequency with one row per period and one column per country.
 
-    Naming the countries saves the extra job that would look for them.
+    ``cells`` has one row per country and period. ``countries`` should come
+    from ``country_names``; a country in ``cells`` that it leaves out is an
+    error and not a lost column. Cells without a country have no column.
     """
-    return summary.groupBy("period").pivot("country", countries).agg(F.first("avg_incident_freq")).orderBy("period")
+    unlisted = F.raise_error(F.concat(F.lit("country without a column: "), F.col("country")))
+    known = F.when(F.col("country").isNull() | F.col("country").isin(countries), F.col("country")).otherwise(unlisted.cast("string"))
+    checked = cells.select("period", known.alias("country"), "avg_incident_freq")
+    return checked.groupBy("period").pivot("country", countries).agg(F.max("avg_incident_freq")).orderBy("period")
 
 
 def label_prevalence(panel: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Panel rows, label rows and share of positive labels."""
+    """Panel rows, label rows and share of positive labels of two stored tables."""
     n_panel = panel.agg(F.count(F.lit(1)).alias("n_panel")).scalar()
     return labels.agg(
         F.count(F.lit(1)).alias("n_labels"), F.avg(F.col(label).cast("double")).alias("prevalence")
     ).select(n_panel.alias("n_panel"), "n_labels", "prevalence")
 
 
+def panel_prevalence(panel: DataFrame, horizon: int = LABEL_HORIZON) -> DataFrame:
+    """The same of the labels that a panel gives, counted in the pass that makes them."""
+    label = F.when(~in_default(), F.col(f"default_within_{horizon}"))
+    return with_label(panel, horizon).agg(
+        F.count(F.lit(1)).alias("n_panel"), F.count(label).alias("n_labels"), F.avg(label.cast("double")).alias("prevalence")
+    )
+
+
 def ever_default_rate(panel: DataFrame) -> DataFrame:
     """Share of credits that were in stage 3 at least once."""
     ever = panel.groupBy("credit_id").agg(F.max((F.col("stage") == 3).cast("int")).alias("ever"))

@@ -15,7 +15,8 @@ from lendsight.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-NATIONS = [f"NATION_{i}" for i in range(25)]
+# Headings for the registered form of the watch list.
+HEADINGS = {"credit_id": "Credit", "credit_type": "Type of credit", "alert_level": "Alert", "late_streak": "Late in a row"}
 
 
 def _day(df: DataFrame, column: str = "period") -> DataFrame:
@@ -26,7 +27,7 @@ def _day(df: DataFrame, column: str = "period") -> DataFrame:
 
 
 def _daily_activity(spark, folder):
-    return _day(activity.period_activity(m.activity_events(spark, folder), m.GRAIN, F.col("event_id")))
+    return _day(activity.period_activity(m.activity_events(spark, folder), m.GRAIN, F.col("event_id"), known_only=True))
 
 
 def _daily_activity_joined(spark, folder):
@@ -35,18 +36,32 @@ def _daily_activity_joined(spark, folder):
 
 def _on_activity(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
     def query(spark, folder):
-        daily = activity.period_activity(m.activity_events(spark, folder), m.GRAIN, F.col("event_id"))
+        daily = activity.period_activity(m.activity_events(spark, folder), m.GRAIN, F.col("event_id"), known_only=True)
         return _day(operator(daily).select("credit_id", "period", *columns))
 
     return query
 
 
+def _odd_status_activity(spark, folder):
+    events = m.activity_events(spark, folder, odd_statuses=True)
+    return _day(activity.period_activity(events, m.GRAIN, F.col("event_id")))
+
+
+def _odd_status_features(spark, folder):
+    events = m.activity_events(spark, folder, odd_statuses=True)
+    return _day(behaviour.behaviour_features(events, m.GRAIN, F.col("event_id")))
+
+
+def _monthly_history(spark, folder):
+    return m.history_features(spark, folder).withColumn("period", period_label(F.col("period"), "month"))
+
+
 def _behaviour_features(spark, folder):
     return _day(m.activity_features(spark, folder))
 
 
 def _monthly_features(spark, folder):
-    features = behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id"))
+    features = behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id"), known_only=True)
     return features.withColumn("period", period_label(F.col("period"), "month"))
 
 
@@ -107,6 +122,10 @@ def _credit_lookup(spark, folder):
     return portfolio.credit_scores(m.activity_state(spark, folder), in_debt)
 
 
+def _credit_score(spark, folder):
+    return portfolio.credit_score(m.activity_state(spark, folder), m.ONE_CREDIT)
+
+
 def _provision_stress(spark, folder):
     scored = portfolio.with_score(m.activity_state(spark, folder)).select("credit_id", "score", "stage", "outstanding")
     return portfolio.provision_stress(materialise(scored, "scored"), m.STRESSED_PART)
@@ -147,7 +166,49 @@ def _model_predictions(spark, folder):
 
 def _model_metrics(spark, folder):
     _, predictions, _ = _fitted(spark, folder)
-    return model.evaluate(materialise(predictions.select(model.LABEL, "rawPrediction", "prediction"), "predictions"))
+    kept = model.with_margin(predictions).select(model.LABEL, "margin", "prediction")
+    return model.evaluate(materialise(kept, "predictions"))
+
+
+def _training_side(spark, folder):
+    weighted = materialise(model.with_class_weight(materialise(m.activity_training_set(spark, folder), "training")), "weighted")
+    fitted, _, _ = model.fit_and_predict(weighted)
+    return fitted, model.split_by_key(weighted)[0]
+
+
+def _scaled_features(spark, folder):
+    scaled = model.scaled_features(*_training_side(spark, folder))
+    return _day(scaled.withColumns({c: F.round(c, 6) for c in model.MODEL_FEATURES}))
+
+
+def _model_optimality(spark, folder):
+    gradient = model.weighted_gradient(*_training_side(spark, folder))
+    return gradient.select("term", F.round(F.abs("gradient"), 5).alias("gradient"))
+
+
+def _stored_predictions(spark, folder):
+    _, predictions, _ = _fitted(spark, folder)
+    path = scratch_path(spark, "predictions")
+    sinks.write_predictions(model.prediction_table(predictions), path)
+    return tables.read_predictions(spark, path)
+
+
+def _model_test_rows(spark, folder):
+    return _day(_stored_predictions(spark, folder).select("credit_id", "period", model.LABEL))
+
+
+def _roundtrip_predictions(spark, folder):
+    path = scratch_path(spark, "predictions")
+    scored = m.labelled_scores(spark, folder).withColumnRenamed("score", "probability_positive")
+    sinks.write_predictions(scored.withColumn("prediction", F.col("prediction").cast("double")), path)
+    read = tables.read_predictions(spark, path)
+    return read.withColumn("period", period_label(F.col("period"), "month"))
+
+
+def _roundtrip_metrics(spark, folder):
+    path = scratch_path(spark, "metrics")
+    sinks.write_metrics(model.evaluate(materialise(m.labelled_scores(spark, folder), "scores"), score="score"), path)
+    return tables.read_metrics(spark, path)
 
 
 # --- reports -------------------------------------------------------------------------
@@ -163,15 +224,13 @@ def _label_correlation(spark, folder):
 
 
 def _incident_pivot(spark, folder):
-    by_country = summary.risk_by_country_period(
-        m.activity_features(spark, folder), m.accounts(spark, folder), m.clients(spark, folder)
-    )
-    return _day(summary.incident_pivot(by_country, NATIONS))
+    clients = m.clients(spark, folder)
+    cells = summary.risk_cells(m.activity_features(spark, folder), m.accounts(spark, folder), clients)
+    return _day(summary.incident_pivot(cells, summary.country_names(clients)))
 
 
 def _label_prevalence(spark, folder):
-    panel = m.order_panel(spark, folder, cluster=True)
-    return summary.label_prevalence(panel, labels.default_labels(panel), model.LABEL)
+    return summary.panel_prevalence(m.order_panel(spark, folder, cluster=True))
 
 
 def _confusion_matrix(spark, folder):
@@ -184,7 +243,7 @@ def _alert_metrics(spark, folder):
 
 def _thresholds(spark, folder):
     # The curves read the table twice; it has at most 10 001 rows.
-    return materialise(curves.threshold_table(m.labelled_scores(spark, folder), "score", model.LABEL), "thresholds")
+    return materialise(curves.threshold_table(m.labelled_scores(spark, folder), "score", model.LABEL, rules.SCORE_DECIMALS), "thresholds")
 
 
 def _roc_points(spark, folder):
@@ -200,7 +259,7 @@ def _pr_points(spark, folder):
 
 
 def _auc_exact(spark, folder):
-    table = curves.threshold_table(m.labelled_scores(spark, folder), "score", model.LABEL)
+    table = curves.threshold_table(m.labelled_scores(spark, folder), "score", model.LABEL, rules.SCORE_DECIMALS)
     areas = curves.area_under_curves(table)
     return areas.select(F.round("auc_roc", 6).alias("auc_roc"), F.round("auc_pr", 6).alias("auc_pr"))
 
@@ -229,7 +288,7 @@ def _rate_clip(spark, folder):
 
 def _roundtrip_summary(spark, folder):
     path = scratch_path(spark, "summary")
-    features = behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id"))
+    features = behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id"), known_only=True)
     sinks.write_summary(summary.risk_by_country_period(features, m.accounts(spark, folder), m.clients(spark, folder)), path)
     return tables.read_summary(spark, path).withColumn("period", period_label(F.col("period"), "month"))
 
@@ -242,7 +301,7 @@ def _roundtrip_labels(spark, folder):
 
 def _roundtrip_jsonl(spark, folder):
     path = scratch_path(spark, "events")
-    sinks.write_events(m.order_events(spark, folder).na.fill({"country_code": "none"}), path)
+    sinks.write_events(m.order_events(spark, folder), path)
     return _day(tables.read_events(spark, path), "event_date")
 
 
@@ -254,11 +313,18 @@ def _roundtrip_csv(spark, folder):
 
 def _roundtrip_parquet(spark, folder):
     path = scratch_path(spark, "features")
-    sinks.write_features(behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id")), path)
+    sinks.write_features(behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id"), known_only=True), path)
     features = tables.read_features(spark, path)
     return features.withColumn("period", period_label(F.col("period"), "month"))
 
 
+def _roundtrip_history(spark, folder):
+    path = scratch_path(spark, "features")
+    sinks.write_features(m.history_features(spark, folder), path)
+    features = tables.read_features(spark, path, from_month="1994-03", to_month="1996-08")
+    return features.withColumn("period", period_label(F.col("period"), "month"))
+
+
 QUERIES: dict[str, Query] = {
     "daily_activity": _daily_activity,
     "daily_activity_joined": _daily_activity_joined,
@@ -271,6 +337,9 @@ QUERIES: dict[str, Query] = {
     "incident_frequency": _on_activity(behaviour.with_incident_frequency, "incident_freq_6"),
     "behaviour_features": _behaviour_features,
     "monthly_features": _monthly_features,
+    "odd_status_activity": _odd_status_activity,
+    "odd_status_features": _odd_status_features,
+    "monthly_history_features": _monthly_history,
     "risk_by_country_period": _risk_by_country_period,
     "risk_by_country_period_sql": _risk_by_country_period_sql,
     "credit_panel": _credit_panel,
@@ -284,8 +353,9 @@ QUERIES: dict[str, Query] = {
     "portfolio_state": m.activity_state,
     "risk_score": _on_state(portfolio.score_table),
     "credit_lookup": _credit_lookup,
+    "credit_score": _credit_score,
     "at_risk_top": _on_state(portfolio.watch_list),
-    "at_risk_display": _on_state(lambda state: portfolio.watch_list_display(portfolio.watch_list(state))),
+    "at_risk_display": _on_state(lambda state: portfolio.watch_list_display(portfolio.watch_list(state), HEADINGS)),
     "portfolio_overview": _on_state(portfolio.overview),
     "ecl_by_country": _on_state(portfolio.loss_by_country),
     "provision_stress": _provision_stress,
@@ -310,9 +380,15 @@ QUERIES: dict[str, Query] = {
     "rate_clip": _rate_clip,
     "model_predictions": _model_predictions,
     "model_metrics": _model_metrics,
+    "scaled_features": _scaled_features,
+    "model_optimality": _model_optimality,
+    "model_test_rows": _model_test_rows,
     "roundtrip_jsonl": _roundtrip_jsonl,
     "roundtrip_csv": _roundtrip_csv,
     "roundtrip_labels": _roundtrip_labels,
     "roundtrip_summary": _roundtrip_summary,
     "roundtrip_parquet": _roundtrip_parquet,
+    "roundtrip_history": _roundtrip_history,
+    "roundtrip_predictions": _roundtrip_predictions,
+    "roundtrip_metrics": _roundtrip_metrics,
 }

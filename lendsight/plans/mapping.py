@@ -14,6 +14,7 @@ from lendsight.session import materialise
 
 GRAIN = "day"
 STRESSED_PART = 0.1
+ONE_CREDIT = 7
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,8 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 # --- activity view -------------------------------------------------------------------
 
 
-def activity_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Events in our vocabulary; signups, which no feature uses, are left out at the scan."""
+def activity_events(spark: SparkSession, folder: str, odd_statuses: bool = False) -> DataFrame:
+    """Events in our vocabulary; signups, which no feature uses, are left out at the scan.
+
+    ``odd_statuses`` gives some instalments no status and some one that is not among the usual three.
+    """
     raw, digit = F.col("event_type"), F.col("digit")
     used = table(spark, folder, "events").filter(raw.isin("purchase", "click", "view", "error"))
     # A column of its own, so that the JSON is parsed once and only for instalments.
@@ -38,12 +42,47 @@ def activity_events(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").alias("credit_id"),
         F.to_date("ts").alias("event_date"),
         F.when(raw == "view", -F.col("value")).otherwise(F.col("value")).alias("amount"),
-        F.when(digit < 7, "on_time").when(digit < 9, "late").when(digit == 9, "unpaid").alias("due_status"),
+        (
+            F.when(digit < 5, "on_time").when(digit == 5, "disputed").when(digit.isin(7, 8), "late").when(digit == 9, "unpaid")
+            if odd_statuses
+            else F.when(digit < 7, "on_time").when(digit < 9, "late").when(digit == 9, "unpaid")
+        ).alias("due_status"),
     )
 
 
 def activity_features(spark: SparkSession, folder: str) -> DataFrame:
-    return behaviour.behaviour_features(activity_events(spark, folder), GRAIN, F.col("event_id"))
+    return behaviour.behaviour_features(activity_events(spark, folder), GRAIN, F.col("event_id"), known_only=True)
+
+
+def history_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Seven years of events of customers: an instalment per order, account movements and overdrafts per line.
+
+    Customers have months without any order, months with several, and orders without a status.
+    """
+    number = F.substring("o_orderpriority", 1, 1).cast("int")
+    orders = table(spark, folder, "orders")
+    instalments = orders.select(
+        (F.col("o_orderkey") * 8).alias("event_id"),
+        F.lit("instalment").alias("kind"),
+        F.col("o_custkey").alias("credit_id"),
+        F.to_date("o_orderdate").alias("event_date"),
+        F.col("o_totalprice").alias("amount"),
+        F.when(number == 1, "unpaid").when(number == 2, "late").when(number > 3, "on_time").alias("due_status"),
+    )
+    owners = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("credit_id"))
+    lines = table(spark, folder, "lineitem").join(owners, "l_orderkey").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"),
+        F.when(F.col("l_linenumber") == 7, "overdraft").otherwise("movement").alias("kind"),
+        "credit_id",
+        F.to_date("l_shipdate").alias("event_date"),
+        F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("amount"),
+        F.lit(None).cast("string").alias("due_status"),
+    )
+    return instalments.unionByName(lines)
+
+
+def history_features(spark: SparkSession, folder: str) -> DataFrame:
+    return behaviour.behaviour_features(history_events(spark, folder), "month", F.col("event_id"), known_only=True)
 
 
 def clients(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,28 +132,32 @@ def _with_age(features: DataFrame) -> DataFrame:
 
 def activity_panel(aged: DataFrame, credits: DataFrame) -> DataFrame:
     """Stage and balance per credit and day: thirty days past due for every late instalment in a row."""
-    return (
-        aged.select("credit_id", "period", (30 * F.col("late_streak")).cast("int").alias("dpd"), "months_elapsed")
-        .join(credits, "credit_id")
-        .select(
-            "credit_id",
-            "client_id",
-            "period",
-            F.col("period").alias("statement_date"),
-            "dpd",
-            rules.stage_from_dpd(F.col("dpd")).alias("stage"),
-            rules.outstanding_balance(F.col("principal"), F.col("term_months"), F.col("months_elapsed"), F.col("dpd")).alias("outstanding"),
-        )
+    return _valued(aged.select("credit_id", "period", _days_late().alias("dpd"), "months_elapsed").join(credits, "credit_id"))
+
+
+def _days_late() -> Column:
+    return (30 * F.col("late_streak")).cast("int")
+
+
+def _valued(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "credit_id",
+        "client_id",
+        "period",
+        F.col("period").alias("statement_date"),
+        "dpd",
+        rules.stage_from_dpd(F.col("dpd")).alias("stage"),
+        rules.outstanding_balance(F.col("principal"), F.col("term_months"), F.col("months_elapsed"), F.col("dpd")).alias("outstanding"),
     )
 
 
 def activity_state(spark: SparkSession, folder: str) -> DataFrame:
     """State of every user. Only last rows matter, so only those, one per user, are stored and joined."""
-    aged = _with_age(activity_features(spark, folder))
-    last = materialise(aged.filter("is_last"), "last-features")
-    credits = activity_credits(spark, folder)
-    panel = activity_panel(last, credits)
-    return state.portfolio_state(panel, last, credits, clients(spark, folder), panel_order="period")
+    aged = _with_age(activity_features(spark, folder)).filter("is_last")
+    last = materialise(aged.join(activity_credits(spark, folder), "credit_id"), "last-features")
+    terms = last.select("credit_id", "client_id", "principal", "credit_type", "term_months")
+    panel = _valued(last.withColumn("dpd", _days_late()))
+    return state.portfolio_state(panel, last, terms, clients(spark, folder), panel_order="period")
 
 
 def activity_labels(panel: DataFrame) -> DataFrame:
@@ -169,7 +212,7 @@ def order_panel(spark: SparkSession, folder: str, cluster: bool = False) -> Data
 
 
 def country_codes(spark: SparkSession, folder: str) -> DataFrame:
-    """Codes of the nations of four regions; the fifth region has none."""
+    """Codes of the nations of four regions; the fifth region has none on purpose, for events without a country folder."""
     code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
     return (
         table(spark, folder, "nation")

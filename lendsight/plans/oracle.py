@@ -17,10 +17,12 @@ ev AS (
            CAST(round_even(value * 100, 0) AS BIGINT) * CASE WHEN event_type = 'view' THEN -1 ELSE 1 END AS cents,
            CASE WHEN digit < 7 THEN 'on_time' WHEN digit < 9 THEN 'late' ELSE 'unpaid' END AS status
     FROM raw_events
-),
+),"""
+
+_ACTIVITY = """
 activity AS (
     SELECT credit_id, period,
-           arg_min(status, event_id) FILTER (WHERE event_type = 'purchase') AS due_status,
+           arg_min_null(status, event_id) FILTER (WHERE event_type = 'purchase') AS due_status,
            arg_min(cents, event_id) FILTER (WHERE event_type = 'purchase') AS due_cents,
            CAST(coalesce(sum(cents) FILTER (WHERE event_type IN ('click', 'view')), 0) AS BIGINT) AS movement_cents,
            CAST(coalesce(sum(cents) FILTER (WHERE event_type = 'error'), 0) AS BIGINT) AS overdraft_cents
@@ -29,9 +31,24 @@ activity AS (
     HAVING count(*) FILTER (WHERE event_type = 'purchase') > 0
 )"""
 
-_FEATURES = (
-    _EVENTS
-    + """,
+# Months of customers: orders as instalments, order lines as movements (the seventh as an overdraft).
+_HISTORY = """
+ev AS (
+    SELECT o_orderkey * 8 AS event_id, o_custkey AS credit_id, strftime(o_orderdate, '%Y-%m') AS period, 'purchase' AS event_type,
+           CAST(round_even(o_totalprice * 100, 0) AS BIGINT) AS cents,
+           CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'unpaid' WHEN '2' THEN 'late' WHEN '3' THEN NULL ELSE 'on_time' END AS status
+    FROM orders
+    UNION ALL
+    SELECT l_orderkey * 8 + l_linenumber, o_custkey, strftime(l_shipdate, '%Y-%m'),
+           CASE WHEN l_linenumber = 7 THEN 'error' ELSE 'click' END,
+           CAST(round_even(l_extendedprice * 100, 0) AS BIGINT) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END, NULL
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+),"""
+
+_RAW = _EVENTS
+_EVENTS = _RAW + _ACTIVITY
+
+_DERIVED = """,
 numbered AS (
     SELECT *, row_number() OVER w AS position,
            CAST(sum(movement_cents) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS balance_cents
@@ -40,18 +57,24 @@ numbered AS (
 ),
 features AS (
     SELECT credit_id, period, due_status,
-           CAST(position - coalesce(max(CASE WHEN due_status = 'on_time' THEN position END)
+           CAST(position - coalesce(max(CASE WHEN due_status IS NULL OR due_status = 'on_time' THEN position END)
                 OVER (w ROWS UNBOUNDED PRECEDING), 0) AS BIGINT) AS late_streak,
            balance_cents / 100.0::DOUBLE AS balance,
            CAST(sum(balance_cents) OVER (w ROWS 2 PRECEDING) AS DOUBLE) / (100 * count(*) OVER (w ROWS 2 PRECEDING)) AS balance_avg_3,
            CAST(sum(balance_cents) OVER (w ROWS 5 PRECEDING) AS DOUBLE) / (100 * count(*) OVER (w ROWS 5 PRECEDING)) AS balance_avg_6,
            CAST(sum(balance_cents) OVER (w ROWS 11 PRECEDING) AS DOUBLE) / (100 * count(*) OVER (w ROWS 11 PRECEDING)) AS balance_avg_12,
            avg(CASE WHEN overdraft_cents > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) OVER (w ROWS 2 PRECEDING) AS overdraft_ratio_3,
-           avg(CASE WHEN due_status = 'unpaid' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) OVER (w ROWS 5 PRECEDING) AS incident_freq_6
+           avg(CASE WHEN due_status = 'unpaid' THEN 1.0::DOUBLE WHEN due_status IS NOT NULL THEN 0.0::DOUBLE END) OVER (w ROWS 5 PRECEDING) AS incident_freq_6
     FROM numbered
     WINDOW w AS (PARTITION BY credit_id ORDER BY period)
 )"""
-)
+
+_FEATURES = _EVENTS + _DERIVED
+_HISTORY_FEATURES = _HISTORY + _ACTIVITY + _DERIVED
+_ODD = _RAW.replace(
+    "CASE WHEN digit < 7 THEN 'on_time' WHEN digit < 9 THEN 'late' ELSE 'unpaid' END",
+    "CASE WHEN digit < 5 THEN 'on_time' WHEN digit = 5 THEN 'disputed' WHEN digit = 6 THEN NULL WHEN digit < 9 THEN 'late' ELSE 'unpaid' END",
+) + _ACTIVITY
 
 _CREDITS = """,
 credits AS (
@@ -225,7 +248,7 @@ kinds AS (
     SELECT *, 'overdraft' AS kind FROM described WHERE overdraft_amount > 0
 ),
 emitted AS (
-    SELECT 'EVT' || substr(md5(credit_id::VARCHAR || '|' || month_index::VARCHAR || '|' || kind), 1, 16) AS event_id,
+    SELECT 'EVT' || md5(credit_id::VARCHAR || '|' || month_index::VARCHAR || '|' || kind) AS event_id,
            kind, credit_id, client_id, strftime(stated, '%Y-%m-%d') AS event_date,
            CASE kind WHEN 'instalment' THEN round_even(principal / term, 0) ELSE overdraft_amount END AS amount,
            CASE WHEN kind = 'instalment' THEN CASE WHEN dpd >= 30 THEN 'unpaid' WHEN dpd > 0 THEN 'late' ELSE 'on_time' END END AS due_status,
@@ -283,6 +306,54 @@ _SCORE_COLUMNS = "SELECT credit_id, score, alert_level, late_streak, stage FROM
 _PERCENT_RANK = """(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE) / count({c}) OVER ()"""
 
 
+_TALLY = """,
+tally AS (
+    SELECT count(*) FILTER (WHERE default_within_3 = 1 AND prediction = 1) AS tp,
+           count(*) FILTER (WHERE default_within_3 = 0 AND prediction = 1) AS fp,
+           count(*) FILTER (WHERE default_within_3 = 1 AND prediction = 0) AS fn
+    FROM judged
+)"""
+
+_SHARES = """round_even(CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END, 4) AS precision_positive,
+       round_even(CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END, 4) AS recall_positive,
+       round_even(CASE WHEN tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn)::DOUBLE ELSE 0 END, 4) AS f1_positive"""
+
+_STRIPS = """,
+strips AS (
+    SELECT ((fp - lag(fp, 1, 0) OVER w) * (tp + lag(tp, 1, 0) OVER w))::DOUBLE AS roc,
+           (tp - lag(tp, 1, 0) OVER w) * (tp / (tp + fp)::DOUBLE
+               + coalesce(lag(tp / (tp + fp)::DOUBLE) OVER w, tp / (tp + fp)::DOUBLE)) AS pr
+    FROM cumulative WINDOW w AS (ORDER BY threshold DESC)
+)"""
+
+_AREAS = ("sum(roc) / (2.0::DOUBLE * max(all_pos) * max(all_neg))", "sum(pr) / (2.0::DOUBLE * max(all_pos))")
+
+_METRICS = (
+    _daily(_CURVE)
+    + _STRIPS
+    + _TALLY
+    + f""",
+areas AS (SELECT round_even({_AREAS[0]}, 4) AS auc_roc, round_even({_AREAS[1]}, 4) AS auc_pr FROM strips, totals)
+SELECT auc_roc, auc_pr, {_SHARES} FROM areas, tally"""
+)
+
+# The rows on one side of the split by credit.
+_TRAINING_SIDE = """,
+side AS (
+    SELECT * FROM training
+    WHERE CAST(concat('0x', substr(md5(credit_id::VARCHAR), 1, 8)) AS BIGINT) % 100 {test} 75
+)"""
+
+_SCALED = (
+    " SELECT credit_id, period, "
+    + ", ".join(
+        f"round(CASE WHEN stddev_samp({c}) OVER () > 0 THEN {c}::DOUBLE / stddev_samp({c}) OVER () ELSE 0 END, 6) AS {c}"
+        for c in ("late_streak", "balance_avg_3", "balance_avg_6", "balance_avg_12", "overdraft_ratio_3", "incident_freq_6")
+    )
+    + " FROM side"
+)
+
+
 ORACLE_SQL: dict[str, str] = {
     "daily_activity": _daily(_EVENTS) + _ACTIVITY_COLUMNS,
     "daily_activity_joined": _daily(_EVENTS) + _ACTIVITY_COLUMNS,
@@ -294,6 +365,9 @@ ORACLE_SQL: dict[str, str] = {
     "incident_frequency": _daily(_FEATURES) + " SELECT credit_id, period, incident_freq_6 FROM features",
     "behaviour_features": _daily(_FEATURES) + _FEATURE_COLUMNS,
     "monthly_features": _by_month(_FEATURES) + _FEATURE_COLUMNS,
+    "odd_status_activity": _daily(_ODD) + _ACTIVITY_COLUMNS,
+    "odd_status_features": _daily(_ODD + _DERIVED) + _FEATURE_COLUMNS,
+    "monthly_history_features": "WITH" + _HISTORY_FEATURES + _FEATURE_COLUMNS,
     "risk_by_country_period": _daily(_FEATURES) + _RISK_SUMMARY,
     "risk_by_country_period_sql": _daily(_FEATURES) + _RISK_SUMMARY,
     "credit_panel": "WITH" + _MONTHS + """
@@ -320,10 +394,11 @@ FROM monthly QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY month_in
     "risk_score": _daily(_STATE) + "\n" + _SCORE_COLUMNS,
     "credit_lookup": _daily(_STATE)
     + f"\n{_SCORE_COLUMNS} WHERE credit_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
+    "credit_score": _daily(_STATE) + f"\n{_SCORE_COLUMNS} WHERE credit_id = 7",
     "at_risk_top": _daily(_STATE) + _WATCH_LIST,
     "at_risk_display": _daily(_STATE) + f"""
-SELECT credit_id AS "Crédit", country AS "Pays", credit_type AS "Type", score AS "Score", alert_level AS "Alerte",
-       stage AS "Stage IFRS9", outstanding AS "Solde restant dû (FCFA)", late_streak AS "Retards consécutifs"
+SELECT credit_id AS "Credit", country, credit_type AS "Type of credit", score, alert_level AS "Alert",
+       stage, outstanding, late_streak AS "Late in a row"
 FROM ({_WATCH_LIST})""",
     "portfolio_overview": _daily(_STATE) + """
 SELECT count(*) AS n_credits, count(*) FILTER (WHERE alert_level = 'low') AS n_low,
@@ -333,7 +408,7 @@ SELECT count(*) AS n_credits, count(*) FILTER (WHERE alert_level = 'low') AS n_l
     + " SELECT country, count(*) AS n_credits, sum(ecl) AS ecl FROM scored WHERE country IS NOT NULL GROUP BY country",
     "provision_stress": _daily(_STATE) + """,
 ranked AS (
-    SELECT *, row_number() OVER (ORDER BY score DESC, md5(credit_id::VARCHAR)) <= floor((SELECT count(*) FROM scored)::DOUBLE * 0.1::DOUBLE) AS chosen
+    SELECT *, row_number() OVER (ORDER BY score DESC, credit_id) <= floor((SELECT count(*) FROM scored)::DOUBLE * 0.1::DOUBLE) AS chosen
     FROM scored
 ),
 stressed AS (
@@ -375,17 +450,7 @@ grid AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) g(label, predicti
 SELECT g.label, g.prediction, count(j.credit_id) AS n
 FROM grid g LEFT JOIN judged j ON j.default_within_3 = g.label AND j.prediction = g.prediction
 GROUP BY g.label, g.prediction""",
-    "alert_metrics": _daily(_JUDGED) + """,
-tally AS (
-    SELECT count(*) FILTER (WHERE default_within_3 = 1 AND prediction = 1) AS tp,
-           count(*) FILTER (WHERE default_within_3 = 0 AND prediction = 1) AS fp,
-           count(*) FILTER (WHERE default_within_3 = 1 AND prediction = 0) AS fn
-    FROM judged
-)
-SELECT round_even(CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END, 4) AS precision_positive,
-       round_even(CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END, 4) AS recall_positive,
-       round_even(CASE WHEN tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn)::DOUBLE ELSE 0 END, 4) AS f1_positive
-FROM tally""",
+    "alert_metrics": _daily(_JUDGED) + _TALLY + f"\nSELECT {_SHARES} FROM tally",
     "roc_points": _daily(_CURVE) + _ROC.format(points="cumulative"),
     "roc_points_thinned": _daily(_CURVE) + """,
 bent AS (
@@ -396,16 +461,7 @@ bent AS (
 SELECT CAST(NULL AS DOUBLE) AS threshold, 1.0::DOUBLE AS precision, 0.0::DOUBLE AS recall
 UNION ALL
 SELECT threshold, tp / (tp + fp)::DOUBLE, tp / all_pos::DOUBLE FROM cumulative, totals""",
-    "auc_exact": _daily(_CURVE) + """,
-strips AS (
-    SELECT ((fp - lag(fp, 1, 0) OVER w) * (tp + lag(tp, 1, 0) OVER w))::DOUBLE AS roc,
-           (tp - lag(tp, 1, 0) OVER w) * (tp / (tp + fp)::DOUBLE
-               + coalesce(lag(tp / (tp + fp)::DOUBLE) OVER w, tp / (tp + fp)::DOUBLE)) AS pr
-    FROM cumulative WINDOW w AS (ORDER BY threshold DESC)
-)
-SELECT round(sum(roc) / (2.0::DOUBLE * max(all_pos) * max(all_neg)), 6) AS auc_roc,
-       round(sum(pr) / (2.0::DOUBLE * max(all_pos)), 6) AS auc_pr
-FROM strips, totals""",
+    "auc_exact": _daily(_CURVE) + _STRIPS + f"\nSELECT round({_AREAS[0]}, 6) AS auc_roc, round({_AREAS[1]}, 6) AS auc_pr FROM strips, totals",
     "pct_rank_avg_ties": "WITH amounts AS (SELECT o_orderkey, CAST(floor(o_totalprice / 100) AS BIGINT) AS hundreds FROM orders) "
     + "SELECT o_orderkey, hundreds, "
     + _PERCENT_RANK.format(c="hundreds")
@@ -422,7 +478,7 @@ FROM strips, totals""",
     "round_even(greatest(5.0::DOUBLE, least(45.0::DOUBLE, l_extendedprice / 1000)), 2) AS annual_rate_pct FROM lineitem",
     "roundtrip_jsonl": "WITH" + _MONTHLY_EVENTS + """
 SELECT event_id, kind, credit_id::VARCHAR AS credit_id, client_id::VARCHAR AS client_id, event_date, amount, due_status,
-       coalesce(country_code, 'none') AS country_code, year, month FROM emitted""",
+       country_code, year, month FROM emitted""",
     "roundtrip_csv": "WITH" + _MONTHS + """
 SELECT credit_id::VARCHAR AS credit_id, client_id::VARCHAR AS client_id, month_index, dpd, stage, outstanding, overdraft_amount,
        strftime(stated, '%Y-%m-%d') AS statement_date FROM monthly""",
@@ -431,5 +487,16 @@ SELECT credit_id::VARCHAR AS credit_id, client_id::VARCHAR AS client_id, month_i
        strftime(stated, '%Y-%m-%d') AS statement_date, stage, default_within_3
 FROM monthly_ahead WHERE stage <> 3""",
     "roundtrip_summary": _by_month(_FEATURES) + _RISK_SUMMARY,
+    "roundtrip_history": "WITH" + _HISTORY_FEATURES + _FEATURE_COLUMNS.replace("credit_id", "credit_id::VARCHAR AS credit_id")
+    + " WHERE period BETWEEN '1994-03' AND '1996-08'",
+    "roundtrip_predictions": _daily(_JUDGED) + """
+SELECT credit_id::VARCHAR AS credit_id, substr(period, 1, 7) AS period, default_within_3, score AS probability_positive,
+       prediction::DOUBLE AS prediction FROM judged""",
+    "scaled_features": _daily(_LABELS) + _TRAINING_SIDE.format(test="<") + _SCALED,
+    "model_optimality": "SELECT unnest(['late_streak', 'balance_avg_3', 'balance_avg_6', 'balance_avg_12', 'overdraft_ratio_3', "
+    "'incident_freq_6', 'intercept']) AS term, 0.0::DOUBLE AS gradient",
+    "model_test_rows": _daily(_LABELS) + _TRAINING_SIDE.format(test=">=")
+    + " SELECT credit_id::VARCHAR AS credit_id, strftime(date_trunc('month', period::DATE), '%Y-%m-%d') AS period, default_within_3 FROM side",
+    "roundtrip_metrics": _METRICS,
     "roundtrip_parquet": _by_month(_FEATURES) + _FEATURE_COLUMNS.replace("credit_id", "credit_id::VARCHAR AS credit_id"),
 }

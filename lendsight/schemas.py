@@ -101,16 +101,16 @@ DUE_STATUSES = {
     "impaye": "unpaid",
 }
 
-# Countries, their ISO codes and the share of banked adults in percent.
+# Countries and their ISO codes.
 COUNTRIES = [
-    ("Côte d'Ivoire", "CI", 29.508),
-    ("Bénin", "BJ", 35.708),
-    ("Burkina Faso", "BF", 21.754),
-    ("Mali", "ML", 24.011),
-    ("Niger", "NE", 8.678),
-    ("Sénégal", "SN", 22.468),
-    ("Guinée-Bissau", "GW", 16.398),
-    ("Togo", "TG", 29.757),
+    ("Côte d'Ivoire", "CI"),
+    ("Bénin", "BJ"),
+    ("Burkina Faso", "BF"),
+    ("Mali", "ML"),
+    ("Niger", "NE"),
+    ("Sénégal", "SN"),
+    ("Guinée-Bissau", "GW"),
+    ("Togo", "TG"),
 ]
 
 # Names of the tables below a portfolio folder.

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folder of the running job below the scratch folder; tables of a job live and go with it.
+_run_folder: list[str] = []
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -43,7 +48,25 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    root = _run_folder[-1] if _run_folder else scratch_root(spark)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """One scratch folder for what is stored within; it is removed at the end, also after an error.
+
+    For jobs, whose results are written before the end. A DataFrame that reads
+    a stored table must not leave the block.
+    """
+    folder = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
+    _run_folder.append(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

@@ -9,7 +9,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("lendsight-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lendsight.plans import catalog, oracle
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = oracle.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +37,7 @@ def _sorted_rows(columns, rows):
 
 
 def test_every_sql_twin_belongs_to_a_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"model_predictions", "model_metrics"}
 
