@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendsight.llm import bpe, ctw, embedding_dedup, html_text, jaccard_join, mixing, quality, sharding, token_files, toxicity
+from lendsight.llm import bpe, ctw, embedding_dedup, html_text, jaccard_join, mixing, oracles, quality, sharding, token_files, toxicity
 from lendsight.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,4 +114,7 @@ QUERIES: dict[str, Query] = {
     "op10_jaccard_join": jaccard_join_query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_mixed_sources": oracles.mixing_sql(MIX),
+    "op9_quality_rules": oracles.quality_sql(),
+}
