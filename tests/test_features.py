@@ -92,7 +92,51 @@ def test_first_instalment_of_a_month_counts(events, features):
 def test_unknown_status_counts_as_late_but_not_unpaid(spark):
     rows = [("x", "instalment", "C", day("2023-01-01"), 5.0, "disputed")]
     row = behaviour.behaviour_features(spark.createDataFrame(rows, SCHEMA)).first()
-    assert (row.due_status, row.late_streak, row.incident_freq_6) == ("other", 1, 0.0)
+    assert (row.due_status, row.late_streak, row.incident_freq_6) == ("disputed", 1, 0.0)
+
+
+def test_unknown_status_is_an_error_where_only_known_ones_are_expected(spark):
+    rows = [("x", "instalment", "C", day("2023-01-01"), 5.0, "disputed")]
+    with pytest.raises(Exception, match="unknown status of an instalment: disputed"):
+        activity.period_activity(spark.createDataFrame(rows, SCHEMA), known_only=True).collect()
+    plan = activity.period_activity(spark.createDataFrame(rows, SCHEMA), known_only=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_status_of_the_first_instalment_is_kept_among_known_and_unknown_ones(spark):
+    rows = [
+        ("a", "instalment", "C", day("2023-01-03"), 5.0, "disputed"), ("b", "instalment", "C", day("2023-01-02"), 6.0, "late"),
+        ("c", "instalment", "C", day("2023-02-01"), 7.0, "waived"), ("d", "instalment", "C", day("2023-02-02"), 8.0, None),
+    ]
+    for form in (activity.period_activity, activity.period_activity_joined):
+        got = form(spark.createDataFrame(rows, SCHEMA)).orderBy("period").collect()
+        assert [(r.due_status, r.due_amount) for r in got] == [("late", 6.0), ("waived", 7.0)]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_a_duplicated_event_with_another_amount_gives_one_answer(spark, partitions):
+    rows = [("x", "instalment", "C", day("2023-01-01"), float(a), "late") for a in (50, 20, 90, 30)]
+    events = spark.createDataFrame(rows, SCHEMA).repartition(partitions)
+    for known_only in (True, False):
+        assert activity.period_activity(events, known_only=known_only).first().due_amount == 20.0
+
+
+def test_instalments_without_an_order_key_come_last_and_wide_keys_are_errors(spark):
+    rows = [("1", "instalment", "C", day("2023-01-01"), 5.0, "late"), (None, "instalment", "C", day("2023-01-01"), 1.0, "unpaid"),
+            (None, "instalment", "D", day("2023-01-01"), 2.0, "unpaid")]
+    events = spark.createDataFrame(rows, SCHEMA)
+    got = {r.credit_id: r.due_amount for r in activity.period_activity(events, order_by=F.col("event_id").cast("bigint")).collect()}
+    assert got == {"C": 5.0, "D": 2.0}
+    for wide in (2**60, -1):
+        with pytest.raises(Exception, match="order key outside"):
+            activity.period_activity(events, order_by=F.lit(wide)).collect()
+
+
+def test_large_amounts_are_summed_exactly(spark):
+    rows = [("a", "instalment", "C", day("2023-01-01"), 2e15, "late"), ("b", "movement", "C", day("2023-01-02"), 3e17, None),
+            ("c", "movement", "C", day("2023-01-03"), 9e16, None), ("d", "movement", "C", day("2023-01-04"), -3e17, None)]
+    row = activity.period_activity(spark.createDataFrame(rows, SCHEMA)).first()
+    assert (row.due_amount, row.net_movement) == (2e15, 9e16)
 
 
 def test_all_statuses_missing_gives_null_frequency(spark):
@@ -181,7 +225,7 @@ def test_invariants(many):
 
 
 def test_one_shuffle_per_key_and_partial_sums(many):
-    plan = behaviour.behaviour_features(many)._jdf.queryExecution().executedPlan().toString()
+    plan = behaviour.behaviour_features(many, known_only=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(credit_id") == 2  # (credit, period) for the sums, credit for all windows
     assert "SortAggregate" not in plan and "partial_min" in plan
     assert plan.count("Sort [credit_id") == 1

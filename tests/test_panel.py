@@ -100,3 +100,14 @@ def test_instalment_events(spark, credits):
     first = [e for e in events if e.credit_id == "A" and e.month == 1]
     assert [(e.amount, e.due_status, e.country_code, str(e.event_date)) for e in first] == [(100.0, "on_time", "TG", "2022-01-01")]
     assert {e.due_status for e in events if e.kind == "instalment"} == {"on_time", "late", "unpaid"}
+
+
+def test_a_month_without_days_past_due_is_an_error(spark, credits):
+    dpd = spark.createDataFrame([("A", i, 0) for i in range(12) if i != 4] + [("B", i, 0) for i in (33, 34, 35)], "credit_id string, month_index int, dpd int")
+    with pytest.raises(Exception, match="no days past due for credit A in month 4"):
+        panel.credit_panel(credits, dpd).collect()
+
+
+def test_partitions_of_a_clustered_panel_by_argument(spark, credits):
+    built = panel.credit_panel(credits, F.lit(0), cluster=5)
+    assert built.rdd.getNumPartitions() == 5

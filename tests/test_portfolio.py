@@ -1,6 +1,5 @@
 """State, scores, watch list, provisions and stress against plain Python."""
 
-import hashlib
 import math
 import random
 
@@ -111,13 +110,12 @@ def test_credit_scores(spark, state, scores):
 
 
 def test_display_headings(state):
-    shown = portfolio.watch_list_display(portfolio.watch_list(state))
-    assert shown.columns == list(portfolio.WATCH_LIST_HEADINGS.values())
+    shown = portfolio.watch_list_display(portfolio.watch_list(state), {"credit_id": "No.", "stage": "Stage (IFRS 9)"})
+    assert shown.columns == ["No." if c == "credit_id" else "Stage (IFRS 9)" if c == "stage" else c for c in portfolio.WATCH_LIST_COLUMNS]
 
 
 def brute_force(rows, scores, part):
-    digest = lambda c: hashlib.md5(c.encode()).hexdigest()
-    ranked = sorted(rows, key=lambda r: (-(scores[r[0]] if scores[r[0]] is not None else -1), digest(r[0])))
+    ranked = sorted(rows, key=lambda r: (-(scores[r[0]] if scores[r[0]] is not None else -1), r[0]))
     k = math.floor(len(rows) * part)
     before = sum(loss(r[2], r[1]) for r in rows)
     after = sum(loss(r[2], min(r[1] + 1, 3) if i < k else r[1]) for i, r in enumerate(ranked))
@@ -167,6 +165,27 @@ def test_stress_rejects_a_share_outside_zero_to_one(state, part):
         portfolio.riskiest_share(portfolio.with_score(state), part)
 
 
+def test_stress_of_scores_that_are_not_rounded(spark, monkeypatch):
+    rows = [(f"C{i:04d}", 1 + i % 3, 1000.0 + i, ((i * 7919) % 1000) / 997) for i in range(1000)]
+    scored = spark.createDataFrame(rows, "credit_id string, stage int, outstanding double, score double")
+    chosen, before, after = brute_force(rows, {r[0]: r[3] for r in rows}, 0.37)
+    for most in (portfolio.ROUNDED_VALUES, 10):
+        monkeypatch.setattr(portfolio, "ROUNDED_VALUES", most)
+        row = portfolio.provision_stress(scored, 0.37).first()
+        assert (row.n_downgraded, row.ecl_before, row.ecl_after) == (len(chosen), before, after)
+
+
+def test_stress_reads_the_table_once_and_the_bucket_of_the_cut_again(spark, tmp_path, rows):
+    stored = str(tmp_path / "scored")
+    spark.createDataFrame([(r[0], r[1], r[2], 0.5) for r in rows], "credit_id string, stage int, outstanding double, score double").write.parquet(stored)
+    scored = spark.read.parquet(stored)
+    cut = portfolio._cut(portfolio._by_score(scored), 0.3)
+    bucket = scored.filter(portfolio._rank_score() == cut["rank_score"])
+    assert "coalesce(score" in bucket._jdf.queryExecution().executedPlan().toString().split("DataFilters")[1].split("]")[0]
+    final = portfolio.provision_stress(scored, 0.3)._jdf.queryExecution().optimizedPlan().toString()
+    assert stored not in final
+
+
 def test_stress_on_nothing(state):
     empty = portfolio.with_score(state.limit(0))
     row = portfolio.provision_stress(empty, 0.5).first()

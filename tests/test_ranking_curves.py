@@ -120,6 +120,12 @@ def test_areas_equal_the_library_evaluator(scored, decimals):
     assert areas.auc_pr == pytest.approx(judge.evaluate(rounded, {judge.metricName: "areaUnderPR"}), abs=1e-12)
 
 
+def test_dropping_collinear_points_needs_rounded_scores(spark):
+    exact = spark.range(curves.ROUNDED_VALUES + 1).select((F.col("id") / 20000).alias("score"), (F.col("id") % 2).cast("int").alias("label"))
+    with pytest.raises(ValueError, match="rounded"):
+        curves.roc_points(curves.threshold_table(exact, "score", "label"), drop_collinear=True)
+
+
 def test_areas_without_positives(spark):
     none = spark.createDataFrame([(0.1, 0), (0.2, 0)], SCORED)
     row = curves.area_under_curves(curves.threshold_table(none, "score", "label")).first()

@@ -5,7 +5,7 @@ import datetime
 import pandas as pd
 import pytest
 
-from lendsight.operators import summary
+from lendsight.operators import labels, summary
 
 FEATURES = "credit_id string, period date, late_streak bigint, overdraft_ratio_3 double, incident_freq_6 double"
 JAN, FEB = datetime.date(2023, 1, 1), datetime.date(2023, 2, 1)
@@ -36,7 +36,14 @@ def test_sql_form_leaves_no_view_behind(spark, features, owners):
 
 def test_pivot(features, owners):
     by_country = summary.risk_by_country_period(features, *owners)
-    assert [tuple(r) for r in summary.incident_pivot(by_country, ["Mali", "Togo"]).collect()] == [(JAN, None, 0.25), (FEB, 0.1667, 0.125)]
+    names = summary.country_names(owners[1])
+    assert names == sorted(names)
+    pivot = summary.incident_pivot(by_country, names)
+    assert [(r.period, r.Mali, r.Togo) for r in pivot.collect()] == [(JAN, None, 0.25), (FEB, 0.1667, 0.125)]
+    with pytest.raises(Exception, match="country without a column: Togo"):
+        summary.incident_pivot(by_country, ["Mali"]).collect()
+    plan = summary.incident_pivot(summary.risk_cells(features, *owners), names)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") <= 1
 
 
 def test_value_counts(spark):
@@ -61,8 +68,18 @@ def test_stage_share_prevalence_and_ever_default(spark):
     )
     assert [tuple(r) for r in summary.stage_share(panel).collect()] == [(JAN, 50.0), (FEB, 50.0)]
     assert tuple(summary.ever_default_rate(panel).first()) == (4, 2, 0.5)
-    labels = spark.createDataFrame([(1,), (0,), (0,), (0,)], "y int")
-    assert tuple(summary.label_prevalence(panel, labels, "y").first()) == (6, 4, 0.25)
+    known = spark.createDataFrame([(1,), (0,), (0,), (0,)], "y int")
+    assert tuple(summary.label_prevalence(panel, known, "y").first()) == (6, 4, 0.25)
+
+
+def test_prevalence_in_one_pass(spark):
+    rows = [("A", 0, 1), ("A", 1, None), ("A", 2, 3), ("B", 0, 2), ("B", 1, 1)]
+    panel = spark.createDataFrame(rows, "credit_id string, month_index int, stage int")
+    given = labels.default_labels(panel)
+    assert sorted((r.credit_id, r.month_index, r.default_within_3) for r in given.collect()) == [("A", 0, 1), ("A", 1, 1), ("B", 0, 0), ("B", 1, 0)]
+    assert tuple(summary.panel_prevalence(panel).first()) == tuple(summary.label_prevalence(panel, given, "default_within_3").first()) == (5, 4, 0.5)
+    plan = summary.panel_prevalence(panel)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window ") == 1
 
 
 def test_event_partitions(spark):
