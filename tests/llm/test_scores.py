@@ -65,8 +65,8 @@ def test_margins_are_met(spark):
     mass = Counter()
     for s, lang, topic, n in rows:
         cell = (s, lang if lang in TARGETS.lang else "other", topic if topic in TARGETS.topic else "other")
-        for x in cell:
-            mass[x, cell.index(x)] += n / total * found[cell]
+        for at, x in enumerate(cell):
+            mass[x, at] += n / total * found[cell]
     assert math.isclose(mass["en", 1], 0.5, rel_tol=1e-6) and math.isclose(mass["short", 2], 0.4, rel_tol=1e-6)
     assert math.isclose(mass["other", 1], 0.2, rel_tol=1e-6)
 
