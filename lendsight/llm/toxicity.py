@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -11,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lendsight.llm.jaccard_join import shingles
 from lendsight.llm.words import Memo, words_of
 from lendsight.session import materialise
 
@@ -18,7 +18,7 @@ from lendsight.session import materialise
 EXAMPLES = 4000
 #: Terms that vectors are made of, those that tell the classes apart best.
 TERMS = 600
-LEAST_CHI2 = 30.0
+LEAST_CHI2 = 40.0
 NEIGHBOURS = 15
 BLOCK = 64
 PREFIXES = (4, 5, 6)
@@ -53,15 +53,27 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def sampled_examples(rows: DataFrame, examples: int = EXAMPLES) -> tuple[DataFrame, dict[int, float]]:
-    """At most ``examples`` keys of each class, by a hash of the key; and how many rows each example stands for."""
+def sampled_examples(rows: DataFrame, examples: int = EXAMPLES) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``examples`` keys of each class, by a hash of the key; and the rows of each class."""
     counts = {row["label"]: row["n"] for row in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     place = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) / 1_000_003
-    parts, share = [], {}
+    parts = []
     for label in (0, 1):
-        share[label] = min(1.0, 0.95 * examples / max(counts.get(label, 0), 1))
-        parts.append(rows.filter((F.col("label") == label) & (place < share[label])).limit(examples))
-    return parts[0].union(parts[1]), {label: 1 / share[label] for label in share}
+        share = min(1.0, 0.95 * examples / max(counts.get(label, 0), 1))
+        parts.append(rows.filter((F.col("label") == label) & (place < share)).limit(examples))
+    return parts[0].union(parts[1]), {label: counts.get(label, 0) for label in (0, 1)}
+
+
+def fingerprints(text: Column) -> Column:
+    """The least and the greatest hash of a text's shingles: copies share both, most near copies at least one."""
+
+    @F.arrow_udf("struct<least:long,most:long>")
+    def ends(texts: pa.Array) -> pa.Array:
+        sets = [shingles(t).view(np.int64) for t in texts.to_pylist()]
+        columns = [pa.array([int(s[at]) if len(s) else 0 for s in sets], pa.int64()) for at in (0, -1)]
+        return pa.StructArray.from_arrays(columns, ["least", "most"])
+
+    return ends.asNondeterministic()(text)
 
 
 @dataclass
@@ -81,8 +93,8 @@ class Index:
     most: dict[bytes, np.ndarray] = field(default_factory=dict)
     #: Votes of a class count as many rows as an example stands for.
     stands_for: dict[int, float] = field(default_factory=lambda: {0: 1.0, 1: 1.0})
-    #: Upper ends of shares of votes and the probability up to each; and that of a text without any term.
-    steps: list[float] = field(default_factory=list)
+    #: Shares of votes and the probability at each, between which it rises evenly; and that of a text without any term.
+    centres: list[float] = field(default_factory=list)
     probability: list[float] = field(default_factory=list)
     without: float = 0.0
 
@@ -148,7 +160,7 @@ class Index:
         return votes[1] / sum(votes)
 
     def calibrate(self, judged: list[tuple[float | None, int]]) -> None:
-        """Fits probabilities to shares of votes: a step function that never falls, each step pooled with a prior row.
+        """Fits probabilities to shares of votes: pools of neighbouring shares whose rates never fall, each with a prior row.
 
         ``judged``: for every example its share of votes without itself, None
         without neighbours, and its label.
@@ -158,22 +170,28 @@ class Index:
         base = (total[1] + 1e-9) / (sum(total) + 2e-9) if judged else 0.0
         bare = [sum(weight[y] for s, y in judged if s is None and y == label) for label in (0, 1)]
         self.without = (bare[1] + base) / (sum(bare) + 1)
-        pools: list[list[float]] = []
-        for share, label in sorted((s, y) for s, y in judged if s is not None):
-            pools.append([share, weight[label] * label, weight[label]])
-            while len(pools) > 1 and (pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2] or pools[-2][0] == pools[-1][0]):
+        by_share: dict[float, list[float]] = {}
+        for share, label in judged:
+            if share is not None:
+                sums = by_share.setdefault(round(share, 9), [0.0, 0.0])
+                sums[0] += weight[label] * label
+                sums[1] += weight[label]
+        pools: list[list[float]] = []  # sums of weight x share, weight x label and weight
+        for share, (ones, w) in sorted(by_share.items()):
+            pools.append([w * share, ones, w])
+            while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
                 last = pools.pop()
-                pools[-1] = [last[0], pools[-1][1] + last[1], pools[-1][2] + last[2]]
-        self.steps = [p[0] for p in pools[:-1]]
+                pools[-1] = [x + y for x, y in zip(pools[-1], last, strict=True)]
+        self.centres = [p[0] / p[2] for p in pools]
         self.probability = [(p[1] + base) / (p[2] + 1) for p in pools]
 
     def score(self, counts: dict[bytes, int], evidence: int = 3) -> tuple[float, list[tuple[object, float, int]]]:
         near = self.nearest(self.vector(counts)) if counts else []
         if not near or not self.probability:
             return self.without, []
-        step = bisect_right(self.steps, self.share(near) - 1e-12)
+        score = float(np.interp(self.share(near), self.centres, self.probability))
         shown = [(self.keys[place], min(cosine, 1.0), int(self.labels[place])) for cosine, place in near[:evidence]]
-        return self.probability[step], shown
+        return score, shown
 
 
 class TermCounter:
@@ -191,8 +209,12 @@ class TermCounter:
         return counts
 
 
-def telling_terms(examples: DataFrame, weight: dict[int, float]) -> list[bytes]:
-    """The terms whose presence tells the classes apart best, by the chi-square of their documents."""
+def telling_terms(examples: DataFrame, sizes: dict[int, int]) -> list[bytes]:
+    """The terms whose presence tells the classes apart best, by the chi-square of their documents.
+
+    ``examples`` must be free of copies: else the chance words of a copied
+    text would look as if they told something. ``sizes``: examples by class.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,13 +226,11 @@ def telling_terms(examples: DataFrame, weight: dict[int, float]) -> list[bytes]:
             yield pa.RecordBatch.from_arrays(columns, ["term", "clean", "toxic"])
 
     found = examples.select("text", "label").mapInArrow(spread, "term binary, clean long, toxic long")
-    sizes = {row["label"]: row["n"] for row in examples.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    clean, toxic = sizes.get(0, 0) * weight[0], sizes.get(1, 0) * weight[1]
+    clean, toxic = sizes[0], sizes[1]
     if not clean or not toxic:
         return []
-    a, b = F.sum("toxic") * weight[1], F.sum("clean") * weight[0]
-    a, b, both = a.cast("double"), b.cast("double"), float(clean + toxic)
-    chi2 = both * F.pow(a * (clean - b) - b * (toxic - a), F.lit(2.0)) / (toxic * clean * (a + b) * (both - a - b + 1e-9))
+    a, b, both = F.sum("toxic").cast("double"), F.sum("clean").cast("double"), float(clean + toxic)
+    chi2 = both * F.pow(a * (clean - b) - b * (toxic - a), F.lit(2.0)) / (float(toxic) * clean * (a + b) * (both - a - b + 1e-9))
     best = found.groupBy("term").agg(chi2.alias("chi2")).filter(F.col("chi2") >= LEAST_CHI2)
     return [bytes(row["term"]) for row in best.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
 
@@ -236,13 +256,20 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Index of examples with calibrated votes.
 
     Examples are a bounded sample of the labelled rows (``examples`` of each
-    class), document frequencies count all of ``docs``. The driver gets the
-    chosen terms, their counts and the vectors of the examples, no texts.
+    class), one of each group of copies; an example stands for as many rows as
+    its class has per example. Document frequencies count all of ``docs``. The
+    driver gets the chosen terms, their counts and the vectors of the
+    examples, no texts.
     """
-    rows, stands_for = sampled_examples(training_rows(labels, key, label), examples)
+    rows, counts = sampled_examples(training_rows(labels, key, label), examples)
     chosen = F.broadcast(materialise(rows, "example-keys"))
-    texts = materialise(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, "key"), "examples")
-    terms = telling_terms(texts, stands_for)
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, "key")
+    texts = texts.withColumn("ends", fingerprints(F.col("text"))).select("key", "text", "label", "ends.least", "ends.most")
+    texts = texts.dropDuplicates(["label", "least"]).dropDuplicates(["label", "most"]).select("key", "text", "label")
+    texts = materialise(texts, "examples")
+    sizes = {0: 0, 1: 0} | {row["label"]: row["n"] for row in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    stands_for = {c: counts[c] / max(sizes[c], 1) for c in (0, 1)}
+    terms = telling_terms(texts, sizes)
     size, seen = document_frequencies(docs, text, terms)
     idf = {t: float(np.log((size + 1) / (seen.get(t, 0) + 1))) + 1 for t in terms}
 

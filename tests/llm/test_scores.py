@@ -121,6 +121,29 @@ def test_scores_rise_with_votes(index):
     assert made.score({})[0] == made.without and made.score({b"unknown": 3}) == (made.without, [])
 
 
+def test_calibration_keeps_shares_apart():
+    made = toxicity.Index(IDF, stands_for={0: 3.5, 1: 1.1})
+    made.calibrate([(0.0, 0)] * 21 + [(1.0, 0)] + [(1.0, 1)] * 1278 + [(None, 0)] * 3416)
+    assert made.centres == [0.0, 1.0] and made.probability[0] < 0.05 and made.probability[1] > 0.95 and made.without < 0.01
+    made.calibrate([(0.2, 1), (0.4, 0), (0.9, 1)])
+    assert len(made.centres) == 2 and made.probability == sorted(made.probability)
+    made.calibrate([])
+    assert made.score({b"idiot": 1}) == (made.without, [])
+
+
+def test_copies_of_toxic_texts_teach_no_chance_words(spark):
+    docs, labels, known = _labelled(spark)
+    copied = " ".join(["idiot"] + [f"chance{i}" for i in range(40)])
+    more = [(2000 + i, copied if i % 2 else copied.replace("chance7 ", f"other{i} ")) for i in range(120)]
+    held = [(5000 + i, f"chance{i} " + " ".join(f"word{(i * 7 + j) % 200}" for j in range(30))) for i in range(40)]
+    docs = docs.union(spark.createDataFrame(more + held, docs.schema))
+    labels = labels.union(spark.createDataFrame([(k, 1) for k, _ in more], labels.schema))
+    index = toxicity.fit(docs, labels)
+    assert not [t for t in index.idf if t.startswith(b"chance") and not t.endswith(b"*")]
+    rows = docs.filter("doc_id >= 5000 and doc_id < 6000").select(toxicity.toxicity(F.col("text"), index, spark).alias("t")).collect()
+    assert all(r.t.score < 0.7 for r in rows)
+
+
 def _labelled(spark, documents=600):
     rng = np.random.default_rng(3)
     words = [f"word{i}" for i in range(200)]
