@@ -28,19 +28,22 @@ from lendsight.session import materialise, scratch_path
 LENGTH = 2048
 #: Sequences in a record batch.
 BATCH = 256
-MAX_STRETCHES = 500_000
+#: Words in each of the two generations that a worker remembers.
+MAX_WORDS = 450_000
 
 
 class TokenizerMemo:
-    """A tokenizer file applied to whole texts, encoding each distinct stretch once.
+    """A tokenizer file applied to whole texts, encoding each distinct word once.
 
     A byte-level tokenizer's pieces never reach across a space between two
     characters that are not white space, so a text without white space beside
-    white space is the concatenation of its stretches cut at spaces. Any other
-    text is encoded as it is.
+    white space is the concatenation of its words, each with the space before
+    it. Any other text is encoded as it is. New words are encoded many at a
+    time as one text, which is cut again at the tokens that begin with a space.
     """
 
     WIDE = regex.compile(r"\s\s")
+    AT_ONCE = 20_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -48,27 +51,47 @@ class TokenizerMemo:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)])
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in encoded]
+        return [np.array(e.ids, dtype=self.dtype) for e in encoded]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        ids = self._ids([" " + " ".join(words)])[0]
+        begins = np.flatnonzero(self.opens[ids])
+        if len(begins) != len(words):
+            return [x.tobytes() for x in self._ids([" " + w for w in words])]
+        raw, size = ids.tobytes(), self.dtype.itemsize
+        cuts = [*(begins * size).tolist(), len(raw)]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.known) > MAX_WORDS:
+            self.older, self.known = self.known, {}
+        new = words.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        if "" in new and "" not in again:
+            self.known[""] = self._ids([" "])[0].tobytes()
+        new = list(new - again - {""})
+        for at in range(0, len(new), self.AT_ONCE):
+            some = new[at: at + self.AT_ONCE]
+            self.known.update(zip(some, self._word_ids(some), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            if self.WIDE.search(text):
-                cut.append(None)
-            else:
-                first, *rest = text.split(" ")
-                cut.append([first, *[" " + x for x in rest]])
-        if len(self.known) > MAX_STRETCHES:
-            self.known.clear()
-        new = list({x for stretches in cut if stretches for x in stretches}.difference(self.known))
-        self.known.update(zip(new, self._ids(new), strict=True))
-        whole = iter(self._ids([t for t, stretches in zip(texts, cut, strict=True) if stretches is None]))
-        return [next(whole) if c is None else b"".join([self.known[x] for x in c]) for c in cut]
+        words = [None if self.WIDE.search(t) else t.split(" ") for t in texts]
+        self._learn({w for own in words if own for w in own[1:]})
+        whole = self._ids([t if own is None else own[0] for t, own in zip(texts, words, strict=True)])
+        return [
+            first.tobytes() + b"".join([self.known[w] for w in own[1:]]) if own else first.tobytes()
+            for first, own in zip(whole, words, strict=True)
+        ]
 
 
 @lru_cache(maxsize=2)
