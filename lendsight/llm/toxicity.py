@@ -81,15 +81,14 @@ class Index:
     """Examples as unit vectors of TF-IDF, by term and by block.
 
     ``postings`` has for each term the examples that hold it, in order, and
-    their weights; ``starts`` where each block begins in them; ``most`` the
-    greatest weight of the term in each block.
+    their weights; ``blocks`` the block of each; ``most`` the greatest weight of the term in each block.
     """
 
     idf: dict[bytes, float]
     keys: list = field(default_factory=list)
     labels: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=int))
     postings: dict[bytes, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    starts: dict[bytes, np.ndarray] = field(default_factory=dict)
+    blocks: dict[bytes, np.ndarray] = field(default_factory=dict)
     most: dict[bytes, np.ndarray] = field(default_factory=dict)
     #: Votes of a class count as many rows as an example stands for.
     stands_for: dict[int, float] = field(default_factory=lambda: {0: 1.0, 1: 1.0})
@@ -117,7 +116,7 @@ class Index:
         for term, found in by_term.items():
             places, weights = np.array([p for p, _ in found]), np.array([w for _, w in found])
             made.postings[term] = places, weights
-            made.starts[term] = np.searchsorted(places, np.arange(blocks + 1) * BLOCK)
+            made.blocks[term] = places // BLOCK
             made.most[term] = np.zeros(blocks)
             np.maximum.at(made.most[term], places // BLOCK, weights)
         return made
@@ -130,26 +129,34 @@ class Index:
     def nearest(self, vector: dict[bytes, float], k: int = NEIGHBOURS, without: object = None) -> list[tuple[float, int]]:
         """The ``k`` examples of greatest cosine, as (cosine, place); of equals the first places.
 
-        Blocks are scored from the highest bound down, and none whose bound is
-        below the k-th cosine so far is opened, so the answer is exact.
+        The two blocks of the highest bounds are scored first; their k-th
+        cosine is a floor, and only blocks whose bound reaches it are scored
+        besides, so the answer is exact.
         """
         terms = [(w, t) for t, w in vector.items() if t in self.postings]
         if not terms:
             return []
         bounds = sum(w * self.most[t] for w, t in terms)
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < -best[-1][0] - 1e-12):
-                break
-            scores = np.zeros(BLOCK)
-            for weight, term in terms:
-                begin, end = self.starts[term][block: block + 2]
-                if begin < end:
-                    places, weights = self.postings[term]
-                    scores[places[begin:end] - block * BLOCK] += weight * weights[begin:end]
-            found = [(-scores[i], block * BLOCK + i) for i in np.flatnonzero(scores > 0).tolist()]
-            best = sorted(best + [x for x in found if without is None or self.keys[x[1]] != without])[:k]
-        return [(-score, place) for score, place in best]
+        opened = np.zeros(len(bounds), dtype=bool)
+        opened[np.argsort(-bounds, kind="stable")[:2]] = True
+        best = self._scored(terms, opened, k, without)
+        floor = best[-1][0] if len(best) == k else 0.0
+        more = (bounds > 0) & (bounds >= floor - 1e-12)
+        return best if not (more & ~opened).any() else self._scored(terms, more | opened, k, without)
+
+    def _scored(self, terms: list[tuple[float, bytes]], opened: np.ndarray, k: int, without: object) -> list[tuple[float, int]]:
+        """The ``k`` best examples of the opened blocks."""
+        scores = np.zeros(len(opened) * BLOCK)
+        for weight, term in terms:
+            places, weights = self.postings[term]
+            inside = opened[self.blocks[term]]
+            scores[places[inside]] += weight * weights[inside]
+        found = np.flatnonzero(scores > 0)
+        if without is not None:
+            found = found[[self.keys[p] != without for p in found.tolist()]]
+        if len(found) > k:
+            found = found[scores[found] >= np.partition(scores[found], len(found) - k)[len(found) - k]]
+        return sorted(((float(scores[p]), p) for p in found.tolist()), key=lambda x: (-x[0], x[1]))[:k]
 
     def share(self, near: list[tuple[float, int]]) -> float:
         """Share of the votes for label 1; a vote weighs the more the nearer the example is."""
