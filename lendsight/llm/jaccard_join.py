@@ -162,7 +162,9 @@ def similar_documents(
     groups = connected_components(edges).withColumnRenamed("component", "group")
 
     candidates = materialise(groups.join(members.drop("signature"), "id"), "candidates")
-    texts = candidates.select("id", F.col("least").alias(key), F.col("digest").alias("_digest")).join(docs.select(key, text), key)
+    # The number of candidates has no bound, so they are never broadcast.
+    named = candidates.select("id", F.col("least").alias(key), F.col("digest").alias("_digest")).hint("merge")
+    texts = named.join(docs.select(key, text), key)
     packed = texts.withColumn("_packed", packed_shingles(F.col(text))).filter("_packed.digest = _digest")
     payload = packed.select("id", F.col("_packed.payload").alias("payload")).groupBy("id").agg(F.first("payload").alias("payload"))
     compared = linked_members(
@@ -187,4 +189,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """The documents with the least key of their group; rows with a NULL key or without words stay."""
     found = similar_documents(docs, key, text)
     repeated = found.filter(f"{key} <> class_id").select(F.col(key).alias("_repeated")).distinct()
-    return docs.join(repeated, F.col(key) == F.col("_repeated"), "left_anti")
+    return docs.join(repeated.hint("merge"), F.col(key) == F.col("_repeated"), "left_anti")
