@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +18,9 @@ from lendsight.session import materialise
 
 #: Labelled examples of each class that the index holds at most; the bound of what the driver sees.
 EXAMPLES = 4000
-#: Terms that vectors are made of, those that tell the classes apart best.
-TERMS = 600
-LEAST_CHI2 = 40.0
+#: Examples that a term is in at least, and by how much its rates in the two classes differ at least: neither depends on the number of rows.
+LEAST_SUPPORT = 3
+LEAST_RATIO = 2.0
 NEIGHBOURS = 15
 BLOCK = 64
 PREFIXES = (4, 5, 6)
@@ -76,20 +78,36 @@ def fingerprints(text: Column) -> Column:
     return ends.asNondeterministic()(text)
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after the other, and for each the place of its range."""
+    sizes = high - low
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(which)) + (low - (np.cumsum(sizes) - sizes))[which], which
+
+
+def _empty(kind: type = int):
+    return field(default_factory=lambda: np.empty(0, dtype=kind))
+
+
 @dataclass
 class Index:
-    """Examples as unit vectors of TF-IDF, by term and by block.
+    """Examples as unit vectors of weighted terms, by term and by block.
 
-    ``postings`` has for each term the examples that hold it, in order, and
-    their weights; ``blocks`` the block of each; ``most`` the greatest weight of the term in each block.
+    ``idf`` has the weight of each term. A term's entries, from ``first[row]``
+    to ``first[row + 1]``, are the blocks that hold it, each with the greatest
+    weight of the term there and the begin of its postings, which are the examples and their weights.
     """
 
     idf: dict[bytes, float]
     keys: list = field(default_factory=list)
-    labels: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=int))
-    postings: dict[bytes, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    blocks: dict[bytes, np.ndarray] = field(default_factory=dict)
-    most: dict[bytes, np.ndarray] = field(default_factory=dict)
+    labels: np.ndarray = _empty()
+    rows: dict[bytes, int] = field(default_factory=dict)
+    first: np.ndarray = _empty()
+    block: np.ndarray = _empty()
+    most: np.ndarray = _empty(float)
+    begin: np.ndarray = _empty()
+    place: np.ndarray = _empty()
+    weight: np.ndarray = _empty(float)
     #: Votes of a class count as many rows as an example stands for.
     stands_for: dict[int, float] = field(default_factory=lambda: {0: 1.0, 1: 1.0})
     #: Shares of votes and the probability at each, between which it rises evenly; and that of a text without any term.
@@ -98,31 +116,35 @@ class Index:
     without: float = 0.0
 
     @classmethod
-    def build(cls, idf: dict[bytes, float], rows: list[tuple], stands_for: dict[int, float]) -> Index:
+    def build(cls, idf: dict[bytes, float], rows: Iterable[tuple], stands_for: dict[int, float]) -> Index:
         """``rows``: (key, label, counts by term); examples without terms are left out of the index."""
         made = cls(idf, stands_for=stands_for)
-        vectors = sorted(
-            ((label, max(v, key=lambda t: (v[t], t)), str(key), key, v) for key, label, v in
-             ((key, label, made.vector(counts)) for key, label, counts in rows) if v),
-            key=lambda x: x[:3],
-        )
-        made.keys = [x[3] for x in vectors]
-        made.labels = np.array([x[0] for x in vectors], dtype=int)
-        blocks = -(-len(vectors) // BLOCK)
-        by_term: dict[bytes, list[tuple[int, float]]] = {}
-        for place, (*_, vector) in enumerate(vectors):
-            for term, weight in vector.items():
-                by_term.setdefault(term, []).append((place, weight))
-        for term, found in by_term.items():
-            places, weights = np.array([p for p, _ in found]), np.array([w for _, w in found])
-            made.postings[term] = places, weights
-            made.blocks[term] = places // BLOCK
-            made.most[term] = np.zeros(blocks)
-            np.maximum.at(made.most[term], places // BLOCK, weights)
+        made.rows = {term: row for row, term in enumerate(idf)}
+        found = []
+        for key, label, counts in rows:
+            if vector := made.vector(counts):
+                chief = max(vector, key=lambda t: (vector[t], t))
+                terms = np.fromiter((made.rows[t] for t in vector), dtype=np.int64, count=len(vector))
+                found.append((label, chief, str(key), key, terms, np.fromiter(vector.values(), dtype=float, count=len(vector))))
+        found.sort(key=lambda x: x[:3])
+        made.keys = [x[3] for x in found]
+        made.labels = np.array([x[0] for x in found], dtype=int)
+        if not found:
+            made.first, made.begin = np.zeros(len(idf) + 1, dtype=int), np.zeros(1, dtype=int)
+            return made
+        terms, weights = np.concatenate([x[4] for x in found]), np.concatenate([x[5] for x in found])
+        places = np.repeat(np.arange(len(found)), [len(x[4]) for x in found])
+        order = np.lexsort((places, terms))
+        terms, made.place, made.weight = terms[order], places[order], weights[order]
+        blocks = made.place // BLOCK
+        starts = np.flatnonzero(np.r_[True, (np.diff(terms) != 0) | (np.diff(blocks) != 0)])
+        made.block, made.most = blocks[starts], np.maximum.reduceat(made.weight, starts)
+        made.begin = np.r_[starts, len(terms)]
+        made.first = np.searchsorted(terms[starts], np.arange(len(idf) + 1))
         return made
 
     def vector(self, counts: dict[bytes, int]) -> dict[bytes, float]:
-        weights = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items() if t in self.idf}
+        weights = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items() if t in self.idf}
         norm = sum(w * w for w in weights.values()) ** 0.5
         return {t: w / norm for t, w in weights.items()} if norm else {}
 
@@ -133,24 +155,26 @@ class Index:
         cosine is a floor, and only blocks whose bound reaches it are scored
         besides, so the answer is exact.
         """
-        terms = [(w, t) for t, w in vector.items() if t in self.postings]
-        if not terms:
+        terms = [(self.rows[t], w) for t, w in vector.items() if t in self.rows]
+        if not terms or not self.keys:
             return []
-        bounds = sum(w * self.most[t] for w, t in terms)
+        rows = np.array([r for r, _ in terms])
+        entries, which = _ranges(self.first[rows], self.first[rows + 1])
+        weights = np.array([w for _, w in terms])[which]
+        bounds = np.bincount(self.block[entries], weights * self.most[entries], minlength=-(-len(self.keys) // BLOCK))
         opened = np.zeros(len(bounds), dtype=bool)
         opened[np.argsort(-bounds, kind="stable")[:2]] = True
-        best = self._scored(terms, opened, k, without)
+        best = self._scored(entries, weights, opened, k, without)
         floor = best[-1][0] if len(best) == k else 0.0
         more = (bounds > 0) & (bounds >= floor - 1e-12)
-        return best if not (more & ~opened).any() else self._scored(terms, more | opened, k, without)
+        return best if not (more & ~opened).any() else self._scored(entries, weights, more | opened, k, without)
 
-    def _scored(self, terms: list[tuple[float, bytes]], opened: np.ndarray, k: int, without: object) -> list[tuple[float, int]]:
+    def _scored(self, entries: np.ndarray, weights: np.ndarray, opened: np.ndarray, k: int, without: object) -> list[tuple[float, int]]:
         """The ``k`` best examples of the opened blocks."""
-        scores = np.zeros(len(opened) * BLOCK)
-        for weight, term in terms:
-            places, weights = self.postings[term]
-            inside = opened[self.blocks[term]]
-            scores[places[inside]] += weight * weights[inside]
+        inside = opened[self.block[entries]]
+        entries, weights = entries[inside], weights[inside]
+        postings, which = _ranges(self.begin[entries], self.begin[entries + 1])
+        scores = np.bincount(self.place[postings], weights[which] * self.weight[postings], minlength=len(self.keys))
         found = np.flatnonzero(scores > 0)
         if without is not None:
             found = found[[self.keys[p] != without for p in found.tolist()]]
@@ -209,18 +233,16 @@ class TermCounter:
         self.found = Memo(lambda word: tuple(t for t in word_terms(word) if t in self.terms), MAX_WORDS)
 
     def __call__(self, text: str | None) -> Counter:
-        counts: Counter = Counter()
-        for terms in map(self.found.__getitem__, plain_words(text)):
-            if terms:
-                counts.update(terms)
-        return counts
+        return Counter(chain.from_iterable(map(self.found.__getitem__, plain_words(text))))
 
 
-def telling_terms(examples: DataFrame, sizes: dict[int, int]) -> list[bytes]:
-    """The terms whose presence tells the classes apart best, by the chi-square of their documents.
+def telling_terms(examples: DataFrame, sizes: dict[int, int]) -> dict[bytes, float]:
+    """The log of the ratio of a term's rates in the two classes, of every term in ``LEAST_SUPPORT`` examples or more.
 
-    ``examples`` must be free of copies: else the chance words of a copied
-    text would look as if they told something. ``sizes``: examples by class.
+    A rate has half an example added to its count. Terms whose rates differ
+    by less than ``LEAST_RATIO`` are left out. ``examples`` must be free of
+    copies: else the chance words of a copied text would look as if they told
+    something. ``sizes``: examples by class.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,14 +257,14 @@ def telling_terms(examples: DataFrame, sizes: dict[int, int]) -> list[bytes]:
     found = examples.select("text", "label").mapInArrow(spread, "term binary, clean long, toxic long")
     clean, toxic = sizes[0], sizes[1]
     if not clean or not toxic:
-        return []
-    a, b, both = F.sum("toxic").cast("double"), F.sum("clean").cast("double"), float(clean + toxic)
-    chi2 = both * F.pow(a * (clean - b) - b * (toxic - a), F.lit(2.0)) / (float(toxic) * clean * (a + b) * (both - a - b + 1e-9))
-    best = found.groupBy("term").agg(chi2.alias("chi2")).filter(F.col("chi2") >= LEAST_CHI2)
-    return [bytes(row["term"]) for row in best.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
+        return {}
+    sums = found.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).filter(F.col("a") + F.col("b") >= LEAST_SUPPORT)
+    ratio = F.abs(F.log((F.col("a") + 0.5) / (toxic + 1.0)) - F.log((F.col("b") + 0.5) / (clean + 1.0)))
+    told = sums.select("term", ratio.alias("ratio")).filter(F.col("ratio") >= math.log(LEAST_RATIO)).toArrow()
+    return dict(sorted(zip(told["term"].to_pylist(), told["ratio"].to_pylist(), strict=True)))
 
 
-def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tuple[int, dict[bytes, int]]:
+def document_frequencies(docs: DataFrame, text: str, terms: Iterable[bytes]) -> tuple[int, dict[bytes, int]]:
     """Documents of the corpus, and those that hold each of the given terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,8 +276,8 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
         names = [b"", *seen]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([rows, *seen.values()], pa.int64())], ["term", "n"])
 
-    sums = docs.select(text).mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {bytes(row["term"]): row["n"] for row in sums}
+    sums = docs.select(text).mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    found = dict(zip(sums["term"].to_pylist(), sums["n"].to_pylist(), strict=True))
     return found.pop(b"", 0), found
 
 
@@ -264,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     Examples are a bounded sample of the labelled rows (``examples`` of each
     class), one of each group of copies; an example stands for as many rows as
-    its class has per example. Document frequencies count all of ``docs``. The
+    its class has per example. A term weighs its inverse document frequency,
+    counted over all of ``docs``, times the square of ``telling_terms``. The
     driver gets the chosen terms, their counts and the vectors of the
     examples, no texts.
     """
@@ -276,32 +299,41 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     texts = materialise(texts, "examples")
     sizes = {0: 0, 1: 0} | {row["label"]: row["n"] for row in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     stands_for = {c: counts[c] / max(sizes[c], 1) for c in (0, 1)}
-    terms = telling_terms(texts, sizes)
+    told = telling_terms(texts, sizes)
+    terms = list(told)
     size, seen = document_frequencies(docs, text, terms)
-    idf = {t: float(np.log((size + 1) / (seen.get(t, 0) + 1))) + 1 for t in terms}
+    idf = {t: (math.log((size + 1) / (seen.get(t, 0) + 1)) + 1) * ratio**2 for t, ratio in told.items()}
+    del told, seen
+    names = docs.sparkSession.sparkContext.broadcast(terms)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(terms)
+        places = {t: i for i, t in enumerate(names.value)}
+        counter = TermCounter(places)
         for batch in batches:
             counts = [counter(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("key"), batch.column("label").cast(pa.int32()),
-                pa.array([list(c) for c in counts], pa.list_(pa.binary())),
+                pa.array([[places[t] for t in c] for c in counts], pa.list_(pa.int32())),
                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())),
             ], ["key", "label", "terms", "counts"])
 
     kind = texts.schema["key"].dataType.simpleString()
-    held = texts.select("key", "label", "text").mapInArrow(vectors, f"key {kind}, label int, terms array<binary>, counts array<int>")
+    held = texts.select("key", "label", "text").mapInArrow(vectors, f"key {kind}, label int, terms array<int>, counts array<int>")
     held = materialise(held.dropDuplicates(["key"]), "vectors")
-    given = [(r["key"], r["label"], {bytes(t): n for t, n in zip(r["terms"], r["counts"], strict=True)}) for r in held.collect()]
-    index = Index.build(idf, given, stands_for)
+
+    def given(table: pa.Table) -> Iterator[tuple]:
+        for row in (r for batch in table.to_batches(max_chunksize=100) for r in batch.to_pylist()):
+            yield row["key"], row["label"], {terms[t]: n for t, n in zip(row["terms"], row["counts"], strict=True)}
+
+    index = Index.build(idf, given(held.toArrow()), stands_for)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shares = []
-            for own, names, numbers in zip(*(batch.column(c).to_pylist() for c in ("key", "terms", "counts")), strict=True):
-                near = shared.value.nearest(shared.value.vector(dict(zip(names, numbers, strict=True))), without=own)
+            for own, places, numbers in zip(*(batch.column(c).to_pylist() for c in ("key", "terms", "counts")), strict=True):
+                counts = {names.value[t]: n for t, n in zip(places, numbers, strict=True)}
+                near = shared.value.nearest(shared.value.vector(counts), without=own)
                 shares.append(shared.value.share(near) if near else None)
             yield pa.RecordBatch.from_arrays([pa.array(shares, pa.float64()), batch.column("label")], ["share", "label"])
 

@@ -188,6 +188,24 @@ def test_toxicity_query(spark, data):
     assert right / len(tested) > 0.9
 
 
+def test_few_labels_still_find_held_out_toxic_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = {r.doc_id: r for r in catalog.QUERIES["op4_toxicity"](spark, folder).collect()}
+    toxic = [k for k, r in rows.items() if r.held_out and labels.get(k) == 1]
+    assert sum(rows[k].predicted for k in toxic) >= 2 and rows[35].predicted and rows[169].predicted
+    assert not [k for k, r in rows.items() if r.held_out and r.predicted and labels.get(k) == 0]
+
+
+def test_terms_do_not_depend_on_the_number_of_rows(spark):
+    rows = [(f"common{i % 3} idiot" if label else f"common{i % 3}", label) for i in range(12) for label in (0, 1)]
+    found = []
+    for times in (1, 20):
+        examples = spark.createDataFrame(rows * times, "text string, label int")
+        found.append(set(toxicity.telling_terms(examples, {0: 12 * times, 1: 12 * times})))
+    assert b"idiot" in found[0] and found[0] == found[1]
+
+
 def _plain_tree(texts, depth):
     """Counts by (context, node) and weighted logs, by recursion over contexts of bytes."""
     counts = {}
