@@ -32,6 +32,10 @@ ENDS_P = BLOCK - {"html", "head", "body", "option", "caption", "tbody", "tfoot",
 FENCES_P = {"article", "aside", "body", "button", "div", "main", "section", "td", "th", "li", "blockquote", "nav", "footer", "header"}
 
 NEVER = frozenset("head nav footer aside form button select input textarea dialog menu search label fieldset".split()) | RAW
+#: Of the kinds that are never an article, those that may be wrapped around one.
+WRAPPERS = frozenset("form label fieldset dialog".split())
+#: Foreign elements: an opening tag of theirs that ends in a slash is empty.
+FOREIGN = frozenset(["svg", "math"])
 CONTENT = frozenset(["article", "main"])
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
 NOISE = frozenset(
@@ -114,7 +118,7 @@ class Page:
             elif tag in ENDS_P:
                 self._close_any(stack, {"p"}, FENCES_P)
             node = self._open(tag, found[3], stack[-1])
-            if tag in RAW:
+            if tag in RAW and not (tag in FOREIGN and found[3].endswith("/")):
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
                 at = end.end()
             elif tag not in VOID and not found[3].endswith("/"):
@@ -179,12 +183,19 @@ def main_text(html: str | None) -> str:
     """
     page = Page(html or "")
     size = len(page.tag)
-    holds = [tag in CONTENT for tag in page.tag]
+    never = [tag in NEVER and tag not in WRAPPERS for tag in page.tag]
+    for node in range(1, size):
+        never[node] |= never[page.parent[node]]
+    holds = [tag in CONTENT and not out for tag, out in zip(page.tag, never, strict=True)]
+    chars = [0 if out else n for n, out in zip(page.chars, never, strict=True)]
     for node in range(size - 1, 0, -1):
         holds[page.parent[node]] |= holds[node]
+        chars[page.parent[node]] += chars[node]
+    for node, tag in enumerate(page.tag):
+        holds[node] |= tag in WRAPPERS and 2 * chars[node] > chars[0]
     dropped = [False] * size
     for node in range(1, size):
-        noisy = page.noise[node] and (page.tag[node] in NEVER or not holds[node])
+        noisy = page.noise[node] and (never[node] or not holds[node])
         dropped[node] = dropped[page.parent[node]] or noisy
     density, sums = _densities(page, dropped)
 

@@ -64,3 +64,17 @@ def test_query_over_pages(spark, data):
     rows = catalog.QUERIES["op7_main_text"](spark, data).collect()
     assert len(rows) == len(given)
     assert all(r.text == _framed(given[r.page_id]) and r.n_chars == len(r.text) for r in rows if "<article>" in given[r.page_id])
+
+
+@pytest.mark.parametrize("tag", ["form", "fieldset", "dialog", "label"])
+def test_a_wrapper_of_the_article_is_kept(tag):
+    inner = f"<nav><a href='/'>Home</a></nav><div>{BODY}</div><form><p>Search here</p></form>"
+    plain = main_text(f"<body>{inner}</body>")
+    assert plain and main_text(f"<body><{tag}>{inner}</{tag}></body>") == plain
+    assert main_text(f"<body><{tag}><main>{BODY}</main></{tag}><p>Bye</p></body>") == main_text(f"<body><main>{BODY}</main></body>")
+
+
+def test_a_closed_picture_swallows_nothing():
+    for empty in ("<svg width='8' viewBox=\"0 0 8 8\"/>", "<math/>", "<SVG />"):
+        assert main_text(f"<body>{empty}<main>{BODY}</main></body>") == main_text(f"<body><main>{BODY}</main></body>")
+    assert "zzz" not in main_text(f"<body><svg><text>zzz</text></svg><main>{BODY}</main></body>")
