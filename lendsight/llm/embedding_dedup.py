@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +15,10 @@ from lendsight.llm.graph import connected_components, linked_members
 from lendsight.session import materialise
 
 THRESHOLD = 0.9
+#: Passes that are made at least; more follow until the expected recall of a pair at the threshold is RECALL, or MOST_PASSES with a warning.
 PASSES = 32
+RECALL = 0.99
+MOST_PASSES = 512
 #: Passes that are shuffled together.
 TOGETHER = 8
 BITS = 32
@@ -25,9 +31,9 @@ def hash_planes(dimension: int, passes: int, bits: int, seed: int = SEED) -> np.
     return np.random.default_rng([seed, dimension]).standard_normal((dimension, passes * bits))
 
 
-def projection_keys(vectors: np.ndarray, passes: int, bits: int) -> np.ndarray:
+def projection_keys(vectors: np.ndarray, passes: int, bits: int, seed: int = SEED) -> np.ndarray:
     """One number per vector and pass: the sides of its hyperplanes, concatenated."""
-    sides = (vectors @ hash_planes(vectors.shape[1], passes, bits) > 0).reshape(len(vectors), passes, bits)
+    sides = (vectors @ hash_planes(vectors.shape[1], passes, bits, seed) > 0).reshape(len(vectors), passes, bits)
     return sides @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
 
 
@@ -59,7 +65,9 @@ def cosine_links(left: list[bytes], right: list[bytes], dtype: str, threshold: f
     return one @ two.T / norms >= threshold
 
 
-def _with_keys(members: DataFrame, dtype: str, passes: int, bits: int) -> DataFrame:
+def _with_keys(members: DataFrame, dtype: str, passes: int, bits: int, seed: int) -> DataFrame:
+    """A row for each member and pass: id, payload, pass, sort_key."""
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             payload = batch.column("payload").to_pylist()
@@ -68,20 +76,26 @@ def _with_keys(members: DataFrame, dtype: str, passes: int, bits: int) -> DataFr
             for length in np.unique(lengths):
                 rows = np.flatnonzero(lengths == length)
                 vectors = np.frombuffer(b"".join([payload[i] for i in rows]), dtype=dtype).reshape(len(rows), -1)
-                keys[rows] = projection_keys(vectors.astype(np.float64), passes, bits)
+                keys[rows] = projection_keys(vectors.astype(np.float64), passes, bits, seed)
             listed = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), passes).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, listed], [*batch.schema.names, "keys"])
 
-    return members.mapInArrow(add, "id long, payload binary, least long, copies long, keys array<long>")
+    keyed = members.select("id", "payload").mapInArrow(add, "id long, payload binary, keys array<long>")
+    return keyed.select("id", "payload", F.posexplode("keys").alias("pass", "sort_key"))
+
 
+def _window_edges(dtype: str, window: int, threshold: float, bits: int):
+    """Verified pairs among ``window`` neighbours of a sorted partition, as edges to the first of each run of links.
 
-def _window_edges(dtype: str, window: int, threshold: float):
-    """Verified pairs among ``window`` neighbours of a sorted partition, as edges to the first of each run of links."""
+    Besides, for each pass, how many rows (``n``) share how many leading bits
+    with the row at the end of their window, if that is no link: neighbours
+    that share more bits are inside the window.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("pass", "id", "payload")), strict=True))
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("pass", "id", "payload", "sort_key")), strict=True))
             rows, fresh = held + rows, len(held)
             held = rows[-window:]
             if len(rows) > 1:
@@ -96,7 +110,8 @@ def _window_edges(dtype: str, window: int, threshold: float):
                 i = root[i]
             return i
 
-        kinds = np.array([p * (1 << 32) + len(v) for p, _, v in rows])
+        shared: Counter = Counter()
+        kinds = np.array([p * (1 << 32) + len(v) for p, _, v, _ in rows])
         for run in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(kinds)) + 1):
             vectors = np.frombuffer(b"".join([rows[i][2] for i in run]), dtype=dtype).reshape(len(run), -1).astype(np.float64)
             norms = np.sqrt((vectors * vectors).sum(axis=1))
@@ -105,15 +120,39 @@ def _window_edges(dtype: str, window: int, threshold: float):
                 for i in np.flatnonzero(cosine >= threshold):
                     one, two = find(run[i]), find(run[i + step])
                     root[max(one, two)] = min(one, two)
+                if step == window:
+                    for i in np.flatnonzero((cosine < threshold) & (run[step:] >= fresh)):
+                        apart = rows[run[i]][3] ^ rows[run[i + step]][3]
+                        shared[rows[run[i]][0], bits - apart.bit_length()] += 1
         joined = [(rows[i][1], rows[find(i)][1]) for i in range(len(rows)) if find(i) != i]
-        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in joined], pa.int64()) for k in (0, 1)], ["a", "b"])
+        found = [(a, b, None, None, None) for a, b in joined] + [(None, None, *key, n) for key, n in shared.items()]
+        names = ["a", "b", "pass", "shared", "n"]
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(5)], names)
 
     return compare
 
 
+def log_misses(density: list[tuple[int, int, int]], threshold: float) -> np.ndarray:
+    """Log of the chance that passes miss a pair at the threshold, for each hundredth of the rows, the densest first.
+
+    ``density``: (pass, leading bits shared with the end of the window, rows).
+    A pair whose sides agree on one bit more is inside the window. Rows that
+    are dense in one pass are taken to be so in all, which errs to more passes.
+    """
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    total = np.zeros(100)
+    for own in {p for p, _, _ in density}:
+        found = sorted(((shared, n) for p, shared, n in density if p == own), reverse=True)
+        upto = np.cumsum([n for _, n in found])
+        at = np.searchsorted(upto, (np.arange(100) + 0.5) / 100 * upto[-1])
+        total += np.log1p(-np.minimum(agree ** (np.array([x for x, _ in found])[at] + 1.0), 1 - 1e-12))
+    return total
+
+
 def near_duplicate_vectors(
     vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD,
     passes: int = PASSES, bits: int = BITS, window: int = WINDOW, together: int = TOGETHER,
+    recall: float = RECALL, most_passes: int = MOST_PASSES,
 ) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept.
 
@@ -124,9 +163,13 @@ def near_duplicate_vectors(
     passes. A bounded window cannot see all links of a dense group, so inside
     each group that the passes have found all members are compared exactly, a
     chunk at a time: links inside a group are complete whatever its size.
-    What can be missed is a pair that no pass brings near: with n members of
-    which about log2(n / window) leading bits must agree, the chance is
-    (1 - (1 - angle/pi)^bits)^passes.
+    What can be missed is a pair that no pass brings near. A pass brings a pair
+    near with a chance of (1 - angle/pi)^b, where b leading bits must agree
+    because that many are shared all over a window; b grows with the members
+    and with their density and is observed in every pass. After ``passes``
+    passes more are made until a pair at the threshold is found with a chance
+    of ``recall`` in the densest tenth of the members. If ``most_passes`` do not
+    reach it, a warning names the recall that is expected.
 
     Vectors that are NULL, empty, zero or hold a NULL or non-finite component
     link with nothing; vectors of different length never link. A NULL key has a
@@ -137,18 +180,26 @@ def near_duplicate_vectors(
     members = packed.filter("payload is not null and key is not null").groupBy("payload").agg(
         F.min("key").cast("long").alias("least"), F.count("*").alias("copies")
     ).select(F.monotonically_increasing_id().alias("id"), "payload", "least", "copies")
-    members = materialise(_with_keys(materialise(members, "members"), dtype, passes, bits), "keyed")
+    members = materialise(members, "members")
 
     edges = None
     rows = members.count()
     slices = max(members.sparkSession.sparkContext.defaultParallelism, rows * together // 100_000)
-    for first in range(0, passes, together):
-        some = F.slice("keys", first + 1, together)
-        spread = members.select("id", "payload", F.posexplode(some).alias("pass", "sort_key"))
+    missed, first = np.zeros(100), 0
+    while first < passes or (np.exp(missed[:10]).mean() > 1 - recall and missed.any() and first < most_passes):
+        spread = _with_keys(members, dtype, together, bits, SEED + first)
         ordered = spread.repartitionByRange(slices, "pass", "sort_key", "id").sortWithinPartitions("pass", "sort_key", "id")
-        found = ordered.select("pass", "id", "payload").mapInArrow(_window_edges(dtype, window, threshold), "a long, b long")
-        found = materialise(found.distinct(), "pairs")
+        found = ordered.select("pass", "id", "payload", "sort_key").mapInArrow(
+            _window_edges(dtype, window, threshold, bits), "a long, b long, pass long, shared long, n long"
+        )
+        found = materialise(found.groupBy("a", "b", "pass", "shared").agg(F.sum("n").alias("n")), "pairs")
+        density = found.filter("a is null").select("pass", "shared", "n").collect()
+        missed += log_misses([tuple(row) for row in density], threshold)
+        found = found.filter("a is not null").select("a", "b")
         edges = found if edges is None else edges.union(found)
+        first += together
+    if missed.any() and (least := 1 - np.exp(missed[:10]).mean()) < recall:
+        logging.getLogger(__name__).warning("%d passes: expected recall in the densest tenth %.4f, below %.4f", first, least, recall)
     groups = connected_components(edges).withColumnRenamed("component", "group")
     candidates = groups.join(members, "id").select(
         "id", "group", "copies", F.octet_length("payload").cast("long").alias("bytes")

@@ -197,3 +197,23 @@ def test_recall_of_the_passes_at_the_threshold():
         place[np.argsort(keys[:, p], kind="stable")] = np.arange(2 * n)
         met |= np.abs(place[:n] - place[n:]) <= embedding_dedup.WINDOW
     assert met.mean() >= 0.99
+
+
+def test_pairs_in_a_dense_cone_are_found(spark):
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    centre, own = unit(rng.standard_normal((1, 128))), rng.standard_normal((2000, 128))
+    own = unit(own - (own @ centre.T) * centre)
+    cone = 0.8**0.5 * centre + 0.2**0.5 * own
+    other = rng.standard_normal((400, 128))
+    other -= (other @ centre.T) * centre + (other * own[:400]).sum(axis=1, keepdims=True) * own[:400]
+    pairs = 0.8**0.5 * centre + 0.2**0.5 * (0.525 * own[:400] + (1 - 0.525**2) ** 0.5 * unit(other))
+    rows = [*cone, *pairs, *unit(rng.standard_normal((4000, 128)))]
+    frame = _vectors(spark, [(i, [float(x) for x in v], 0, "") for i, v in enumerate(rows)])
+    found = {r.vec_id: r.component_id for r in embedding_dedup.near_duplicate_vectors(frame).select("vec_id", "component_id").collect()}
+    assert np.mean([found[i] == found[2000 + i] for i in range(400)]) >= 0.99
+
+
+def test_more_rows_to_a_window_ask_for_more_passes():
+    misses = [np.exp(embedding_dedup.log_misses([(p, shared, 100) for p in range(32)], 0.9))[:10].mean() for shared in (10, 14, 18)]
+    assert misses == sorted(misses) and misses[0] < 0.01 < misses[1]
