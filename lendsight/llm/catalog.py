@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendsight.llm import bpe, ctw, embedding_dedup, html_text, jaccard_join, mixing, oracles, quality, sharding, token_files, toxicity
+from lendsight.llm import (
+    bpe, ctw, embedding_dedup, html_text, jaccard_join, merkle, mixing, oracles, quality, sharding, token_files, toxicity, vector_codes,
+)
 from lendsight.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +103,19 @@ def jaccard_join_query(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_documents(_table(spark, folder, "documents"))
 
 
+def vector_codes_query(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    books = vector_codes.train(vectors, "vec_id", "embedding")
+    coded = materialise(vector_codes.encode(vectors, "embedding", books), "coded")
+    return vector_codes.with_label_error(coded, "label").select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
+    )
+
+
+def documents_manifest_query(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.documents_manifest(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicate_vectors": near_duplicate_vectors_query,
     "op2_token_files": token_files_query,
@@ -112,9 +127,13 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_round_trip": bpe_round_trip_query,
     "op9_quality_rules": quality_rules_query,
     "op10_jaccard_join": jaccard_join_query,
+    "op12_vector_codes": vector_codes_query,
+    "op13_merkle_manifest": documents_manifest_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixed_sources": oracles.mixing_sql(MIX),
     "op9_quality_rules": oracles.quality_sql(),
+    "op12_vector_codes": oracles.vector_codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS),
+    "op13_merkle_manifest": oracles.manifest_sql(merkle.FANOUT, levels=8),
 }

@@ -127,3 +127,108 @@ SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, coalesce(f.weight, 0.0::
 FROM docs d LEFT JOIN final f
   ON f.source IS NOT DISTINCT FROM d.source AND f.lang = d.lang_class AND f.topic = d.topic_class AND d.n_tokens > 0
 """
+
+
+def vector_codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """Every part against every entry, round by round; ties by the number of the entry."""
+    gap = "list_sum(list_transform(list_zip(c.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+    SELECT vec_id, label, part, x, min(gap) AS gap, arg_min(entry, gap * {entries} + entry) AS entry
+    FROM (SELECT c.vec_id, c.label, c.part, c.x, b.entry, {gap} AS gap FROM cut c JOIN book{i} b ON b.part = c.part)
+    GROUP BY ALL
+)""")
+        if i < rounds:
+            steps.append(f"""
+sums{i} AS (
+    SELECT part, entry, spot, sum(value)::BIGINT AS total, count(*) AS n
+    FROM (SELECT part, entry, unnest(x) AS value, generate_subscripts(x, 1) AS spot FROM near{i}) GROUP BY ALL
+),
+means{i} AS (
+    SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY spot) AS x FROM sums{i} GROUP BY ALL
+),
+book{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM book{i} b LEFT JOIN means{i} m USING (part, entry))""")
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+cut AS MATERIALIZED (
+    SELECT vec_id, label, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS x
+    FROM (SELECT *, unnest(range({parts})) AS part FROM kept)
+),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries})),
+book0 AS MATERIALIZED (SELECT part, entry, x FROM cut JOIN first USING (vec_id)),{','.join(steps)},
+coded AS (
+    SELECT vec_id, label, string_agg(lower(lpad(hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(gap)::BIGINT AS error
+    FROM near{rounds} GROUP BY vec_id, label
+),
+books AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded, books
+"""
+
+
+def manifest_sql(fanout: int, levels: int) -> str:
+    """Runs of every level written out up to ``levels``, of the trees of the sources and of the tree above them."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(v) for v in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    def tree(name: str) -> str:
+        made = []
+        for k in range(levels):
+            made.append(f"""
+{name}_run{k} AS MATERIALIZED (
+    SELECT tree, spot // {fanout} AS spot, string_agg(digest, '' ORDER BY spot) AS run, (n + {fanout - 1}) // {fanout} AS n
+    FROM {name}{k} WHERE n > 1 GROUP BY tree, spot // {fanout}, n
+),
+{name}{k + 1} AS (SELECT tree, spot, n, sha256(run) AS digest FROM {name}_run{k})""")
+        return ",".join(made)
+
+    def climb(before: str, name: str, start: str) -> str:
+        made = []
+        for k in range(levels):
+            place = f"(p.step % {fanout}) * 64"
+            below = start if k == 0 else f"{name}_way{k - 1}"
+            made.append(f"""
+{name}_way{k} AS (
+    SELECT p.* REPLACE (
+        p.step // {fanout} AS step,
+        CASE WHEN r.run IS NULL THEN p.proof ELSE p.proof || left(r.run, {place}) || substr(r.run, {place} + 65) END AS proof,
+        CASE WHEN r.run IS NULL THEN p.folded ELSE sha256(left(r.run, {place}) || p.folded || substr(r.run, {place} + 65)) END AS folded
+    )
+    FROM {below} p LEFT JOIN {name}_run{k} r ON r.tree = p.{before} AND r.spot = p.step // {fanout}
+)""")
+        return ",".join(made)
+
+    crc = (
+        "xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+        "lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
+        "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END))"
+    )
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    top = " UNION ALL ".join(f"SELECT tree, digest FROM sub{k} WHERE n = 1" for k in range(levels + 1))
+    peak = " UNION ALL ".join(f"SELECT digest FROM top{k} WHERE n = 1" for k in range(levels + 1))
+    return f"""
+WITH sources AS (SELECT source AS name, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, n FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)),
+leaves AS MATERIALIZED (
+    SELECT doc_id, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST) - 1 AS spot, {leaf('text')} AS leaf,
+           CASE WHEN {crc} % 5 = 0 THEN {leaf(lowered)} ELSE {leaf('text')} END AS claimed
+    FROM documents d JOIN sources s ON s.name IS NOT DISTINCT FROM d.source
+),
+sub0 AS (SELECT tree, spot, n, leaf AS digest FROM leaves),{tree('sub')},
+subroots AS MATERIALIZED ({top}),
+top0 AS (SELECT 0 AS tree, tree AS spot, (SELECT count(*) FROM sources) AS n, digest FROM subroots),{tree('top')},
+peak AS ({peak}),
+start AS (SELECT *, 0 AS above, spot AS step, '' AS proof, claimed AS folded FROM leaves),{climb('tree', 'sub', 'start')},
+middle AS (SELECT * REPLACE (tree AS step) FROM sub_way{levels - 1}),{climb('above', 'top', 'middle')}
+SELECT doc_id, leaf, s.digest AS subroot, k.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = k.digest AS verified
+FROM top_way{levels - 1} w JOIN subroots s ON s.tree = w.tree, peak k
+"""
