@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendsight.llm import (
-    bpe, ctw, embedding_dedup, html_text, jaccard_join, merkle, mixing, oracles, quality, sharding, token_files, toxicity, vector_codes,
+    bpe, ctw, embedding_dedup, html_text, jaccard_join, merkle, mixing, oracles, privacy, quality, sharding, token_files, toxicity, vector_codes,
 )
 from lendsight.session import materialise
 
@@ -103,6 +103,10 @@ def jaccard_join_query(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_documents(_table(spark, folder, "documents"))
 
 
+def private_spans_query(spark: SparkSession, folder: str) -> DataFrame:
+    return privacy.found_in_documents(_table(spark, folder, "documents"))
+
+
 def vector_codes_query(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
     books = vector_codes.train(vectors, "vec_id", "embedding")
@@ -127,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_round_trip": bpe_round_trip_query,
     "op9_quality_rules": quality_rules_query,
     "op10_jaccard_join": jaccard_join_query,
+    "op11_private_spans": private_spans_query,
     "op12_vector_codes": vector_codes_query,
     "op13_merkle_manifest": documents_manifest_query,
 }
@@ -134,6 +139,7 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_mixed_sources": oracles.mixing_sql(MIX),
     "op9_quality_rules": oracles.quality_sql(),
+    "op11_private_spans": oracles.privacy_sql(privacy.THRESHOLD),
     "op12_vector_codes": oracles.vector_codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS),
     "op13_merkle_manifest": oracles.manifest_sql(merkle.FANOUT, levels=8),
 }

@@ -232,3 +232,89 @@ middle AS (SELECT * REPLACE (tree AS step) FROM sub_way{levels - 1}),{climb('abo
 SELECT doc_id, leaf, s.digest AS subroot, k.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = k.digest AS verified
 FROM top_way{levels - 1} w JOIN subroots s ON s.tree = w.tree, peak k
 """
+
+
+def privacy_sql(threshold: float) -> str:
+    """Matches line by line with their places, shares of lines, and the places of the disclosing terms."""
+    # The four patterns as they are defined.
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = (
+        f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN reverse({digits})[i]::INT "
+        f"WHEN reverse({digits})[i]::INT > 4 THEN 2 * reverse({digits})[i]::INT - 9 ELSE 2 * reverse({digits})[i]::INT END)) % 10 = 0"
+    )
+    checks = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(ltrim(x, '0') AS INT), 0) > 255)) = 0",
+        "card": f"length({digits}) BETWEEN 13 AND 19 AND {luhn}",
+        "phone": f"length({digits}) BETWEEN 9 AND 15",
+    }
+    entities = {"email": "lower(m)", "ip": "m", "card": digits, "phone": digits}
+
+    def placed(source: str, text: str, start: str, pattern: str) -> str:
+        return f"""
+    SELECT * EXCLUDE (ms, gaps, i), ms[i] AS m,
+           from_here + list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS at_start
+    FROM (SELECT *, {start} AS from_here, regexp_extract_all({text}, '{pattern}') AS ms, string_split_regex({text}, '{pattern}') AS gaps,
+                 unnest(range(1, len(regexp_extract_all({text}, '{pattern}')) + 1)) AS i FROM {source})"""
+
+    kinds = " UNION ALL ".join(
+        f"SELECT row, no, line, {k} AS kind_no, '{kind}' AS kind, at_start AS start, at_start + length(m) AS stop, '{kind}:' || {entities[kind]} AS entity "
+        f"FROM ({placed('lines', 'line', 'line_start', patterns[kind])}) WHERE {checks[kind]}"
+        for k, kind in enumerate(patterns)
+    )
+    told = "ln((n_both * n_lines)::DOUBLE / (n_entity * n_term)) / ln(n_lines::DOUBLE / n_entity)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*patterns, "term"))
+    listed = "string_agg(kind || ':' || start::BIGINT::VARCHAR || ':' || stop::BIGINT::VARCHAR, ',' ORDER BY kind_no, start)"
+    return f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT row, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM docs),
+lines AS MATERIALIZED (
+    SELECT row, no, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY row ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_start FROM cut
+),
+total AS (SELECT count(*) AS n_lines FROM lines),
+base AS MATERIALIZED ({kinds}),
+spoken AS MATERIALIZED (
+    SELECT DISTINCT row, no, line, term FROM (
+        SELECT row, no, line, unnest(regexp_extract_all(translate(regexp_replace(line, '{patterns["email"]}', ' ', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}')) AS term FROM lines
+    ) WHERE NOT regexp_full_match(term, '[0-9]+')
+),
+held AS MATERIALIZED (SELECT DISTINCT row, no, entity, md5(text) AS digest FROM base JOIN docs USING (row)),
+entities AS (SELECT entity, count(*) AS n_entity FROM held GROUP BY entity HAVING count(DISTINCT digest) > 1),
+words AS (SELECT term, count(*) AS n_term FROM spoken GROUP BY term),
+pairs AS (
+    SELECT entity, term, count(*) AS n_both FROM held JOIN entities USING (entity) JOIN spoken USING (row, no)
+    GROUP BY entity, term HAVING count(DISTINCT digest) > 1
+),
+flagged AS MATERIALIZED (
+    SELECT entity, term FROM pairs JOIN entities USING (entity) JOIN words USING (term), total WHERE n_entity < n_lines AND {told} >= {threshold!r}
+),
+marked AS MATERIALIZED (SELECT DISTINCT row, no, term FROM held JOIN flagged USING (entity)),
+told_lines AS (SELECT * FROM lines WHERE (row, no) IN (SELECT (row, no) FROM marked)),
+pieces AS (
+    SELECT row, no, gap, piece_start FROM (
+        SELECT row, no, gaps[i] AS gap, line_start + coalesce(list_sum(list_transform(gaps[1:i - 1], lambda g: length(g))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS piece_start
+        FROM (SELECT *, string_split_regex(line, '{patterns["email"]}') AS gaps, regexp_extract_all(line, '{patterns["email"]}') AS ms,
+                     unnest(range(1, len(string_split_regex(line, '{patterns["email"]}')) + 1)) AS i FROM told_lines)
+    )
+),
+uttered AS ({placed('pieces', 'gap', 'piece_start', word)}),
+spans AS (
+    SELECT row, kind_no, kind, start, stop FROM base
+    UNION ALL
+    SELECT u.row, 4 AS kind_no, 'term' AS kind, at_start AS start, at_start + length(m) AS stop
+    FROM uttered u JOIN marked k ON k.row = u.row AND k.no = u.no AND k.term = translate(m, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+),
+folded AS (
+    SELECT row, {counts}, sha256(coalesce({listed} FILTER (kind_no < 4), '')) AS base_sha256, {listed} AS spans FROM spans GROUP BY row
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in (*patterns, "term"))},
+       coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN folded USING (row)
+"""
