@@ -87,8 +87,8 @@ class Orchard:
             best[at], distance[at], spot[at] = entry[closer], found[closer], 0
 
 
-def _cut(rows: np.ndarray, parts: int) -> np.ndarray:
-    return rows.reshape(len(rows), parts, -1)
+def _cut(vectors: pa.Array, parts: int, length: int) -> np.ndarray:
+    return integers(vectors, parts * length).reshape(len(vectors), parts, length)
 
 
 def _sums(vectors: DataFrame, books: np.ndarray) -> DataFrame:
@@ -99,7 +99,7 @@ def _sums(vectors: DataFrame, books: np.ndarray) -> DataFrame:
         search = Orchard(books)
         totals = np.zeros((parts * entries, length + 1), dtype=np.int64)
         for batch in batches:
-            points = _cut(integers(batch.column(0), parts * length), parts)
+            points = _cut(batch.column(0), parts, length)
             slots = (search.search(points)[0] + np.arange(parts) * entries).ravel()
             counted = np.concatenate([np.ones((len(slots), 1), dtype=np.int64), points.reshape(len(slots), length)], axis=1)
             np.add.at(totals, slots, counted)
@@ -123,13 +123,13 @@ def train(df: DataFrame, key: str, vector: str, parts: int = PARTS, entries: int
     length = -(-longest // parts)
     keyed = df.filter(is_kept(F.col(vector))).select(F.col(key).alias("key"), F.col(vector).alias("vector"))
     first = keyed.orderBy(F.col("key").asc_nulls_last(), "vector").limit(entries).select("vector").toArrow()
-    starts = integers(first.column("vector"), parts * length).reshape(-1, parts, length)
+    starts = _cut(first.column("vector"), parts, length)
     books = np.ascontiguousarray(starts.transpose(1, 0, 2))
     for _ in range(rounds if len(first) else 0):
         totals = np.zeros((books.shape[0] * books.shape[1], length + 1), dtype=object)
         for row in _sums(vectors, books).groupBy("slot", "spot").agg(F.sum("total").alias("total")).collect():
             totals[row.slot, row.spot + 1] = row.total
-        moved = books.reshape(-1, length).copy()
+        moved = books.reshape(len(totals), length).copy()
         for slot, (count, *sums) in enumerate(totals):
             if count:
                 moved[slot] = [s // count for s in sums]
@@ -155,7 +155,7 @@ def encode(df: DataFrame, vector: str, books: np.ndarray) -> DataFrame:
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Orchard(books) if entries else None
         for batch in batches:
-            entry, distance = search.search(_cut(integers(batch.column(0), parts * length), parts))
+            entry, distance = search.search(_cut(batch.column(0), parts, length))
             codes = ["".join(row) for row in digits[entry]]
             names = [*(f.name for f in others), "code", "error"]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(codes, pa.string()), pa.array(distance.sum(axis=1))], names)

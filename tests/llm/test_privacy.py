@@ -1,0 +1,170 @@
+"""Personal data and disclosing terms against plain Python, and the SQL twin on tables with disclosing terms."""
+
+import hashlib
+import math
+import random
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from lendsight.llm import catalog, oracles, privacy
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def _small(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def _base(text):
+    found = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            value, digits = m.group(), re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in value.split(".")),
+                "card": 13 <= len(digits) <= 19 and _luhn(digits), "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                same = _small(value) if kind == "email" else value if kind == "ip" else digits
+                found.append((kind, m.start(), m.end(), f"{kind}:{same}"))
+    return found
+
+
+def _words(line):
+    """(start, end, word) of the words between addresses."""
+    plain = re.sub(PATTERNS["email"], lambda m: " " * len(m.group()), line)
+    return [(m.start(), m.end(), _small(m.group())) for m in re.finditer(WORD, plain) if not re.fullmatch("[0-9]+", m.group())]
+
+
+def _plain(texts, threshold=privacy.THRESHOLD):
+    """All spans of each text as written, terms included."""
+    lines = [[(no, line) for no, line in enumerate((t or "").split("\n"))] for t in texts]
+    total = sum(len(x) for x in lines)
+    entity, term, both = {}, {}, {}
+    for t, cut in zip(texts, lines):
+        for _, line in cut:
+            here, words = {e for *_, e in _base(line)}, {w for *_, w in _words(line)}
+            for counts, keys in ((entity, here), (term, words), (both, {(e, w) for e in here for w in words})):
+                for k in keys:
+                    counts.setdefault(k, [0, set()])
+                    counts[k][0] += 1
+                    counts[k][1].add(t)
+    flagged = {}
+    for (e, w), (n, seen) in both.items():
+        if len(seen) > 1 and entity[e][0] < total:
+            told = math.log(n * total / (entity[e][0] * term[w][0])) / math.log(total / entity[e][0])
+            if told >= threshold:
+                flagged[e, w] = told
+    result = []
+    for t, cut in zip(texts, lines):
+        spans, at = [s[:3] for s in _base(t or "")], 0
+        for _, line in cut:
+            here = {e for *_, e in _base(line)}
+            spans += [("term", at + a, at + b) for a, b, w in _words(line) if any((e, w) in flagged for e in here)]
+            at += len(line) + 1
+        result.append(",".join(f"{k}:{a}:{b}" for k, a, b in spans))
+    return result
+
+
+ODD = [
+    None, "", " \n ", "a@b.c_d@e.f é@x.y éfoo@x.com a@b a@b. @c.d", "1.2.3.4.5.6.7.8 999.1.1.1 1.2.3 000255.0.0.1 256.1.1.1 1.2.3.4567",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112, 41111111111111111111111 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1",
+    "+1 (386) 555-3733 +12 +1-2-3-4-5-6-7-8-9- x +33 1 23 45 67 89. ++49 (0)30 123456 +1 2\n+3 456 789 0123",
+    "x" * 20_000, "a." * 10_000, "a@" * 5_000, "a@b" + ".c" * 10_000, "1" * 20_000, "1.2" * 5_000, "+1" + "(" * 10_000, "1 " * 9_000 + "2",
+    "😀😀 mail é@x.y;日本語 q@r.st 😀 10.0.0.1\r\n10.0.0.2", "Tab\tq@R.st\x00z",
+]
+
+
+@pytest.fixture(scope="module")
+def letters():
+    """Letters of a few people: some words stand with one address only, some mostly, some everywhere."""
+    random.seed(6)
+    made = []
+    for i in range(60):
+        who = i % 6
+        own = random.sample([f"Town{who}", f"street{who}", f"é{who}x", "the", "and", "shared", f"once{i}"], 5)
+        near = f"{' '.join(own)} Person{who}@mail.example.com {'Grey' if who < 2 else 'blue'} +1 (386) 555-37{who}3."
+        made.append("\n".join(["First line the and", near if i % 10 else near + " 10.0.0.7", f"last line{i} shared street{(who + 1) % 6 if i == 7 else 9}"]))
+    return [*made, made[0], made[0], made[3].replace("First", "Other"), *ODD]
+
+
+def _table(spark, texts):
+    rows = [(i, t, "x", i % 5) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, base string, digest int").repartition(4)
+
+
+def test_spans_like_plain_python(spark, letters):
+    rows = {r.doc_id: r for r in privacy.found_in_documents(_table(spark, letters)).collect()}
+    expected = _plain(letters)
+    assert sum("term" in e for e in expected) > 40
+    for i, spans in enumerate(expected):
+        r = rows[i]
+        assert r.spans == spans, (i, letters[i])
+        base = ",".join(s for s in spans.split(",") if not s.startswith("term"))
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        for kind in (*PATTERNS, "term"):
+            assert r[f"n_{kind}"] == sum(s.startswith(kind) for s in spans.split(","))
+
+
+def test_sql_twin_with_terms(spark, letters):
+    table = _table(spark, letters).select("doc_id", "text")
+    spark_rows = sorted(tuple(r) for r in privacy.found_in_documents(table).collect())
+    base = duckdb.connect()
+    base.register("documents", table.toPandas())
+    assert sorted(base.execute(oracles.privacy_sql(privacy.THRESHOLD)).fetchall()) == spark_rows
+
+
+def test_texts_are_sanitised(spark):
+    texts = [f"Call Smith{'' if i % 2 else '!'} smith@x.org today {i}" for i in range(4)] + ["Nobody calls today"] * 40 + [None]
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, found int")
+    rows = {r.doc_id: r for r in privacy.sanitised(docs).collect()}
+    assert rows[0].text == "[removed] [removed]! [email] today 0" and rows[1].text == "[removed] [removed] [email] today 1"
+    assert rows[4].text == "Nobody calls today" and rows[44].text == "" and rows[44].found == []
+    assert [(s.kind, s.value) for s in rows[1].found] == [("email", "smith@x.org"), ("term", "call"), ("term", "smith")]
+
+
+def test_copies_of_one_text_are_no_evidence(spark):
+    docs = spark.createDataFrame([(i, "Call Smith smith@x.org") for i in range(30)] + [(99, "calm")], "doc_id long, text string")
+    assert privacy.found_in_documents(docs).filter("n_term > 0").count() == 0
+
+
+def test_rows_and_columns_stay(documents):
+    found = privacy.sanitised(documents)
+    assert found.columns == [*[c for c in documents.columns if c != "text"], "text", "found"]
+    assert found.count() == documents.count()
+    plain = documents.select(*[c for c in documents.columns if c != "text"], F.coalesce("text", F.lit("")).alias("text"))
+    clean = found.filter(F.size("found") == 0).drop("found")
+    assert clean.exceptAll(plain).count() == 0
+
+
+def test_nothing(nothing):
+    assert privacy.found_in_documents(nothing).count() == 0
+
+
+def test_running_sums(spark):
+    lengths = [[], [5], list(range(1000)), [1] * 256, [2] * 257, [0] * 10]
+    df = spark.createDataFrame([(x,) for x in lengths], "x array<long>")
+    got = [r.y for r in df.select(privacy.running_sums(F.col("x")).alias("y")).collect()]
+    assert got == [[sum(x[: i + 1]) for i in range(len(x))] for x in lengths]
+
+
+def test_main_path_has_no_python(spark, data):
+    plan = catalog.QUERIES["op11_private_spans"](spark, data)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
