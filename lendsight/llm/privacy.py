@@ -37,6 +37,8 @@ _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPAN = "array<struct<kind:string,start:bigint,stop:bigint,value:string>>"
 BLOCK = 256
+#: Bits of the sieve that keeps words without any pair from being shuffled: four megabytes where all rows are there.
+SIEVE = 2**24
 
 
 def running_sums(lengths: Column) -> Column:
@@ -151,6 +153,17 @@ def disclosure(both: Column, entity: Column, term: Column, lines: int) -> Column
     return F.when(information > 0, F.log(ratio) / information)
 
 
+def _place() -> Column:
+    return F.pmod(F.xxhash64("term"), F.lit(SIEVE))
+
+
+def _sieve(candidates: DataFrame) -> DataFrame:
+    """(slot, mask): one bit for the hash of every term; at most SIEVE / 64 rows, whatever the number of terms."""
+    marked = candidates.select("term").withColumn("place", _place())
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    return marked.groupBy(F.floor(F.col("place") / 64).alias("slot")).agg(F.bit_or(bit).alias("mask"))
+
+
 def disclosing_terms(passages: DataFrame, docs: DataFrame, text: str, lines: int, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, disclosure) of the pairs over the threshold.
 
@@ -158,8 +171,9 @@ def disclosing_terms(passages: DataFrame, docs: DataFrame, text: str, lines: int
     pair must be seen in two different texts at least, which the least and the
     greatest hash of its texts show; so every count is a sum of partial sums
     and a hot entity or word is folded before it is shuffled. Words that the
-    passages alone show to be too frequent go first; the corpus is then
-    counted for the remaining words only.
+    passages alone show to be too frequent go first. The corpus is then counted
+    for words that a sieve of fixed size lets through; it spares the shuffle of
+    most others and loses none, and the join with the pairs drops the rest.
     """
     seen = F.col("text_hash")
     twice = F.min(seen) != F.max(seen)
@@ -175,11 +189,13 @@ def disclosing_terms(passages: DataFrame, docs: DataFrame, text: str, lines: int
     most = disclosure(F.col("n_both"), F.col("n_entity"), F.col("n_here"), lines)
     candidates = materialise(pairs.join(here, "term").filter(most >= threshold).drop("n_here"), "candidates")
 
+    sieve = F.broadcast(materialise(_sieve(candidates), "sieve"))
     every = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line"))
     spoken = every.select(F.explode(terms(F.translate(
         F.when(F.contains("line", F.lit("@")), F.regexp_replace("line", EMAIL, " ")).otherwise(F.col("line")), CAPITALS, SMALL
-    ))).alias("term"))
-    counts = spoken.join(candidates.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    ))).alias("term")).withColumn("place", _place())
+    sifted = spoken.join(sieve, F.floor(F.col("place") / 64) == F.col("slot")).filter(F.getbit("mask", F.col("place") % 64) == 1)
+    counts = sifted.groupBy("term").agg(F.count("*").alias("n_term"))
     told = disclosure(F.col("n_both"), F.col("n_entity"), F.col("n_term"), lines)
     return candidates.join(counts, "term").select("entity", "term", told.alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
