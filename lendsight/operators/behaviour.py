@@ -128,7 +128,11 @@ def features_from_activity(activity: DataFrame) -> DataFrame:
 
 
 def behaviour_features(
-    events: DataFrame, grain: str = "month", order_by: Column | None = None, known_only: bool = False
+    events: DataFrame,
+    grain: str = "month",
+    order_by: Column | None = None,
+    known_only: bool = False,
+    statuses: list[str] | None = None,
 ) -> DataFrame:
-    """Feature table straight from raw events; for ``known_only`` see :func:`period_activity`."""
-    return features_from_activity(period_activity(events, grain, order_by, known_only))
+    """Feature table straight from raw events; for ``known_only`` and ``statuses`` see :func:`period_activity`."""
+    return features_from_activity(period_activity(events, grain, order_by, known_only, statuses))

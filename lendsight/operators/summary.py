@@ -23,10 +23,13 @@ RISK_AVERAGES = {
 }
 
 
+_SUMMARISED = ["credit_id", "period", *[feature for feature, _ in RISK_AVERAGES.values()]]
+
+
 def risk_cells(features: DataFrame, credits: DataFrame, clients: DataFrame) -> DataFrame:
     """Credits, incident frequency, late streak and overdraft ratio per country and period, in no order."""
     averages = [F.round(F.avg(feature), digits).alias(name) for name, (feature, digits) in RISK_AVERAGES.items()]
-    located = features.join(credit_country(credits, clients), "credit_id")
+    located = features.select(*_SUMMARISED).join(credit_country(credits, clients), "credit_id")
     return located.groupBy("country", "period").agg(F.count(F.lit(1)).alias("n_credits"), *averages)
 
 
@@ -43,9 +46,9 @@ def risk_by_country_period_sql(features: DataFrame, credits: DataFrame, clients:
     )
     return features.sparkSession.sql(
         f"WITH totals AS (SELECT country, period, count(1) AS n_credits, {sums} "
-        "FROM {credit_country} NATURAL JOIN {features} GROUP BY ALL) "
+        "FROM {credit_country} JOIN {features} USING (credit_id) GROUP BY ALL) "
         f"SELECT country, period, n_credits, {averages} FROM totals ORDER BY country, period",
-        features=features,
+        features=features.select(*_SUMMARISED),
         credit_country=credit_country(credits, clients),
     )
 

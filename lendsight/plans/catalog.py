@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendsight.functions import rules
 from lendsight.functions.keys import period_label, split_bucket
+from lendsight.jobs import feature_job
 from lendsight.operators import activity, behaviour, curves, labels, model, panel as panels, portfolio, ranking, summary
 from lendsight.plans import mapping as m
 from lendsight.session import materialise, scratch_path
@@ -44,12 +45,12 @@ def _on_activity(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Q
 
 def _odd_status_activity(spark, folder):
     events = m.activity_events(spark, folder, odd_statuses=True)
-    return _day(activity.period_activity(events, m.GRAIN, F.col("event_id")))
+    return _day(activity.period_activity(events, m.GRAIN, F.col("event_id"), statuses=activity.unusual_statuses(events)))
 
 
 def _odd_status_features(spark, folder):
     events = m.activity_events(spark, folder, odd_statuses=True)
-    return _day(behaviour.behaviour_features(events, m.GRAIN, F.col("event_id")))
+    return _day(behaviour.behaviour_features(events, m.GRAIN, F.col("event_id"), statuses=activity.unusual_statuses(events)))
 
 
 def _monthly_history(spark, folder):
@@ -197,6 +198,20 @@ def _model_test_rows(spark, folder):
     return _day(_stored_predictions(spark, folder).select("credit_id", "period", model.LABEL))
 
 
+# Months at which the history is cut: whole years first, two single months, and the rest.
+CUTS = [(None, "1996-12"), ("1997-01", "1997-01"), ("1997-02", "1997-02"), ("1997-03", None)]
+
+
+def _appended_features(spark, folder):
+    """History appended to one table part by part, each part going on from the state stored after the one before."""
+    path, states = scratch_path(spark, "features"), scratch_path(spark, "states")
+    events = materialise(m.history_events(spark, folder).withColumn("_month", period_label(F.col("event_date"), "month")), "events")
+    for first, last in CUTS:
+        own = events.filter(F.col("_month").between(first or "0000-01", last or "9999-12")).drop("_month")
+        feature_job.append_features(own, path, states, first or "0000-01", last, F.col("event_id"))
+    return tables.read_features(spark, path).withColumn("period", period_label(F.col("period"), "month"))
+
+
 def _roundtrip_predictions(spark, folder):
     path = scratch_path(spark, "predictions")
     scored = m.labelled_scores(spark, folder).withColumnRenamed("score", "probability_positive")
@@ -340,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "odd_status_activity": _odd_status_activity,
     "odd_status_features": _odd_status_features,
     "monthly_history_features": _monthly_history,
+    "appended_features": _appended_features,
     "risk_by_country_period": _risk_by_country_period,
     "risk_by_country_period_sql": _risk_by_country_period_sql,
     "credit_panel": _credit_panel,

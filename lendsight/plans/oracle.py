@@ -182,15 +182,15 @@ SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
 UNION ALL
 SELECT threshold, fp / all_neg::DOUBLE AS fpr, tp / all_pos::DOUBLE AS tpr FROM {points}, totals"""
 
-_RISK_SUMMARY = """
-SELECT c.country, f.period, count(*) AS n_credits,
-       round(avg(f.incident_freq_6), 4) AS avg_incident_freq,
-       round(avg(f.late_streak), 2) AS avg_late_streak,
-       round(avg(f.overdraft_ratio_3), 4) AS avg_overdraft_ratio
-FROM features f
-JOIN (SELECT c_custkey, n_name AS country FROM customer JOIN nation ON n_nationkey = c_nationkey) c
-  ON c.c_custkey = f.credit_id
-GROUP BY c.country, f.period"""
+# Mean of the known values of a feature and its decimals, as a sum over a count.
+_MEANS = {"avg_incident_freq": ("incident_freq_6", 4), "avg_late_streak": ("late_streak", 2), "avg_overdraft_ratio": ("overdraft_ratio_3", 4)}
+_TOTALS = ", ".join(f"sum({f}) AS sum_{f}, count({f}) AS n_{f}" for f, _ in _MEANS.values())
+_RISK_SUMMARY = f"""
+SELECT country, period, n_credits, {", ".join(f"round(sum_{f} / n_{f}::DOUBLE, {d}) AS {name}" for name, (f, d) in _MEANS.items())}
+FROM (
+    SELECT n_name AS country, period, count(credit_id) AS n_credits, {_TOTALS}
+    FROM nation, customer, features WHERE n_nationkey = c_nationkey AND c_custkey = credit_id GROUP BY ALL
+)"""
 
 # --- monthly view --------------------------------------------------------------------
 
@@ -271,19 +271,21 @@ SELECT credit_id, period, due_status, due_cents / 100.0::DOUBLE AS due_amount,
        movement_cents / 100.0::DOUBLE AS net_movement, overdraft_cents / 100.0::DOUBLE AS overdraft_amount
 FROM activity"""
 
+# A run begins where no row of equal, known lateness stands right before; runs and places follow from these beginnings.
 _ISLANDS = """,
-flagged AS (
-    SELECT credit_id, period,
-           coalesce(CAST((due_status <> 'on_time') <> lag(due_status <> 'on_time') OVER w AS INTEGER), 1) AS changed
-    FROM activity WINDOW w AS (PARTITION BY credit_id ORDER BY period)
+placed AS (
+    SELECT credit_id, period, due_status <> 'on_time' AS late,
+           (SELECT count(*) FROM activity e WHERE e.credit_id = a.credit_id AND e.period <= a.period) AS place
+    FROM activity a
 ),
-islands AS (
-    SELECT *, CAST(sum(changed) OVER (PARTITION BY credit_id ORDER BY period ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island
-    FROM flagged
+beginnings AS (
+    SELECT credit_id, place AS start FROM placed p
+    WHERE NOT EXISTS (FROM placed q WHERE q.credit_id = p.credit_id AND q.place = p.place - 1 AND q.late = p.late)
 )
-SELECT credit_id, period, changed, island,
-       CAST(row_number() OVER (PARTITION BY credit_id, island ORDER BY period) AS INTEGER) AS island_rank
-FROM islands"""
+SELECT credit_id, period, CAST(max(start) = place AS INTEGER) AS changed, count(start) AS island,
+       CAST(place - max(start) + 1 AS INTEGER) AS island_rank
+FROM placed JOIN beginnings USING (credit_id) WHERE start <= place
+GROUP BY credit_id, period, place"""
 
 _FEATURE_COLUMNS = """
 SELECT credit_id, period, due_status, late_streak, balance, balance_avg_3, balance_avg_6, balance_avg_12,
@@ -368,6 +370,7 @@ ORACLE_SQL: dict[str, str] = {
     "odd_status_activity": _daily(_ODD) + _ACTIVITY_COLUMNS,
     "odd_status_features": _daily(_ODD + _DERIVED) + _FEATURE_COLUMNS,
     "monthly_history_features": "WITH" + _HISTORY_FEATURES + _FEATURE_COLUMNS,
+    "appended_features": "WITH" + _HISTORY_FEATURES + _FEATURE_COLUMNS.replace("credit_id", "credit_id::VARCHAR AS credit_id"),
     "risk_by_country_period": _daily(_FEATURES) + _RISK_SUMMARY,
     "risk_by_country_period_sql": _daily(_FEATURES) + _RISK_SUMMARY,
     "credit_panel": "WITH" + _MONTHS + """

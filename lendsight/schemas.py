@@ -126,6 +126,10 @@ LAYOUT = {
     "model": "model",
 }
 
+#: Months of the stored window states, a table of our own.
+STATE_FOLDER = "as_of"
+FEATURE_FOLDER = "annee_mois"
+
 # Interchange schemas, in the column order of the files.
 EVENTS = T.StructType(
     [
