@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lendsight.functions.rules import SCORE_DECIMALS
-from lendsight.operators.ranking import running_totals
-
-
-ROUNDED_VALUES = 10**SCORE_DECIMALS + 1
+from lendsight.operators.ranking import running_totals, with_next
 
 
 def confusion_matrix(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -71,22 +68,25 @@ def _origin(df: DataFrame, **values: float) -> DataFrame:
     )
 
 
+def without_straight_points(table: DataFrame) -> DataFrame:
+    """A threshold table without the points at which neither count changes its step, of any number of thresholds.
+
+    The first and the last point stay. The step to a point is its own counts of
+    positives and negatives, so it only has to be held against the next point's.
+    """
+    ahead = with_next(table, "threshold", {"_positives": "positives", "_negatives": "negatives"}, descending=True)
+    bends = (F.col("_positives") != F.col("positives")) | (F.col("_negatives") != F.col("negatives"))
+    is_first = F.col("tp") + F.col("fp") == F.col("positives") + F.col("negatives")
+    return ahead.filter(is_first | F.coalesce(bends, F.lit(True))).select(*table.columns)
+
+
 def roc_points(table: DataFrame, drop_collinear: bool = False) -> DataFrame:
     """False and true positive rates per threshold, from the origin (threshold NULL) on.
 
-    ``drop_collinear`` leaves out points on the straight line between their
-    neighbours. It looks at neighbours in one task, so a table of more
-    thresholds than four decimals have is an error.
+    ``drop_collinear`` leaves out points on the straight line between their neighbours.
     """
     if drop_collinear:
-        if table.limit(ROUNDED_VALUES + 1).count() > ROUNDED_VALUES:
-            raise ValueError("drop_collinear needs scores rounded to four decimals")
-        down = Window.orderBy(F.desc("threshold"))
-        bends = F.lit(False)
-        for c in ("tp", "fp"):
-            bend = F.lead(c).over(down) - 2 * F.col(c) + F.lag(c).over(down)
-            bends = bends | F.coalesce(bend != 0, F.lit(True))
-        table = table.withColumn("_bends", bends).filter("_bends").drop("_bends")
+        table = without_straight_points(table)
     totals = table.agg(F.struct(F.max("tp").alias("tp"), F.max("fp").alias("fp")).alias("totals")).scalar()
     points = table.select(
         "threshold",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendsight.functions import rules
-from lendsight.operators.curves import ROUNDED_VALUES
-from lendsight.operators.ranking import running_totals
-from lendsight.session import materialise
+from lendsight.operators.selection import Selected, select_rank
 
 WATCH_LIST_SIZE = 100
 
@@ -101,85 +101,51 @@ def _rank_score() -> Column:
     return F.coalesce("score", F.lit(-1.0))  # an unknown score ranks last
 
 
-def _by_score(scored: DataFrame, **sums: Column) -> DataFrame:
-    """Rows and sums per score, stored: the one read of the whole table."""
-    return materialise(
-        scored.groupBy(_rank_score().alias("rank_score")).agg(
-            F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(name) for name, c in sums.items()]
-        ),
-        "by-score",
-    )
-
-
-def _cut(by_score: DataFrame, part: float) -> Row | None:
-    """The score in which the share ends (``rank_score``) and how many of its rows are inside (``rest``); None for no rows.
-
-    Rounded scores have few values, which are summed in one task; a table with
-    more is summed in slices.
-    """
+def _cut(scored: DataFrame, part: float, sums: dict[str, Column] | None = None) -> tuple[int, Selected | None, Selected | None]:
+    """Rows of the share, the score in which it ends, and its last credit among those of that score (None, None for no rows)."""
     if not 0 <= part <= 1:
         raise ValueError("part must lie between 0 and 1")
-    if by_score.count() <= ROUNDED_VALUES:
-        down = Window.orderBy(F.desc("rank_score"))
-        everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        summed = by_score.withColumns(
-            {"upto": F.sum("n").over(down.rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n").over(everything)}
-        )
-    else:
-        summed = running_totals(by_score, "rank_score", {"upto": "n"}, descending=True, overall={"all": "n"})
-    wanted = F.floor(F.col("all").cast("double") * F.lit(float(part)))
-    ends_here = (F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)
-    return summed.filter(ends_here).select("rank_score", (wanted - F.col("upto") + F.col("n")).alias("rest")).first()
-
-
-def _cut_bucket(scored: DataFrame, cut: Row, **kept: Column) -> DataFrame:
-    """The rows of the cut's score that are inside the share: the first ``rest`` by credit, ranked in slices."""
-    bucket = scored.filter(_rank_score() == cut["rank_score"])
-    rows = bucket.select("credit_id", F.lit(1).alias("one"), *[c.alias(name) for name, c in kept.items()])
-    return running_totals(rows, "credit_id", {"place": "one"}).filter(F.col("place") <= cut["rest"])
+    wanted = math.floor(float(scored.count()) * part)
+    ranked = scored.withColumn("_rank_score", _rank_score())
+    cut = select_rank(ranked, "_rank_score", wanted, descending=True, sums=sums)
+    if cut is None:
+        return wanted, None, None
+    tied = ranked.filter(F.col("_rank_score") == F.lit(cut.value))
+    return wanted, cut, select_rank(tied, "credit_id", cut.rest, sums=sums)
 
 
 def riskiest_share(scored: DataFrame, part: float) -> Column:
     """Predicate that holds for exactly ``floor(n * part)`` rows with the greatest scores, of equal ones in credit order.
 
-    The table is never sorted: rows per score find the score at which the cut
-    falls, and only the rows of that score are ranked, in slices over the
-    cluster, so that any number of credits may share it. ``scored`` has one row
-    per credit, is read twice and should be a stored table.
+    The table is never sorted and none of its rows stored: histograms of the
+    score find the score at which the cut falls, and histograms of the credit
+    the last one inside among those of that score, so that any number of
+    scores and any number of credits of one score will do. ``scored`` has one
+    row per credit, is read several times and should be a stored table.
     """
-    cut = _cut(_by_score(scored), part)
+    _, cut, last = _cut(scored, part)
     if cut is None:
         return F.lit(False)
-    last = _cut_bucket(scored, cut).agg(F.max("credit_id").alias("last")).first()["last"]
     score = _rank_score()
-    return (score > cut["rank_score"]) | ((score == cut["rank_score"]) & (F.col("credit_id") <= F.lit(last)))
+    return (score > F.lit(cut.value)) | ((score == F.lit(cut.value)) & (F.col("credit_id") <= F.lit(last.value)))
 
 
 def provision_stress(scored: DataFrame, part: float) -> DataFrame:
     """Expected loss before and after the riskiest ``part`` of the credits drops one stage.
 
     ``scored`` has credit_id, score, stage and outstanding, one row per credit.
-    Losses as they are and one stage down are summed per score in one read;
-    scores above the cut count whole, and only the rows of the cut's score are
-    read again. Best stored first.
+    What the stress adds is summed while the cut is searched for, as in
+    :func:`riskiest_share`; the one row at the cut is read by its key.
     """
     worse = rules.expected_loss(F.col("outstanding"), rules.downgraded_stage(F.col("stage")))
-    by_score = _by_score(scored, loss=_loss(), worse=worse)
-    cut = _cut(by_score, part)
-    before = by_score.agg(F.coalesce(F.sum("loss"), F.lit(0.0)).alias("ecl_before"))
-    if cut is None:
-        return before.select(
-            F.lit(0).cast("bigint").alias("n_downgraded"), "ecl_before", F.col("ecl_before").alias("ecl_after"),
-            rules.variation_pct(F.col("ecl_before"), F.col("ecl_before")).alias("variation_pct"),
-        )
-
-    def sums(rows: DataFrame, count: str) -> Column:
-        added = {"n": F.sum(count), "added": F.sum(F.col("worse") - F.col("loss"))}
-        return rows.agg(F.struct(*[F.coalesce(c, F.lit(0)).alias(name) for name, c in added.items()]).alias("sums")).scalar()
-
-    above = sums(by_score.filter(F.col("rank_score") > cut["rank_score"]), "n")
-    within = sums(_cut_bucket(scored, cut, loss=_loss(), worse=worse), "one")
-    return before.select(
-        (above["n"] + within["n"]).cast("bigint").alias("n_downgraded"), "ecl_before",
-        (F.col("ecl_before") + above["added"] + within["added"]).alias("ecl_after"),
-    ).withColumn("variation_pct", rules.variation_pct(F.col("ecl_before"), F.col("ecl_after")))
+    added = F.coalesce(worse, F.lit(0.0)) - F.coalesce(_loss(), F.lit(0.0))
+    wanted, cut, last = _cut(scored, part, {"added": added})
+    total = 0.0
+    if cut is not None:
+        at_cut = scored.filter((F.col("credit_id") == F.lit(last.value)) & (_rank_score() == F.lit(cut.value)))
+        total = cut.sums["added"] + last.sums["added"] + at_cut.agg(F.coalesce(F.sum(added), F.lit(0.0))).first()[0]
+    before = scored.agg(F.coalesce(F.sum(_loss()), F.lit(0.0)).alias("ecl_before"))
+    stressed = before.select(
+        F.lit(wanted).cast("bigint").alias("n_downgraded"), "ecl_before", (F.col("ecl_before") + F.lit(total)).alias("ecl_after")
+    )
+    return stressed.withColumn("variation_pct", rules.variation_pct(F.col("ecl_before"), F.col("ecl_after")))

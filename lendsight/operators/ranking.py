@@ -36,6 +36,27 @@ def running_totals(
     return placed.withColumns(running).select(*df.columns, *totals, *overall)
 
 
+def with_next(df: DataFrame, by: str, columns: dict[str, str], descending: bool = False) -> DataFrame:
+    """``df`` with, for each row, values of the row that follows in the order of the distinct values of ``by``.
+
+    ``columns`` maps new names to columns, which must not be NULL; the last row
+    gets NULLs. Rows are range-partitioned into slices and stored. Within a
+    slice a window looks ahead; across its end each slice is handed a halo, the
+    first row of the next slice that has rows. Only these halos, one row per
+    shuffle partition, meet in one task.
+    """
+    order = F.col(by).desc() if descending else F.col(by).asc()
+    sliced = materialise(df.repartitionByRange(order).withColumn("_slice", F.spark_partition_id()), "slices")
+    first = F.max_by if descending else F.min_by
+    firsts = sliced.groupBy("_slice").agg(*[first(c, by).alias(f"_first_{name}") for name, c in columns.items()])
+    ahead = Window.orderBy("_slice")
+    halos = firsts.select("_slice", *[F.lead(f"_first_{name}").over(ahead).alias(f"_halo_{name}") for name in columns])
+    within = Window.partitionBy("_slice").orderBy(order)
+    seen = sliced.join(F.broadcast(halos), "_slice")
+    following = {name: F.coalesce(F.lead(c).over(within), F.col(f"_halo_{name}")) for name, c in columns.items()}
+    return seen.withColumns(following).select(*df.columns, *columns)
+
+
 def value_ranks(df: DataFrame, column: str) -> DataFrame:
     """Every known value of a column with its share-of-ranks position, ties sharing their mean rank."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))

@@ -2,33 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 PANEL_STATE = ["stage", "outstanding"]
 FEATURE_STATE = ["late_streak", "balance_avg_3", "balance_avg_12", "overdraft_ratio_3", "incident_freq_6"]
 
 
-def _whole_order(df: DataFrame, order: str) -> Column:
-    """A number, date or timestamp as a BIGINT of the same order."""
-    kind = df.schema[order].dataType.typeName()
-    if kind == "date":
-        return F.unix_date(order).cast("bigint")
-    return F.unix_micros(order) if kind == "timestamp" else F.col(order).cast("bigint")
+_ORDERED = {"date": F.unix_date, "timestamp": F.unix_micros, "byte": F.col, "short": F.col, "integer": F.col, "long": F.col}
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key, by aggregation: no window and no sort.
+    """The row with the greatest ``order`` per key, by aggregation and without a window.
 
     Numbers and dates aggregate in hash maps, and the rows of a key fold on the
-    map side. All columns come from one row: below the order, which is a whole
-    number, a date or a timestamp, stands a hash of the columns, so that of
-    several rows of one order the same one counts in every run and any
-    partitioning. ``summary.duplicate_keys`` finds such rows, and the portfolio
-    job looks for them unless told not to. Rows without an order do not count.
+    map side. All columns come from one row: below the order, a whole number, a
+    date or a timestamp, stands a hash of the columns, so that of several rows
+    of one order the same one counts in every run and any partitioning. Another
+    type of order travels as it is, which makes Spark aggregate by sorting.
+    ``summary.duplicate_keys`` finds such rows, and the portfolio job looks for
+    them unless told not to. Rows without an order do not count.
     """
+    kind = df.schema[order].dataType.typeName()
+    if kind not in _ORDERED:
+        latest = df.filter(F.col(order).isNotNull()).groupBy(key).agg(F.max(F.struct(order, F.struct(*columns).alias("row"))).alias("latest"))
+        return latest.select(key, "latest.row.*")
     size = F.lit(str(2**60)).cast("decimal(19,0)")
     tie = F.pmod(F.xxhash64(*columns), F.lit(2**60)).cast("decimal(19,0)")
-    place = (_whole_order(df, order).cast("decimal(19,0)") * size + tie).cast("decimal(38,0)")
+    place = (_ORDERED[kind](order).cast("bigint").cast("decimal(19,0)") * size + tie).cast("decimal(38,0)")
     return df.withColumn("_place", place).groupBy(key).agg(*[F.max_by(c, "_place").alias(c) for c in columns])
 
 

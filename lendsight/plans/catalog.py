@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lendsight.functions import rules
 from lendsight.functions.keys import period_label, split_bucket
 from lendsight.jobs import feature_job
-from lendsight.operators import activity, behaviour, curves, labels, model, panel as panels, portfolio, ranking, summary
+from lendsight.operators import activity, behaviour, curves, labels, model, newton, panel as panels, portfolio, ranking, summary
 from lendsight.plans import mapping as m
 from lendsight.session import materialise, scratch_path
 from lendsight.sources import sinks, tables
@@ -155,24 +155,40 @@ def _hash_split(spark, folder):
     )
 
 
-def _fitted(spark, folder):
-    dataset = materialise(m.activity_training_set(spark, folder), "training")
-    return model.fit_and_predict(model.with_class_weight(dataset))
+def _weighted(spark, folder):
+    return materialise(model.with_class_weight(materialise(m.activity_training_set(spark, folder), "training")), "weighted")
+
+
+def _newton_predictions(weighted):
+    train, test = model.split_by_key(weighted)
+    return newton.predict(test, newton.fit(train))
 
 
 def _model_predictions(spark, folder):
-    _, predictions, _ = _fitted(spark, folder)
-    return _day(model.prediction_table(predictions))
+    predictions = _newton_predictions(_weighted(spark, folder))
+    probability = F.round("probability_positive", 6).alias("probability_positive")
+    return _day(predictions.select("credit_id", "period", model.LABEL, probability, "prediction"))
 
 
 def _model_metrics(spark, folder):
-    _, predictions, _ = _fitted(spark, folder)
-    kept = model.with_margin(predictions).select(model.LABEL, "margin", "prediction")
+    kept = _newton_predictions(_weighted(spark, folder)).select(model.LABEL, "margin", "prediction")
     return model.evaluate(materialise(kept, "predictions"))
 
 
+def _roundtrip_model(spark, folder):
+    """Predictions of the stored and loaded pipeline beside those of the Newton fit."""
+    weighted = _weighted(spark, folder)
+    fitted, _, test = model.fit_and_predict(weighted)
+    path = scratch_path(spark, "pipeline")
+    sinks.write_model(fitted, path)
+    ours = _newton_predictions(weighted).select("credit_id", "period", F.col("probability_positive").alias("expected"))
+    loaded = model.prediction_table(sinks.load_model(path).transform(test)).join(ours, ["credit_id", "period"])
+    agrees = F.abs(F.col("probability_positive") - F.col("expected")) < 1e-4
+    return _day(loaded.select("credit_id", "period", model.LABEL, agrees.alias("agrees")))
+
+
 def _training_side(spark, folder):
-    weighted = materialise(model.with_class_weight(materialise(m.activity_training_set(spark, folder), "training")), "weighted")
+    weighted = _weighted(spark, folder)
     fitted, _, _ = model.fit_and_predict(weighted)
     return fitted, model.split_by_key(weighted)[0]
 
@@ -188,7 +204,7 @@ def _model_optimality(spark, folder):
 
 
 def _stored_predictions(spark, folder):
-    _, predictions, _ = _fitted(spark, folder)
+    _, predictions, _ = model.fit_and_predict(_weighted(spark, folder))
     path = scratch_path(spark, "predictions")
     sinks.write_predictions(model.prediction_table(predictions), path)
     return tables.read_predictions(spark, path)
@@ -198,8 +214,8 @@ def _model_test_rows(spark, folder):
     return _day(_stored_predictions(spark, folder).select("credit_id", "period", model.LABEL))
 
 
-# Months at which the history is cut: whole years first, two single months, and the rest.
-CUTS = [(None, "1996-12"), ("1997-01", "1997-01"), ("1997-02", "1997-02"), ("1997-03", None)]
+# Months at which the history is cut: whole years first, a single month, and the rest.
+CUTS = [(None, "1996-12"), ("1997-01", "1997-01"), ("1997-02", None)]
 
 
 def _appended_features(spark, folder):
@@ -269,6 +285,16 @@ def _roc_points_thinned(spark, folder):
     return curves.roc_points(_thresholds(spark, folder), drop_collinear=True)
 
 
+def _balance_thresholds(spark, folder):
+    # A score that is not rounded: the lower the balance, the greater the risk.
+    dataset = m.activity_training_set(spark, folder).select((F.lit(0.0) - F.col("balance_avg_12")).alias("score"), model.LABEL)
+    return materialise(curves.threshold_table(dataset, "score", model.LABEL), "thresholds")
+
+
+def _roc_points_unrounded(spark, folder):
+    return curves.roc_points(_balance_thresholds(spark, folder), drop_collinear=True)
+
+
 def _pr_points(spark, folder):
     return curves.pr_points(_thresholds(spark, folder))
 
@@ -389,6 +415,7 @@ QUERIES: dict[str, Query] = {
     "alert_metrics": _alert_metrics,
     "roc_points": _roc_points,
     "roc_points_thinned": _roc_points_thinned,
+    "roc_points_unrounded": _roc_points_unrounded,
     "pr_points": _pr_points,
     "auc_exact": _auc_exact,
     "pct_rank_avg_ties": _pct_rank_avg_ties,
@@ -399,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "scaled_features": _scaled_features,
     "model_optimality": _model_optimality,
     "model_test_rows": _model_test_rows,
+    "roundtrip_model": _roundtrip_model,
     "roundtrip_jsonl": _roundtrip_jsonl,
     "roundtrip_csv": _roundtrip_csv,
     "roundtrip_labels": _roundtrip_labels,

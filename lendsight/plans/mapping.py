@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lendsight.functions import rules
 from lendsight.operators import behaviour, labels, model, panel as panels, portfolio, state
-from lendsight.session import materialise
+from lendsight.sources.buckets import stored_once
 
 GRAIN = "day"
 STRESSED_PART = 0.1
@@ -123,13 +123,27 @@ def activity_credits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _with_age(features: DataFrame) -> DataFrame:
-    """Rows of a credit counted from 0, and whether a row is its last; the window is the one of the features."""
-    by_credit = Window.partitionBy("credit_id").orderBy("period")
-    return features.withColumns(
-        {"months_elapsed": F.row_number().over(by_credit) - 1, "is_last": F.lead("period").over(by_credit).isNull()}
+    """Rows of a credit counted from 0; the window is the one of the features."""
+    return features.withColumn("months_elapsed", F.row_number().over(Window.partitionBy("credit_id").orderBy("period")) - 1)
+
+
+def stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily features in buckets of the credit."""
+    return stored_once(spark, folder, "daily_features", lambda: _with_age(activity_features(spark, folder)))
+
+
+def stored_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily panel in the same buckets."""
+    return stored_once(
+        spark, folder, "daily_panel", lambda: activity_panel(stored_features(spark, folder), activity_credits(spark, folder))
     )
 
 
+def stored_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of the daily panel in the same buckets."""
+    return stored_once(spark, folder, "daily_labels", lambda: activity_labels(stored_panel(spark, folder)))
+
+
 def activity_panel(aged: DataFrame, credits: DataFrame) -> DataFrame:
     """Stage and balance per credit and day: thirty days past due for every late instalment in a row."""
     return _valued(aged.select("credit_id", "period", _days_late().alias("dpd"), "months_elapsed").join(credits, "credit_id"))
@@ -152,12 +166,9 @@ def _valued(rows: DataFrame) -> DataFrame:
 
 
 def activity_state(spark: SparkSession, folder: str) -> DataFrame:
-    """State of every user. Only last rows matter, so only those, one per user, are stored and joined."""
-    aged = _with_age(activity_features(spark, folder)).filter("is_last")
-    last = materialise(aged.join(activity_credits(spark, folder), "credit_id"), "last-features")
-    terms = last.select("credit_id", "client_id", "principal", "credit_type", "term_months")
-    panel = _valued(last.withColumn("dpd", _days_late()))
-    return state.portfolio_state(panel, last, terms, clients(spark, folder), panel_order="period")
+    """State of every user, from the stored panel and features bucket by bucket."""
+    panel, features = stored_panel(spark, folder), stored_features(spark, folder)
+    return state.portfolio_state(panel, features, activity_credits(spark, folder), clients(spark, folder), panel_order="period")
 
 
 def activity_labels(panel: DataFrame) -> DataFrame:
@@ -165,10 +176,8 @@ def activity_labels(panel: DataFrame) -> DataFrame:
 
 
 def activity_training_set(spark: SparkSession, folder: str) -> DataFrame:
-    # Stored, since both the labels and the training set read it.
-    features = materialise(activity_features(spark, folder), "features")
-    panel = activity_panel(_with_age(features), activity_credits(spark, folder))
-    return model.training_set(features, activity_labels(panel), grain=GRAIN)
+    """Features and labels joined bucket by bucket."""
+    return model.training_set(stored_features(spark, folder), stored_labels(spark, folder), grain=GRAIN)
 
 
 def labelled_scores(spark: SparkSession, folder: str) -> DataFrame:

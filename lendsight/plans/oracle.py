@@ -163,9 +163,7 @@ judged AS (
 )"""
 )
 
-_CURVE = (
-    _JUDGED
-    + """,
+_BY_SCORE = """,
 per_score AS (
     SELECT score AS threshold, sum(default_within_3) AS pos, sum(1 - default_within_3) AS neg FROM judged GROUP BY score
 ),
@@ -175,7 +173,16 @@ cumulative AS (
     FROM per_score
 ),
 totals AS (SELECT max(tp) AS all_pos, max(fp) AS all_neg FROM cumulative)"""
-)
+
+_CURVE = _JUDGED + _BY_SCORE
+_UNROUNDED = """,
+judged AS (SELECT 0.0::DOUBLE - balance_avg_12 AS score, default_within_3 FROM training)""" + _BY_SCORE
+
+_BENT = """,
+bent AS (
+    SELECT *, coalesce(lead(tp) OVER w - 2 * tp + lag(tp) OVER w <> 0 OR lead(fp) OVER w - 2 * fp + lag(fp) OVER w <> 0, true) AS kept
+    FROM cumulative WINDOW w AS (ORDER BY threshold DESC)
+)"""
 
 _ROC = """
 SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
@@ -330,15 +337,6 @@ strips AS (
 
 _AREAS = ("sum(roc) / (2.0::DOUBLE * max(all_pos) * max(all_neg))", "sum(pr) / (2.0::DOUBLE * max(all_pos))")
 
-_METRICS = (
-    _daily(_CURVE)
-    + _STRIPS
-    + _TALLY
-    + f""",
-areas AS (SELECT round_even({_AREAS[0]}, 4) AS auc_roc, round_even({_AREAS[1]}, 4) AS auc_pr FROM strips, totals)
-SELECT auc_roc, auc_pr, {_SHARES} FROM areas, tally"""
-)
-
 # The rows on one side of the split by credit.
 _TRAINING_SIDE = """,
 side AS (
@@ -356,6 +354,55 @@ _SCALED = (
 )
 
 
+def _newton(steps: int) -> str:
+    """Newton steps on the training side written out one by one, each with the elimination that solves for its step."""
+    names = ("late_streak", "balance_avg_3", "balance_avg_6", "balance_avg_12", "overdraft_ratio_3", "incident_freq_6")
+    n = len(names) + 1
+    made = [
+        """,
+sizes AS (SELECT count(*) AS n, sum(default_within_3) AS n1 FROM training),
+weighed AS MATERIALIZED (
+    SELECT t.*, CASE WHEN default_within_3 = 1 THEN n / (2.0::DOUBLE * n1) ELSE n / (2.0::DOUBLE * (n - n1)) END AS w,
+           CAST(concat('0x', substr(md5(credit_id::VARCHAR), 1, 8)) AS BIGINT) % 100 < 75 AS in_train
+    FROM training t, sizes
+)""",
+        "spread AS (SELECT " + ", ".join(f"stddev_samp({c}::DOUBLE) AS d{i}" for i, c in enumerate(names)) + " FROM weighed WHERE in_train)",
+        "points AS MATERIALIZED (SELECT weighed.*, " + ", ".join(f"{c}::DOUBLE / d{i} AS x{i}" for i, c in enumerate(names))
+        + f", 1.0::DOUBLE AS x{n - 1} FROM weighed, spread)",
+        "beta0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(n)) + ")",
+    ]
+    margin = " + ".join(f"b{i} * x{i}" for i in range(n))
+    for k in range(steps):
+        sums = [f"sum(e * x{i}) AS g{i}" for i in range(n)] + [f"sum(c * x{i} * x{j}) AS h{i}{j}" for i in range(n) for j in range(i, n)]
+        made.append(
+            f"system{k}_0 AS MATERIALIZED (SELECT {', '.join(sums)} FROM (SELECT *, w * (p - default_within_3) AS e, w * p * (1 - p) AS c "
+            f"FROM (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM points, beta{k} WHERE in_train)))"
+        )
+        for i in range(n - 1):
+            left = [f"h{a}{b}" for a in range(i + 1) for b in range(a, n)] + [f"g{a}" for a in range(i + 1)]
+            left += [f"h{a}{b} - h{i}{a} / h{i}{i} * h{i}{b} AS h{a}{b}" for a in range(i + 1, n) for b in range(a, n)]
+            left += [f"g{a} - h{i}{a} / h{i}{i} * g{i} AS g{a}" for a in range(i + 1, n)]
+            made.append(f"system{k}_{i + 1} AS MATERIALIZED (SELECT {', '.join(left)} FROM system{k}_{i})")
+        back = [
+            f"(g{i}{''.join(f' - h{i}{j} * s{j}' for j in range(i + 1, n))}) / h{i}{i} AS s{i}" for i in reversed(range(n))
+        ]
+        made.append(f"step{k} AS MATERIALIZED (SELECT {', '.join(back)} FROM system{k}_{n - 1})")
+        made.append(f"beta{k + 1} AS MATERIALIZED (SELECT {', '.join(f'b{i} - s{i} AS b{i}' for i in range(n))} FROM beta{k}, step{k})")
+    made.append(
+        f"predicted AS (SELECT *, 1 / (1 + exp(-score)) AS probability, CASE WHEN 1 / (1 + exp(-score)) > 0.5 THEN 1 ELSE 0 END AS prediction "
+        f"FROM (SELECT *, {margin} AS score FROM points, beta{steps} WHERE NOT in_train))"
+    )
+    return ",\n".join(made)
+
+
+# Nine steps: the sixth already moves no coefficient any more.
+_PREDICTED = _daily(_LABELS) + _newton(9)
+
+_EVALUATED = _BY_SCORE + _STRIPS + _TALLY + f""",
+areas AS (SELECT round_even({_AREAS[0]}, 4) AS auc_roc, round_even({_AREAS[1]}, 4) AS auc_pr FROM strips, totals)
+SELECT auc_roc, auc_pr, {_SHARES} FROM areas, tally"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "daily_activity": _daily(_EVENTS) + _ACTIVITY_COLUMNS,
     "daily_activity_joined": _daily(_EVENTS) + _ACTIVITY_COLUMNS,
@@ -455,11 +502,8 @@ FROM grid g LEFT JOIN judged j ON j.default_within_3 = g.label AND j.prediction
 GROUP BY g.label, g.prediction""",
     "alert_metrics": _daily(_JUDGED) + _TALLY + f"\nSELECT {_SHARES} FROM tally",
     "roc_points": _daily(_CURVE) + _ROC.format(points="cumulative"),
-    "roc_points_thinned": _daily(_CURVE) + """,
-bent AS (
-    SELECT *, coalesce(lead(tp) OVER w - 2 * tp + lag(tp) OVER w <> 0 OR lead(fp) OVER w - 2 * fp + lag(fp) OVER w <> 0, true) AS kept
-    FROM cumulative WINDOW w AS (ORDER BY threshold DESC)
-)""" + _ROC.format(points="(SELECT * FROM bent WHERE kept)"),
+    "roc_points_thinned": _daily(_CURVE) + _BENT + _ROC.format(points="(SELECT * FROM bent WHERE kept)"),
+    "roc_points_unrounded": _daily(_LABELS + _UNROUNDED) + _BENT + _ROC.format(points="(SELECT * FROM bent WHERE kept)"),
     "pr_points": _daily(_CURVE) + """
 SELECT CAST(NULL AS DOUBLE) AS threshold, 1.0::DOUBLE AS precision, 0.0::DOUBLE AS recall
 UNION ALL
@@ -500,6 +544,10 @@ SELECT credit_id::VARCHAR AS credit_id, substr(period, 1, 7) AS period, default_
     "'incident_freq_6', 'intercept']) AS term, 0.0::DOUBLE AS gradient",
     "model_test_rows": _daily(_LABELS) + _TRAINING_SIDE.format(test=">=")
     + " SELECT credit_id::VARCHAR AS credit_id, strftime(date_trunc('month', period::DATE), '%Y-%m-%d') AS period, default_within_3 FROM side",
-    "roundtrip_metrics": _METRICS,
+    "roundtrip_metrics": _daily(_JUDGED) + _EVALUATED,
+    "model_predictions": _PREDICTED
+    + " SELECT credit_id, period, default_within_3, round(probability, 6) AS probability_positive, prediction::DOUBLE AS prediction FROM predicted",
+    "model_metrics": _PREDICTED + ", judged AS (SELECT score, default_within_3, prediction FROM predicted)" + _EVALUATED,
+    "roundtrip_model": _daily(_LABELS) + _TRAINING_SIDE.format(test=">=") + " SELECT credit_id, period, default_within_3, true AS agrees FROM side",
     "roundtrip_parquet": _by_month(_FEATURES) + _FEATURE_COLUMNS.replace("credit_id", "credit_id::VARCHAR AS credit_id"),
 }

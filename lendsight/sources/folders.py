@@ -23,3 +23,14 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds; nothing happens if it is not there."""
     folder, files = _path(spark, path)
     files.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, files = _path(spark, path)
+    return files.exists(found)
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of what lies right below ``path``."""
+    root, files = _path(spark, path)
+    return " ".join(sorted(f"{e.getPath().getName()}:{e.getLen()}:{e.getModificationTime()}" for e in files.listStatus(root)))

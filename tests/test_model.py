@@ -3,11 +3,12 @@
 import datetime
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from lendsight.operators import model
+from lendsight.operators import model, newton
 from lendsight.session import materialise
 
 FEATURES = (
@@ -110,3 +111,37 @@ def test_same_split_gives_the_same_model(dataset):
     first, _, _ = model.fit_and_predict(weighted)
     second, _, _ = model.fit_and_predict(weighted.repartition(5))
     assert first.stages[-1].coefficients.toArray() == pytest.approx(second.stages[-1].coefficients.toArray(), rel=1e-5)
+
+
+def _rows(spark, n, separable=False, seed=5):
+    rng = random.Random(seed)
+    made = []
+    for i in range(n):
+        x = [float(rng.randint(0, 5)), rng.gauss(0, 50), rng.gauss(10, 40), rng.gauss(5, 30), rng.random(), 0.25]
+        risk = x[0] - 2 + (0 if separable else rng.gauss(0, 3))
+        made.append((*x, int(risk > 0), f"C{i}", 1.0 + (i % 3)))
+    names = ", ".join(f"{c} double" for c in model.MODEL_FEATURES)
+    return spark.createDataFrame(made, f"{names}, {model.LABEL} int, credit_id string, weight double")
+
+
+def test_newton_finds_the_optimum_of_the_pipeline(spark):
+    rows = _rows(spark, 800)
+    fitted = newton.fit(rows)
+    assert fitted.steps < 12 and fitted.coefficients[5] == 0.0  # the last feature does not vary
+    stages = model.build_model().fit(rows).stages
+    assert fitted.coefficients == pytest.approx(list(stages[-1].coefficients), abs=1e-4)
+    assert fitted.intercept == pytest.approx(stages[-1].intercept, abs=1e-4)
+    gradient = newton._sums(newton._scaled(rows, fitted.deviations, model.LABEL), np.array([*fitted.coefficients[:5], fitted.intercept]))[1]
+    assert np.abs(gradient).max() < 1e-12
+    predicted = newton.predict(rows, fitted).collect()
+    assert all((r.probability_positive > 0.5) == (r.prediction == 1.0) == (r.margin > 0) for r in predicted)
+
+
+def test_newton_on_separable_rows_one_class_and_no_rows(spark):
+    fitted = newton.fit(_rows(spark, 200, separable=True))
+    rows = newton.predict(_rows(spark, 200, separable=True), fitted).collect()
+    assert all(int(r.prediction) == r[model.LABEL] for r in rows)
+    alone = newton.predict(_rows(spark, 50).withColumn(model.LABEL, F.lit(1)), newton.fit(_rows(spark, 50).withColumn(model.LABEL, F.lit(1))))
+    assert alone.filter("prediction < 1").isEmpty()
+    with pytest.raises(ValueError, match="no rows"):
+        newton.fit(_rows(spark, 1).limit(0))

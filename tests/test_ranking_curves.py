@@ -120,10 +120,26 @@ def test_areas_equal_the_library_evaluator(scored, decimals):
     assert areas.auc_pr == pytest.approx(judge.evaluate(rounded, {judge.metricName: "areaUnderPR"}), abs=1e-12)
 
 
-def test_dropping_collinear_points_needs_rounded_scores(spark):
-    exact = spark.range(curves.ROUNDED_VALUES + 1).select((F.col("id") / 20000).alias("score"), (F.col("id") % 2).cast("int").alias("label"))
-    with pytest.raises(ValueError, match="rounded"):
-        curves.roc_points(curves.threshold_table(exact, "score", "label"), drop_collinear=True)
+@pytest.mark.parametrize("size,partitions", [(1, 4), (2, 4), (3, 2), (12_000, 7)])
+def test_points_thinned_like_a_plain_loop(spark, size, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    labels = [int((i * i) % 11 < 4 and i % 300 > 40) for i in range(size)]
+    df = spark.createDataFrame([(i / 7 - 900, label) for i, label in enumerate(labels)], SCORED)
+    thin = curves.roc_points(curves.threshold_table(df, "score", "label"), drop_collinear=True)
+    plan = thin._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    down = sorted(((i / 7 - 900, label) for i, label in enumerate(labels)), reverse=True)
+    kept = [t for i, (t, label) in enumerate(down) if i in (0, size - 1) or down[i + 1][1] != label]
+    assert sorted(r.threshold for r in thin.collect() if r.threshold is not None) == sorted(kept)
+    assert "_positives" not in plan or "windowspecdefinition(threshold" not in plan
+
+
+def test_next_rows_reach_over_empty_slices(spark):
+    df = spark.createDataFrame([(float(i), i * 10) for i in range(5)], "at double, value int").repartition(3)
+    for descending in (False, True):
+        got = {r.at: r.following for r in ranking.with_next(df, "at", {"following": "value"}, descending).collect()}
+        step = -1 if descending else 1
+        assert got == {float(i): (i + step) * 10 if 0 <= i + step < 5 else None for i in range(5)}
 
 
 def test_areas_without_positives(spark):
