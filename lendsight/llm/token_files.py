@@ -37,8 +37,8 @@ class TokenizerMemo:
 
     A byte-level tokenizer's pieces never reach across a space between two
     characters that are not white space, so a text without white space beside
-    white space is the concatenation of its words, each with the space before
-    it. Any other text is encoded as it is. New words are encoded many at a
+    white space or added token is the concatenation of its words, each with the
+    space before it. Any other text is encoded as it is. New words are encoded many at a
     time as one text, which is cut again at the tokens that begin with a space.
     """
 
@@ -50,7 +50,9 @@ class TokenizerMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # A token that is cut out of a text before its words are looked at; a text that holds one is encoded as it is.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.apart = regex.compile("|".join([self.WIDE.pattern, *map(regex.escape, added)]))
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
@@ -85,7 +87,7 @@ class TokenizerMemo:
             self.known.update(zip(some, self._word_ids(some), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [None if self.WIDE.search(t) else t.split(" ") for t in texts]
+        words = [None if self.apart.search(t) else t.split(" ") for t in texts]
         self._learn({w for own in words if own for w in own[1:]})
         whole = self._ids([t if own is None else own[0] for t, own in zip(texts, words, strict=True)])
         return [
@@ -237,5 +239,5 @@ def read_token_files(files: DataFrame, key_type: str = "long") -> DataFrame:
 
     kind = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[key_type]
     schema = pa.schema([("key", kind), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-    spread = starts.repartition(max(1, files.count()), "file")
+    spread = starts.repartition(max(1, files.count()))
     return spread.mapInArrow(read, f"key {key_type}, start long, n_tokens long, ids_crc32 long")

@@ -57,9 +57,18 @@ def test_query_covers_documents(spark, data):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
+
+
+def test_added_tokens_in_a_text_like_the_plain_call(spark, tokenizer):
+    texts = ["end<|endoftext|> next", "<|endoftext|>", "a <|endoftext|>b c", "plain <|endoftext words", "two  spaces <|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = token_files.read_token_files(token_files.write_token_files(docs, "doc_id", "text", PATH, 2)).collect()
+    expected = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert 50256 in expected[0]
+    assert {r.key: (r.n_tokens, r.ids_crc32) for r in rows} == {
+        i: (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())) for i, ids in expected.items()
+    }
 
 
 def test_files_hold_the_ids_in_order(documents, tokenizer):
