@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendsight.llm.graph import connected_components, linked_members
-from lendsight.llm.words import Memo, words_of
+from lendsight.llm.words import Memo, free_name, words_of
 from lendsight.session import materialise
 
 SHINGLE = 5
@@ -67,8 +67,12 @@ def depth_for(recall: float, threshold: float, trees: int = TREES, deepest: int
     return depth
 
 
+def text_digest(text: Column) -> Column:
+    return F.coalesce(F.md5(text.cast("binary")), F.lit(""))
+
+
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: key, digest of its shingles, n_shingles and the signature; rows without shingles have a NULL digest."""
+    """Per row: key, digest of its shingles, n_shingles, the signature and text_md5; rows without shingles have a NULL digest."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,10 +84,12 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                     pa.array([_digest(s) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.list_(pa.int32())),
-                ], ["key", "digest", "n_shingles", "signature"])
+                    part.column(2),
+                ], ["key", "digest", "n_shingles", "signature", "text_md5"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(sign, f"key {kind}, digest binary, n_shingles long, signature array<int>")
+    read = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), text_digest(F.col(text)).alias("text_md5"))
+    return read.mapInArrow(sign, f"key {kind}, digest binary, n_shingles long, signature array<int>, text_md5 string")
 
 
 def _digest(hashes: np.ndarray) -> bytes | None:
@@ -123,26 +129,8 @@ def jaccard_links(left: list[bytes], right: list[bytes], threshold: float = THRE
     return linked
 
 
-def similar_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
-) -> DataFrame:
-    """One row per document: key, class_id (least key of its group), n_links.
-
-    Two documents are linked if the Jaccard similarity of their shingles is at
-    least ``threshold``; a group is what links connect; n_links counts the
-    other documents linked directly, copies included.
-
-    Documents with the same shingles become one member with a number of
-    copies. In each tree of the forest the members are put in order of their
-    signature, and those under one prefix are candidates. Candidates that hang
-    together are compared exactly, all with all, a chunk of members at a time,
-    so neither a common prefix nor a large group of near copies becomes pairs
-    of rows or one task's load.
-
-    A text without words is linked with nothing. Rows with a NULL key are
-    linked with nothing and keep a NULL class. Rows of one key with different
-    texts are different members. Other columns are not read.
-    """
+def _placed(docs: DataFrame, key: str, text: str, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and per digest its component, the component's least key and the number of links."""
     signed = materialise(signatures(docs, key, text), "signatures")
     known = signed.filter("digest is not null and key is not null")
     members = known.groupBy("digest").agg(
@@ -177,8 +165,32 @@ def similar_documents(
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     names = placed.groupBy("component").agg(F.min("least").alias("class_id"))
     placed = placed.join(names, "component").select(
-        "digest", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "digest", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
+    return signed, placed
+
+
+def similar_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
+) -> DataFrame:
+    """One row per document: key, class_id (least key of its group), n_links.
+
+    Two documents are linked if the Jaccard similarity of their shingles is at
+    least ``threshold``; a group is what links connect; n_links counts the
+    other documents linked directly, copies included.
+
+    Documents with the same shingles become one member with a number of
+    copies. In each tree of the forest the members are put in order of their
+    signature, and those under one prefix are candidates. Candidates that hang
+    together are compared exactly, all with all, a chunk of members at a time,
+    so neither a common prefix nor a large group of near copies becomes pairs
+    of rows or one task's load.
+
+    A text without words is linked with nothing. Rows with a NULL key are
+    linked with nothing and keep a NULL class. Rows of one key with different
+    texts are different members. Other columns are not read.
+    """
+    signed, placed = _placed(docs, key, text, threshold, recall)
     found = signed.select("key", F.when(F.col("key").isNotNull(), F.col("digest")).alias("digest")).join(placed, "digest", "left")
     return found.select(
         F.col("key").alias(key), F.coalesce("class_id", "key").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
@@ -186,7 +198,28 @@ def similar_documents(
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the least key of their group; rows with a NULL key or without words stay."""
-    found = similar_documents(docs, key, text)
-    repeated = found.filter(f"{key} <> class_id").select(F.col(key).alias("_repeated")).distinct()
-    return docs.join(repeated.hint("merge"), F.col(key) == F.col("_repeated"), "left_anti")
+    """One row of each group, with the columns it came with; rows with a NULL key or without words all stay.
+
+    It is the row with the least key, of several texts under that key the one
+    with the least digest, and of rows equal in both any one. Rows are told
+    apart by key and text together, so a key with two texts loses only the
+    text that has a copy elsewhere.
+    """
+    signed, placed = _placed(docs, key, text, THRESHOLD, RECALL)
+    grouped = signed.filter("digest is not null and key is not null").join(placed.select("digest", "component"), "digest")
+    rows = grouped.groupBy("component", "key", "text_md5").agg(F.count("*").alias("n"))
+    first = rows.groupBy("component").agg(F.min(F.struct("key", "text_md5")).alias("first"))
+    rows = rows.join(first, "component").withColumn("stays", F.struct("key", "text_md5") == F.col("first"))
+    rows = materialise(rows.select("key", "text_md5", "n", "stays"), "verdicts")
+
+    its_key, its_text, digest = (free_name(docs.columns, n) for n in ("_key", "_text_md5", "_digest"))
+    marked = docs.withColumn(digest, text_digest(F.col(text)))
+    same = (F.col(key) == F.col(its_key)) & (F.col(digest) == F.col(its_text))
+
+    def named(condition: str) -> DataFrame:
+        return rows.filter(condition).select(F.col("key").alias(its_key), F.col("text_md5").alias(its_text))
+
+    # Rows that go, and rows of which only one stays; the latter are few and taken one by one.
+    single = marked.join(named("not stays or n > 1").hint("merge"), same, "left_anti")
+    repeated = marked.join(named("stays and n > 1"), same, "left_semi").dropDuplicates([key, digest])
+    return single.unionAll(repeated).select(*docs.columns)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendsight.llm.words import WHITE, run_ids, words_of
+from lendsight.llm.words import WHITE, free_name, run_ids, words_of
 from lendsight.session import materialise
 
 SYMBOLS = b"#*$%&|<>"
@@ -113,10 +113,11 @@ def with_verdicts(
     """
     failures = rule_failures(column)
     hard = failures[HARD[0]] | failures[HARD[1]]
-    named = verdicts.select(F.col("host").alias("_verdict_host"), F.col("host_bad").alias("_host_bad"))
-    joined = measured.join(named, F.col(host).eqNullSafe(F.col("_verdict_host")), "left")
-    kept = ~hard & ~F.coalesce("_host_bad", F.lit(False))
-    return joined.withColumns({names[0]: hard, names[1]: kept}).drop("_verdict_host", "_host_bad")
+    its_host, bad = (free_name([*measured.columns, *names], n) for n in ("_verdict_host", "_host_bad"))
+    named = verdicts.select(F.col("host").alias(its_host), F.col("host_bad").alias(bad))
+    joined = measured.join(named, F.col(host).eqNullSafe(F.col(its_host)), "left")
+    kept = ~hard & ~F.coalesce(bad, F.lit(False))
+    return joined.withColumns({names[0]: hard, names[1]: kept}).drop(its_host, bad)
 
 
 def quality_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
@@ -124,10 +125,11 @@ def quality_documents(docs: DataFrame, text: str = "text", host: str = "source")
 
     Two passes: the measures are cheap to take again, and writing every text
     a second time is not. An empty or NULL text has no words and fails. Every
-    row is judged by itself, so repeated rows fare alike.
+    row is judged by itself, so repeated rows fare alike. Columns of any name
+    come through as they are.
     """
-    column = "_measures"
+    column, failed, kept = (free_name(docs.columns, n) for n in ("_measures", "_failed", "_kept"))
     measured = docs.select(F.col(host), measures(F.col(text)).alias(column))
     verdicts = materialise(host_verdicts(measured, host, column), "verdicts")
-    judged = with_verdicts(docs.withColumn(column, measures(F.col(text))), verdicts, host, column, ("_failed", "_kept"))
-    return judged.filter("_kept").select(*docs.columns)
+    judged = with_verdicts(docs.withColumn(column, measures(F.col(text))), verdicts, host, column, (failed, kept))
+    return judged.filter(F.col(kept)).select(*docs.columns)

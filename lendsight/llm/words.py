@@ -12,6 +12,14 @@ def words_of(data: bytes) -> list[bytes]:
     return data.split()
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores before it as no column of the table has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Memo(dict):
     """Results of a function by key, emptied when it holds ``limit`` of them."""
 

@@ -104,6 +104,17 @@ def test_one_of_each(documents):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if r.doc_id == r.class_id} | {None}
 
 
+def test_rows_and_not_keys_are_dropped(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(1, one, "x"), (5, one, "x"), (5, two, "x"), (7, three, "x"), (7, three, "x"), (7, three, "y"), (None, one, "x"), (9, "", "x"), (9, "", "x")]
+    docs = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "doc_id long, text string, lang string, _repeated int, _digest int, _key int, key int")
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, one), (5, two), (7, three), (None, one), (9, ""), (9, "")], key=str)
+    assert {(r._repeated, r._digest, r._key, r.key) for r in kept.collect()} == {(1, 2, 3, 4)}
+
+
 def test_depth_shortens_until_the_recall_is_met():
     assert jaccard_join.depth_for(0.998, 0.8) == 5 and jaccard_join.depth_for(0.99, 0.8) == 6
     assert jaccard_join.depth_for(0.999999, 0.5) == 1 or 1 - 0.5**20 >= 0.999999

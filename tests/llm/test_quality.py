@@ -72,3 +72,14 @@ def test_query_over_documents(spark, data, judged):
         assert r.base_failed == failed and (not r.kept or not failed)
         if r.doc_id % 10 == 0 and r.n_words < 800:
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == _plain(given[r.doc_id])
+
+
+def test_columns_of_any_name_come_through(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    names = ["_measures", "_failed", "_kept", "_verdict_host", "_host_bad", "host", "prior", "host_bad"]
+    docs = spark.createDataFrame(
+        [(1, good, "a", *["mine"] * len(names)), (2, "too short", "a", *["mine"] * len(names))],
+        "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names),
+    )
+    rows = quality.quality_documents(docs).collect()
+    assert [tuple(r) for r in rows] == [(1, good, "a", *["mine"] * len(names))]
