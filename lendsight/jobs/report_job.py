@@ -22,16 +22,19 @@ def run(spark: SparkSession, root: str, output: str) -> None:
 def _run(spark: SparkSession, root: str, output: str) -> None:
     given = tables.read_tables(spark, root, tables.READERS)
     training = model.training_set(given["features"], given["labels"])
-    countries = summary.country_names(given["clients"])
+    # The panel and the clients are scanned once each; their reports are read from what is counted then.
+    facts = materialise(summary.panel_facts(given["panel"]), "panel-facts")
+    clients_by_country = materialise(summary.value_counts(given["clients"], "country"), "clients")
+    countries = summary.country_names(clients_by_country)
     thresholds = materialise(curves.threshold_table(given["predictions"], "probability_positive", model.LABEL), "thresholds")
     reports = {
-        "clients_by_country": summary.value_counts(given["clients"], "country"),
+        "clients_by_country": clients_by_country.orderBy("n", "country"),
         "credits_by_type": summary.value_counts(given["credits"], "credit_type"),
-        "stage_share": summary.stage_share(given["panel"]),
+        "stage_share": summary.stage_share_from(facts),
         "label_correlation": summary.label_correlation(training, model.LABEL),
         "incident_pivot": summary.incident_pivot(given["summary"], countries),
-        "label_prevalence": summary.label_prevalence(given["panel"], given["labels"], model.LABEL),
-        "ever_default_rate": summary.ever_default_rate(given["panel"]),
+        "label_prevalence": summary.label_prevalence_from(facts, given["labels"], model.LABEL),
+        "ever_default_rate": summary.ever_default_rate_from(facts),
         "confusion_matrix": curves.confusion_matrix(given["predictions"], model.LABEL),
         "roc_points": curves.roc_points(thresholds),
         "pr_points": curves.pr_points(thresholds),

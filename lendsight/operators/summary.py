@@ -128,6 +128,45 @@ def ever_default_rate(panel: DataFrame) -> DataFrame:
     )
 
 
+def panel_facts(panel: DataFrame, date: str = "statement_date") -> DataFrame:
+    """Rows, rows in stage 2 or 3 and whether there is one in stage 3, per date and per credit, from one scan.
+
+    ``by`` is ``date`` or ``credit`` and says which of the two keys a row is
+    about. Both groupings are folded on the map side, so only their partial
+    sums are shuffled. What the report says of the panel is read from here, and
+    so this is best stored.
+    """
+    degraded = F.count_if(F.col("stage") >= 2)
+    known = F.count(F.col("stage"))
+    sets = panel.groupingSets([[date], ["credit_id"]], date, "credit_id").agg(
+        F.when(F.grouping(date) == 0, "date").otherwise("credit").alias("by"), F.count(F.lit(1)).alias("n"),
+        known.alias("n_staged"), degraded.alias("n_degraded"), F.max((F.col("stage") == 3).cast("int")).alias("ever_default"),
+    )
+    return sets.select("by", date, "credit_id", "n", "n_staged", "n_degraded", "ever_default")
+
+
+def stage_share_from(facts: DataFrame, date: str = "statement_date") -> DataFrame:
+    """:func:`stage_share` of the panel that the facts are about."""
+    share = F.when(F.col("n_staged") > 0, F.col("n_degraded") / F.col("n_staged")) * 100
+    return facts.filter("by = 'date'").select(date, share.alias("pct_degraded")).orderBy(date)
+
+
+def ever_default_rate_from(facts: DataFrame) -> DataFrame:
+    """:func:`ever_default_rate` of the panel that the facts are about."""
+    return facts.filter("by = 'credit'").agg(
+        F.count(F.lit(1)).alias("n_credits"), F.sum("ever_default").alias("n_defaulted"),
+        F.avg(F.col("ever_default").cast("double")).alias("default_rate"),
+    )
+
+
+def label_prevalence_from(facts: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """:func:`label_prevalence` of the panel that the facts are about and its labels."""
+    n_panel = facts.filter("by = 'date'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_panel")).scalar()
+    return labels.agg(
+        F.count(F.lit(1)).alias("n_labels"), F.avg(F.col(label).cast("double")).alias("prevalence")
+    ).select(n_panel.alias("n_panel"), "n_labels", "prevalence")
+
+
 def event_partitions(events: DataFrame) -> DataFrame:
     """Events in each country, year and month partition."""
     return events.groupBy("country_code", "year", "month").agg(F.count(F.lit(1)).alias("n_events"))

@@ -249,6 +249,22 @@ def _stage_share(spark, folder):
     return _day(summary.stage_share(m.order_panel(spark, folder)), "statement_date")
 
 
+def _panel_facts(spark, folder):
+    return _day(summary.panel_facts(m.order_panel(spark, folder)), "statement_date")
+
+
+def _panel_report(spark, folder):
+    """The report on the panel from one scan: share of stages by date, defaults ever, rows and labels."""
+    panel = m.order_panel(spark, folder, cluster=True)
+    facts = materialise(summary.panel_facts(panel), "panel-facts")
+    shares = _day(summary.stage_share_from(facts), "statement_date").select(
+        F.concat(F.lit("pct_degraded "), F.col("statement_date")).alias("figure"), F.col("pct_degraded").alias("value")
+    )
+    ever = summary.ever_default_rate_from(facts).unpivot([], ["n_credits", "n_defaulted", "default_rate"], "figure", "value")
+    prevalence = summary.label_prevalence_from(facts, labels.default_labels(panel), model.LABEL)
+    return shares.unionAll(ever).unionAll(prevalence.unpivot([], ["n_panel", "n_labels", "prevalence"], "figure", "value"))
+
+
 def _label_correlation(spark, folder):
     correlations = summary.label_correlation(m.activity_training_set(spark, folder), model.LABEL)
     return correlations.withColumn("correlation", F.round("correlation", 6))
@@ -407,6 +423,8 @@ QUERIES: dict[str, Query] = {
     "stage_share": _stage_share,
     "client_counts": lambda spark, folder: summary.value_counts(m.clients(spark, folder), "country"),
     "credit_type_counts": lambda spark, folder: summary.value_counts(m.order_credits(spark, folder), "credit_type"),
+    "panel_facts": _panel_facts,
+    "panel_report": _panel_report,
     "label_correlation": _label_correlation,
     "incident_pivot": _incident_pivot,
     "label_prevalence": _label_prevalence,

@@ -484,6 +484,25 @@ SELECT credit_id, bucket, CASE WHEN bucket < 75 THEN 1 ELSE 0 END AS in_train, c
 SELECT strftime(stated, '%Y-%m-%d') AS statement_date,
        avg(CASE WHEN stage >= 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS pct_degraded
 FROM monthly GROUP BY stated""",
+    "panel_facts": "WITH" + _MONTHS + """
+SELECT CASE WHEN credit_id IS NULL THEN 'date' ELSE 'credit' END AS by, strftime(stated, '%Y-%m-%d') AS statement_date, credit_id,
+       n, n_staged, n_degraded, ever_default
+FROM (SELECT stated, NULL::BIGINT AS credit_id, count(*) AS n, count(stage) AS n_staged, count(*) FILTER (stage >= 2) AS n_degraded,
+             max(CASE WHEN stage = 3 THEN 1 ELSE 0 END) AS ever_default FROM monthly GROUP BY stated
+      UNION ALL
+      SELECT NULL, credit_id, count(*), count(stage), count(*) FILTER (stage >= 2), max(CASE WHEN stage = 3 THEN 1 ELSE 0 END)
+      FROM monthly GROUP BY credit_id)""",
+    "panel_report": "WITH" + _MONTHLY_LABELS + """,
+ever AS (SELECT credit_id, max(CASE WHEN stage = 3 THEN 1 ELSE 0 END) AS hit FROM monthly GROUP BY credit_id),
+labelled AS (SELECT default_within_3 FROM monthly_ahead WHERE stage <> 3)
+SELECT 'pct_degraded ' || strftime(stated, '%Y-%m-%d') AS figure,
+       count(*) FILTER (stage >= 2) / count(*)::DOUBLE * 100 AS value FROM monthly GROUP BY stated
+UNION ALL SELECT 'n_credits', count(*) FROM ever
+UNION ALL SELECT 'n_defaulted', sum(hit) FROM ever
+UNION ALL SELECT 'default_rate', avg(hit::DOUBLE) FROM ever
+UNION ALL SELECT 'n_panel', count(*) FROM monthly
+UNION ALL SELECT 'n_labels', count(*) FROM labelled
+UNION ALL SELECT 'prevalence', avg(default_within_3::DOUBLE) FROM labelled""",
     "client_counts": "SELECT n_name AS country, count(*) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name",
     "credit_type_counts": "SELECT o_orderpriority AS credit_type, count(*) AS n FROM orders GROUP BY o_orderpriority",
     "label_correlation": _daily(_LABELS) + "\n" + _CORRELATIONS,

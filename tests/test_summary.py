@@ -86,3 +86,17 @@ def test_event_partitions(spark):
     df = spark.createDataFrame([("TG", 2022, 1), ("TG", 2022, 1), (None, 2022, 2)], "country_code string, year int, month int")
     got = {tuple(r) for r in summary.event_partitions(df).collect()}
     assert got == {("TG", 2022, 1, 2), (None, 2022, 2, 1)}
+
+
+def test_facts_of_the_panel_from_one_scan(spark, tmp_path):
+    rows = [("A", "2022-01-01", 1), ("A", "2022-02-01", 3), ("B", "2022-01-01", 2), ("B", "2022-02-01", None), ("C", None, 1), (None, "2022-02-01", 2)]
+    spark.createDataFrame(rows, "credit_id string, statement_date string, stage int").write.parquet(str(tmp_path / "panel"))
+    panel = spark.read.parquet(str(tmp_path / "panel"))
+    facts = summary.panel_facts(panel)
+    assert facts._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted(map(str, summary.stage_share_from(facts).collect())) == sorted(map(str, summary.stage_share(panel).collect()))
+    assert summary.ever_default_rate_from(facts).collect() == summary.ever_default_rate(panel).collect()
+    labels = spark.createDataFrame([(0,), (1,), (0,), (0,)], "default_within_3 int")
+    assert summary.label_prevalence_from(facts, labels, "default_within_3").collect() == summary.label_prevalence(panel, labels, "default_within_3").collect()
+    nothing = summary.panel_facts(panel.filter("false"))
+    assert nothing.count() == 0 and summary.ever_default_rate_from(nothing).first().n_credits == 0
