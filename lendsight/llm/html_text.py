@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre search section summary "
@@ -45,52 +46,56 @@ NOISE = frozenset(
     "toolbar footer copyright masthead topbar header comment comments commentlist respond reply replies disqus discussion "
     "hidden".split()
 )
+#: What a name of noise leaves of the density of an element and all it holds.
+LOWERED = 0.1
+#: Pieces of running text, which have to bear such a name as a whole.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th a b i em strong span blockquote pre code figure".split())
 
 
 class Page:
     """Elements of a page in the order they open: every element comes after its parent."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.noise = ["#page"], [-1], [False]
-        self.chars, self.linked = [0], [False]
+        self.tag, self.parent = ["#page"], [-1]
+        #: Left out by kind, role or because it is not shown; and named like noise.
+        self.noise, self.named = [False], [False]
+        self.chars, self.linked, self.in_content = [0], [False], [False]
         #: (element, text) in page order; element -1 marks the border of a block.
         self.flow: list[tuple[int, str]] = []
         self._parse(html)
 
     def _open(self, tag: str, attributes: str, parent: int) -> int:
+        noise, named = self._judge(tag, attributes, parent)
         self.tag.append(tag)
         self.parent.append(parent)
-        self.noise.append(self._is_noise(tag, attributes, parent))
+        self.noise.append(noise)
+        self.named.append(named)
         self.linked.append(tag == "a" or self.linked[parent])
+        self.in_content.append(tag in CONTENT or self.in_content[parent])
         self.chars.append(0)
         return len(self.tag) - 1
 
-    def _is_noise(self, tag: str, attributes: str, parent: int) -> bool:
+    def _judge(self, tag: str, attributes: str, parent: int) -> tuple[bool, bool]:
         if tag in NEVER:
-            return True
-        if tag in CONTENT or tag in ("html", "body"):
-            return False
-        if tag == "header" and not self._within_content(parent):
-            return True
+            return True, False
+        if tag in ("html", "body", "main"):
+            return False, False
+        if tag == "header" and not self.in_content[parent]:
+            return True, False
         if "=" not in attributes and "hidden" not in attributes:
-            return False
+            return False, False
         values = {k.lower(): unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(attributes)}
-        names = {part.lower() for key in ("class", "id") for part in NAME_PART.findall(values.get(key, ""))}
+        given = " ".join([values.get("class", ""), values.get("id", "")])
+        names = {n.lower() for n in (given.split() if tag in RUNNING or tag == "article" else NAME_PART.findall(given))}
         if tag == "header" or re.fullmatch("h[1-6]", tag):
             names.discard("header")
         style = values.get("style", "").replace(" ", "").lower()
-        return (
-            bool(names & NOISE) or values.get("role", "").lower() in ROLES or values.get("aria-hidden") == "true"
+        unseen = (
+            values.get("role", "").lower() in ROLES or values.get("aria-hidden") == "true"
             or "display:none" in style or "visibility:hidden" in style
             or bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", ATTRIBUTE.sub(" ", attributes)))
         )
-
-    def _within_content(self, node: int) -> bool:
-        while node > 0:
-            if self.tag[node] in CONTENT:
-                return True
-            node = self.parent[node]
-        return False
+        return unseen, bool(names & NOISE)
 
     def _text(self, node: int, text: str) -> None:
         if text:
@@ -100,6 +105,7 @@ class Page:
 
     def _parse(self, html: str) -> None:
         stack, at = [0], 0
+        is_open: Counter = Counter()
         while (found := TOKEN.search(html, at)) is not None:
             self._text(stack[-1], html[at: found.start()])
             at = found.end()
@@ -111,37 +117,43 @@ class Page:
             elif tag in ("br", "td", "th"):
                 self.flow.append((stack[-1], " "))
             if found[1]:
-                self._close(stack, tag)
+                self._close(stack, is_open, {tag}, frozenset())
                 continue
             if tag in ENDS:
-                self._close_any(stack, *ENDS[tag])
+                self._close(stack, is_open, *ENDS[tag])
             elif tag in ENDS_P:
-                self._close_any(stack, {"p"}, FENCES_P)
+                self._close(stack, is_open, {"p"}, FENCES_P)
             node = self._open(tag, found[3], stack[-1])
             if tag in RAW and not (tag in FOREIGN and found[3].endswith("/")):
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
                 at = end.end()
             elif tag not in VOID and not found[3].endswith("/"):
                 stack.append(node)
+                is_open[tag] += 1
         self._text(stack[-1], html[at:])
 
-    def _close(self, stack: list[int], tag: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[depth]] == tag:
-                del stack[depth:]
-                return
-
-    def _close_any(self, stack: list[int], tags: set[str], fences: set[str]) -> None:
+    def _close(self, stack: list[int], is_open: Counter, tags: set[str], fences: frozenset[str] | set[str]) -> None:
+        """Close the innermost element of ``tags`` that no fence hides; without an open one the stack is not walked."""
+        if not any(is_open[t] for t in tags):
+            return
         for depth in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[depth]] in tags:
+            tag = self.tag[stack[depth]]
+            if tag in tags:
+                is_open.subtract(self.tag[n] for n in stack[depth:])
                 del stack[depth:]
                 return
-            if self.tag[stack[depth]] in fences:
+            if tag in fences:
                 return
 
 
-def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[float]]:
-    """Composite density of each element and the sum over its children."""
+def _densities(page: Page, dropped: list[bool], weight: list[float]) -> tuple[list[float], list[float]]:
+    """Composite density of each element, lowered by its weight, and the sum over its children.
+
+    With C characters, T tags, LC characters and LT tags of links below an
+    element (each at least one) and LCb / Cb the share of links in the page:
+    C / T * log(C / LC * T / LT), the logarithm to the base
+    ln(C / (C - LC) * LC + LCb / Cb * C + e).
+    """
     size = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * size, [0] * size, [0] * size, [0] * size
     for node in range(size - 1, -1, -1):
@@ -162,34 +174,56 @@ def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[float
             continue
         c, t = chars[node], max(tags[node], 1)
         links, free = max(link_chars[node], 1), max(c - link_chars[node], 1)
-        base = math.log(c / free * link_chars[node] + share * c + math.e)
+        base = math.log(c / free * links + share * c + math.e)
         linkless = max(c / links * t / max(link_tags[node], 1), 1.0)
-        density[node] = c / t * math.log(linkless) / math.log(1 + base)
+        density[node] = weight[node] * c / t * math.log(linkless) / math.log(base)
         if (up := page.parent[node]) >= 0:
             sums[up] += density[node]
     return density, sums
 
 
+def _core(page: Page, density: list[float], sums: list[float]) -> int:
+    """The element with the greatest sum of child densities, the outermost of equal ones."""
+    return max(range(len(page.tag)), key=lambda n: (sums[n], density[n], -n))
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the article in page order, one a line; empty if there are none.
 
-    Elements that are no article by kind, role or name (menus, forms, notices,
-    comments and so on) are left out first, unless they hold the article. Each
-    other element gets its characters per tag, lowered by the share of links in
-    it; the element whose children have the greatest sum of densities is the
-    core. The least density on the way from the core to the body is the
-    threshold: beside that way, an element at least as dense belongs to the
-    text too. An article or main element around the core is taken whole.
+    Elements that are no article by kind or role, or are not shown, are left
+    out first, unless they hold the article. Each other element gets its
+    characters per tag, lowered by the share of links in it, and lowered again
+    if it or an element around it is named like a menu, notice, advert or
+    comment; the element whose children have the greatest sum of densities is
+    the core. A name alone loses no text: elements named like noise go only
+    where they stand beside the core, hold at most half of its text (or of the
+    article or main element below it that they are in), or where such an
+    element is there to be taken instead. The
+    least density on the way from the core to the body is the threshold:
+    beside that way, an element at least as dense belongs to the text too. An
+    article or main element around the core is taken whole. Where all text of
+    a page stands in noscript elements, these are read.
     """
-    page = Page(html or "")
+    text = _main_text(html or "")
+    if not text and "<noscript" in (html or "").lower():
+        text = _main_text(re.sub(r"(?i)</?noscript[^>]*>", "", html))
+    return text
+
+
+def _main_text(html: str) -> str:
+    page = Page(html)
     size = len(page.tag)
     never = [tag in NEVER and tag not in WRAPPERS for tag in page.tag]
+    weight = [1.0] * size
     for node in range(1, size):
         never[node] |= never[page.parent[node]]
-    holds = [tag in CONTENT and not out for tag, out in zip(page.tag, never, strict=True)]
+        weight[node] = min(weight[page.parent[node]], LOWERED if page.named[node] else 1.0)
+    holds = [tag in CONTENT and not out and w == 1 for tag, out, w in zip(page.tag, never, weight, strict=True)]
     chars = [0 if out else n for n, out in zip(page.chars, never, strict=True)]
+    inner = [False] * size  # an article or main element below
     for node in range(size - 1, 0, -1):
         holds[page.parent[node]] |= holds[node]
+        inner[page.parent[node]] |= holds[node]
         chars[page.parent[node]] += chars[node]
     for node, tag in enumerate(page.tag):
         holds[node] |= tag in WRAPPERS and 2 * chars[node] > chars[0]
@@ -197,17 +231,24 @@ def main_text(html: str | None) -> str:
     for node in range(1, size):
         noisy = page.noise[node] and (never[node] or not holds[node])
         dropped[node] = dropped[page.parent[node]] or noisy
-    density, sums = _densities(page, dropped)
+    density, sums = _densities(page, dropped, weight)
 
-    core = max(range(size), key=lambda n: (sums[n], density[n], -n))
+    core = _core(page, density, sums)
     path = [core]
     while path[-1] > 0:
         path.append(page.parent[path[-1]])
+    way = set(path)
+    host = [-1] * size  # the article or main element around a node below the core, or else the core
+    for node in range(1, size):
+        up = page.parent[node]
+        within = up == core or (host[up] >= 0 and page.tag[up] in CONTENT and weight[up] == 1)
+        host[node] = up if within else host[up]
+        spared = node in way or (host[node] >= 0 and 2 * chars[node] > chars[host[node]] and not inner[host[node]])
+        dropped[node] |= dropped[up] or (page.named[node] and not spared)
     around = [n for n in path if page.tag[n] in CONTENT]
     chosen = {around[-1] if around else core}
     if not around:
         threshold = min(density[n] for n in path)
-        way = set(path)
         chosen.update(
             n for n in range(1, size) if page.parent[n] in way and n not in way and density[n] >= threshold > 0
         )
