@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lendsight import schemas
 from lendsight.functions import rules
 from lendsight.functions.keys import period_label, split_bucket
 from lendsight.jobs import feature_job
-from lendsight.operators import activity, behaviour, curves, labels, model, newton, panel as panels, portfolio, ranking, summary
+from lendsight.operators import activity, behaviour, curves, labels, model, newton, panel as panels, portfolio, ranking, state, summary
 from lendsight.plans import mapping as m
 from lendsight.session import materialise, scratch_path
 from lendsight.sources import sinks, tables
@@ -375,6 +376,48 @@ def _roundtrip_parquet(spark, folder):
     return features.withColumn("period", period_label(F.col("period"), "month"))
 
 
+def _write_portfolio(spark, folder, root):
+    """The four portfolio tables as files; returns the rows that the writers counted."""
+    client = m.client_profile(spark, folder).join(m.clients(spark, folder), "client_id").withColumn("age_years", F.lit(30))
+    terms = m.order_credits(spark, folder).withColumn("annual_rate_pct", F.lit(8.5))
+    monthly = behaviour.behaviour_features(m.activity_events(spark, folder), "month", F.col("event_id"), known_only=True)
+    at = {name: f"{root}/{place}" for name, place in schemas.LAYOUT.items()}
+    return {
+        "clients": sinks.write_clients(client, at["clients"]),
+        "credits": sinks.write_credits(terms, at["credits"]),
+        "panel": sinks.write_panel(m.order_panel(spark, folder), at["panel"]),
+        "features": sinks.write_features(monthly, at["features"]),
+    }
+
+
+def _portfolio_from_files(spark, folder):
+    root = scratch_path(spark, "portfolio")
+    _write_portfolio(spark, folder, root)
+    given = tables.read_tables(spark, root)
+    return state.portfolio_state(given["panel"], given["features"], given["credits"], given["clients"])
+
+
+def _report_files(spark, folder):
+    """Rows of all eight report tables as counted while they were written, and as read back."""
+    root = scratch_path(spark, "report")
+    written = _write_portfolio(spark, folder, root)
+    scored = m.labelled_scores(spark, folder).withColumnRenamed("score", "probability_positive")
+    scored = materialise(scored.withColumn("prediction", F.col("prediction").cast("double")), "scored")
+    cells = summary.risk_cells(m.activity_features(spark, folder), m.accounts(spark, folder), m.clients(spark, folder))
+    written |= {
+        "labels": sinks.write_labels(labels.default_labels(m.order_panel(spark, folder, cluster=True)), f"{root}/{schemas.LAYOUT['labels']}"),
+        "summary": sinks.write_summary(cells, f"{root}/{schemas.LAYOUT['summary']}"),
+        "predictions": sinks.write_predictions(scored, f"{root}/{schemas.LAYOUT['predictions']}"),
+    }
+    sinks.write_metrics(model.evaluate(scored, score="probability_positive"), f"{root}/{schemas.LAYOUT['metrics']}")
+    read = None
+    for name, found in tables.read_tables(spark, root, tables.READERS).items():
+        counted = F.lit(written.get(name)).cast("bigint").alias("n_written")
+        row = found.agg(F.lit(name).alias("name"), counted, F.count(F.lit(1)).alias("n_read"))
+        read = row if read is None else read.unionAll(row)
+    return read
+
+
 def _roundtrip_history(spark, folder):
     path = scratch_path(spark, "features")
     sinks.write_features(m.history_features(spark, folder), path)
@@ -413,7 +456,7 @@ QUERIES: dict[str, Query] = {
     "credit_lookup": _credit_lookup,
     "credit_score": _credit_score,
     "at_risk_top": _on_state(portfolio.watch_list),
-    "at_risk_display": _on_state(lambda state: portfolio.watch_list_display(portfolio.watch_list(state), HEADINGS)),
+    "at_risk_display": _on_state(lambda scored: portfolio.watch_list_display(portfolio.watch_list(scored), HEADINGS)),
     "portfolio_overview": _on_state(portfolio.overview),
     "ecl_by_country": _on_state(portfolio.loss_by_country),
     "provision_stress": _provision_stress,
@@ -451,6 +494,8 @@ QUERIES: dict[str, Query] = {
     "roundtrip_summary": _roundtrip_summary,
     "roundtrip_parquet": _roundtrip_parquet,
     "roundtrip_history": _roundtrip_history,
+    "portfolio_from_files": _portfolio_from_files,
+    "report_files": _report_files,
     "roundtrip_predictions": _roundtrip_predictions,
     "roundtrip_metrics": _roundtrip_metrics,
 }

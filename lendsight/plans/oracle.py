@@ -568,5 +568,21 @@ SELECT credit_id::VARCHAR AS credit_id, substr(period, 1, 7) AS period, default_
     + " SELECT credit_id, period, default_within_3, round(probability, 6) AS probability_positive, prediction::DOUBLE AS prediction FROM predicted",
     "model_metrics": _PREDICTED + ", judged AS (SELECT score, default_within_3, prediction FROM predicted)" + _EVALUATED,
     "roundtrip_model": _daily(_LABELS) + _TRAINING_SIDE.format(test=">=") + " SELECT credit_id, period, default_within_3, true AS agrees FROM side",
+    "portfolio_from_files": _by_month(_FEATURES) + "," + _MONTHS + """
+SELECT p.credit_id::VARCHAR AS credit_id, p.stage, p.outstanding, f.late_streak, f.balance_avg_3, f.balance_avg_12, f.overdraft_ratio_3,
+       f.incident_freq_6, p.client_id::VARCHAR AS client_id, o_orderpriority AS credit_type, n_name AS country
+FROM (SELECT * FROM monthly QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY month_index DESC) = 1) p
+JOIN (SELECT * FROM features QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY period DESC) = 1) f ON f.credit_id = p.credit_id
+JOIN orders ON o_orderkey = p.credit_id JOIN customer ON c_custkey = p.client_id JOIN nation ON n_nationkey = c_nationkey""",
+    "report_files": _daily(_JUDGED) + "," + _MONTHLY_LABELS + """,
+counted AS (
+    SELECT 'clients' AS name, count(*) AS n FROM customer UNION ALL SELECT 'credits', count(*) FROM orders
+    UNION ALL SELECT 'panel', count(*) FROM monthly
+    UNION ALL SELECT 'features', count(DISTINCT (credit_id, substr(period, 1, 7))) FROM activity
+    UNION ALL SELECT 'labels', count(*) FROM monthly_ahead WHERE stage <> 3
+    UNION ALL SELECT 'summary', count(DISTINCT (n_name, period)) FROM features JOIN customer ON c_custkey = credit_id JOIN nation ON n_nationkey = c_nationkey
+    UNION ALL SELECT 'predictions', count(*) FROM judged UNION ALL SELECT 'metrics', 1
+)
+SELECT name, CASE WHEN name <> 'metrics' THEN n END AS n_written, n AS n_read FROM counted""",
     "roundtrip_parquet": _by_month(_FEATURES) + _FEATURE_COLUMNS.replace("credit_id", "credit_id::VARCHAR AS credit_id"),
 }
