@@ -95,8 +95,9 @@ def quality_rules_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     measured = materialise(docs.select("doc_id", "source", quality.measures(F.col("text")).alias("m")), "measures")
     verdicts = materialise(quality.host_verdicts(measured, "source", "m"), "verdicts")
-    judged = quality.with_verdicts(measured, verdicts, "source", "m")
-    return judged.select("doc_id", "m.*", "base_failed", "kept")
+    judged = quality.with_verdicts(measured, verdicts, "source", "m", rates=tuple(quality.RULES))
+    rates = [F.round(f"rate_{rule}", 9).alias(f"rate_{rule}") for rule in quality.RULES]
+    return judged.select("doc_id", "m.*", "base_failed", "kept", *rates)
 
 
 def jaccard_join_query(spark: SparkSession, folder: str) -> DataFrame:

@@ -24,6 +24,7 @@ def quality_sql() -> str:
         for r in _HOST_RULES
     )
     bad = ", ".join(f"(f_{r} + s_{r} * m_{r}) / (n + s_{r})" for r in _HOST_RULES)
+    rates = ", ".join(f"round((f_{r} + s_{r} * m_{r}) / (n + s_{r}), 9) AS rate_{r}" for r in _HOST_RULES)
     return f"""
 WITH split AS (
     SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words, coalesce(text, '') AS text
@@ -58,10 +59,11 @@ measured AS (
 hosts AS (SELECT source, count(*) AS n, {sums} FROM measured GROUP BY source),
 priors AS (SELECT {priors} FROM hosts),
 strengths AS (SELECT {strengths} FROM priors),
-verdicts AS (SELECT source, greatest({bad}) > 0.5 AS bad FROM hosts, strengths)
+verdicts AS (SELECT source, greatest({bad}) > 0.5 AS bad, {rates} FROM hosts, strengths)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT bad AS kept
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT bad AS kept,
+       {", ".join(f"rate_{r}" for r in _HOST_RULES)}
 FROM measured m JOIN verdicts v ON v.source IS NOT DISTINCT FROM m.source
 """
 

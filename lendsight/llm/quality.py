@@ -103,10 +103,14 @@ def host_verdicts(measured: DataFrame, host: str, column: str, reject_rate: floa
 
 
 def with_verdicts(
-    measured: DataFrame, verdicts: DataFrame, host: str, column: str, names: tuple[str, str] = ("base_failed", "kept")
+    measured: DataFrame, verdicts: DataFrame, host: str, column: str, names: tuple[str, str] = ("base_failed", "kept"),
+    rates: tuple[str, ...] = (),
 ) -> DataFrame:
     """``measured`` with base_failed and kept: no hard rule failed and the host is not bad.
 
+    ``rates`` names rules whose shrunk rate of the host comes along as a column
+    ``rate_`` and the name of the rule.
+
     ``verdicts`` should be a stored table: Spark then sees its size and
     broadcasts it only below its threshold. Columns of the new ``names`` are
     replaced.
@@ -114,7 +118,9 @@ def with_verdicts(
     failures = rule_failures(column)
     hard = failures[HARD[0]] | failures[HARD[1]]
     its_host, bad = (free_name([*measured.columns, *names], n) for n in ("_verdict_host", "_host_bad"))
-    named = verdicts.select(F.col("host").alias(its_host), F.col("host_bad").alias(bad))
+    shrunk = [f"rate_{rule}" for rule in rates]
+    measured = measured.drop(*shrunk)
+    named = verdicts.select(F.col("host").alias(its_host), F.col("host_bad").alias(bad), *shrunk)
     joined = measured.join(named, F.col(host).eqNullSafe(F.col(its_host)), "left")
     kept = ~hard & ~F.coalesce(bad, F.lit(False))
     return joined.withColumns({names[0]: hard, names[1]: kept}).drop(its_host, bad)
