@@ -1,6 +1,7 @@
 """Median seconds and shuffles per registered query; prints one JSON line.
 
 The shuffles are those of the returned plan; what a query stores before is timed but not counted.
+Tables in buckets are stored once a session, when a query first asks for them: mostly in a warm-up run.
 
 BENCH_SF_DIR  folder of the tables       (default /root/testdata/sf0.1)
 BENCH_CPUS    local threads              (default 4)
