@@ -51,8 +51,7 @@ class TokenizerMemo:
 
         self.tokenizer = Tokenizer.from_file(path)
         # A token that is cut out of a text before its words are looked at; a text that holds one is encoded as it is.
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.apart = regex.compile("|".join([self.WIDE.pattern, *map(regex.escape, added)]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
@@ -60,6 +59,9 @@ class TokenizerMemo:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _is_whole(self, text: str) -> bool:
+        return any(token in text for token in self.added) or self.WIDE.search(text) is not None
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype) for e in encoded]
@@ -87,7 +89,7 @@ class TokenizerMemo:
             self.known.update(zip(some, self._word_ids(some), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [None if self.apart.search(t) else t.split(" ") for t in texts]
+        words = [None if self._is_whole(t) else t.split(" ") for t in texts]
         self._learn({w for own in words if own for w in own[1:]})
         whole = self._ids([t if own is None else own[0] for t, own in zip(texts, words, strict=True)])
         return [
