@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lendsight.llm.words import words_of
 from lendsight.session import materialise
 
-DEPTH = 5
+DEPTH = 4
 START, END = b"\xfe", b"\xff"
 #: The end of a text as a word; no word has white space.
 END_WORD = b" "
