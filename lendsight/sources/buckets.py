@@ -52,7 +52,8 @@ def stored_once(
     spark.conf.set(CO_LOCATED, "false")
     if spark.catalog.tableExists(table):
         found = spark.table(table)
-        if all(folders.exists(spark, path) for path in found.inputFiles()[:1]):
+        files = found.inputFiles()
+        if files and folders.exists(spark, files[0]):
             return found
         spark.sql(f"DROP TABLE {table}")
     return store_bucketed(build(), scratch_path(spark, name), table, key, order)
