@@ -45,11 +45,12 @@ def write_labels(
     return {"rows": rows, "prevalence": prevalence}
 
 
-def write_events(spark: SparkSession, root: str, output: str) -> int:
+def write_events(spark: SparkSession, root: str, output: str, compression: str = "none") -> int:
     """Events of the panel as partitioned JSON lines; returns the number of events."""
     given = tables.read_tables(spark, root, ["clients", "credits", "panel"])
-    built = panel.instalment_events(given["panel"], given["credits"], given["clients"], tables.country_dimension(spark))
-    return sinks.write_events(built, output)
+    countries = tables.country_dimension(spark)
+    built = panel.instalment_events(given["panel"], given["credits"], given["clients"], countries, by_folder=True)
+    return sinks.write_events(built, output, compression=compression, by_folder=True)
 
 
 def main() -> None:
@@ -62,6 +63,7 @@ def main() -> None:
     steps.choices["labels"].add_argument("--drop-censored", action="store_true")
     steps.choices["labels"].add_argument("--horizon", type=int, default=labels.LABEL_HORIZON, help="months ahead")
     steps.choices["events"].add_argument("--output", required=True)
+    steps.choices["events"].add_argument("--compression", default="none", help="none or gzip")
     args = parser.parse_args()
     spark = get_session("lendsight-dataset")
     try:
@@ -70,7 +72,7 @@ def main() -> None:
         elif args.step == "labels":
             print(write_labels(spark, args.root, args.drop_censored, args.horizon))
         else:
-            print("events:", write_events(spark, args.root, args.output))
+            print("events:", write_events(spark, args.root, args.output, args.compression))
     finally:
         spark.stop()
 

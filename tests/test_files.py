@@ -12,6 +12,7 @@ from lendsight import schemas, session
 from lendsight.jobs import dataset_job, feature_job, model_job, portfolio_job, report_job
 from lendsight.operators import model, behaviour, labels, panel
 from lendsight.operators.state import credit_attributes
+from lendsight.plans import catalog, mapping
 from lendsight.session import scratch_root
 from lendsight.sources import sinks, tables
 
@@ -363,3 +364,32 @@ def test_a_job_leaves_no_scratch_behind(spark, root, built):
         assert materialise(spark.range(5)).count() == 5 and glob.glob(f"{base}/run-*/*")
         1 / 0
     assert not glob.glob(f"{base}/run-*")
+
+
+def test_event_files_are_small_and_whole(spark, tmp_path):
+    """The stored events take a fraction of their plain lines, and no line is shuffled on its way to its folder."""
+    keys = F.col("id")
+    spark.range(900).select(
+        keys.alias("o_orderkey"), (keys % 90).alias("o_custkey"), (keys * 10.5 + 900).alias("o_totalprice"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(90).select(
+        keys.alias("c_custkey"), F.when(keys % 3 < 2, keys % 3).cast("int").alias("c_nationkey"), F.lit("A").alias("c_mktsegment")
+    ).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(2).select(
+        keys.cast("int").alias("n_nationkey"), F.concat(F.lit("NATION_"), keys).alias("n_name"), (keys * 4).cast("int").alias("n_regionkey")
+    ).write.parquet(str(tmp_path / "nation.parquet"))
+    expected = mapping.order_events(spark, str(tmp_path))
+    stored = catalog.QUERIES["roundtrip_jsonl"](spark, str(tmp_path))
+    n = expected.count()
+    assert n > 5000 and expected.filter("country_code IS NULL").count() > 0
+    files = [path.removeprefix("file://") for path in stored.inputFiles()]
+    assert sum(os.path.getsize(path) for path in files) < 60 * n
+    columns = ["event_id", "kind", "credit_id", "client_id", "amount", "due_status", "country_code", "year", "month"]
+    texts = expected.withColumns({c: F.col(c).cast("string") for c in ("credit_id", "client_id")}).select(*columns)
+    assert sorted(stored.select(*columns).collect(), key=str) == sorted(texts.collect(), key=str)
+    together = mapping.order_events(spark, str(tmp_path), by_folder=True)
+    written = sinks.event_lines(together)._jdf.queryExecution().optimizedPlan().toString()
+    assert written.index("md5(") < written.index("RebalancePartitions") and written.count("RebalancePartitions") == 1
+    assert sinks.write_events(together, str(tmp_path / "plain"), by_folder=True) == n
+    assert sorted(tables.read_events(spark, str(tmp_path / "plain")).select(*columns).collect(), key=str) == sorted(texts.collect(), key=str)
