@@ -37,7 +37,10 @@ def split_bucket(key: Column) -> Column:
 
 def cents(amount: Column) -> Column:
     """Money as whole hundredths: sums are exact in any order, and no sum that fits a table overflows 38 digits."""
-    return F.rint(amount * 100).cast("decimal(38,0)")
+    whole = F.rint(amount * 100)
+    # By way of a BIGINT where it fits: a double becomes a decimal by way of its text.
+    fits = F.abs(whole) < F.lit(1e15)
+    return F.when(fits, whole.cast("bigint").cast("decimal(38,0)")).otherwise(whole.cast("decimal(38,0)"))
 
 
 def from_cents(total: Column) -> Column:

@@ -11,6 +11,7 @@ from lendsight.functions.keys import cents, from_cents, period_of
 
 USED_KINDS = ("instalment", "movement", "overdraft")
 
+# The order of an instalment and its status are one BIGINT; where its amount is asked for, that is part of a wider number.
 # A status travels through the aggregation as one of eight codes.
 _STATUS_CODES = {"on_time": 0, "late": 1, "unpaid": 2}
 _MISSING, _OTHER = 3, 4
@@ -63,24 +64,30 @@ def _checked_order(order_by: Column | None) -> Column:
     return F.when(order.isNull(), F.lit(LAST)).when((order >= 0) & (order < LAST), order).otherwise(outside)
 
 
+def _first_place(order_by: Column | None, other: Column | None) -> Column:
+    """Order and status of an instalment in one BIGINT, at most 2**63 - 1."""
+    return _checked_order(order_by) * _SLOTS + _status_code(F.col("due_status"), other)
+
+
 def _first_due(order_by: Column | None, other: Column | None, slots: int = _SLOTS, amounts: int = _AMOUNTS) -> Column:
     """Order, status and amount of an instalment in one number, so that min() yields one row's values."""
-    order, code = _checked_order(order_by), _status_code(F.col("due_status"), other)
     if slots == _SLOTS:
-        place = (order * slots + code).cast("decimal(19,0)")
+        place = _first_place(order_by, other).cast("decimal(19,0)")
     else:
+        order, code = _checked_order(order_by), _status_code(F.col("due_status"), other)
         place = (order.cast("decimal(19,0)") * _whole(slots) + code.cast("decimal(4,0)")).cast("decimal(21,0)")
     bound = amounts // 2 - 1
     amount = F.least(F.greatest(F.col("amount_cents"), _whole(-bound)), _whole(bound)).cast("decimal(20,0)")
     return (place * _whole(amounts) + (amount + _whole(bound + 1)).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
-def _first_code(slots: int = _SLOTS, amounts: int = _AMOUNTS) -> Column:
+def _listed_code() -> Column:
+    slots, amounts = _LISTED_SLOTS, _LISTED_AMOUNTS
     return F.expr(f"(first_due % CAST('{slots * amounts}' AS DECIMAL(21,0))) div CAST('{amounts}' AS DECIMAL(20,0))")
 
 
 def _first_status(other: Column | None) -> Column:
-    code = _first_code()
+    code = F.col("first_place") % _SLOTS
     name = _status_name(code)
     return name if other is None else name.when(code == _OTHER, other)
 
@@ -118,21 +125,22 @@ def _activity_by_list(events: DataFrame, grain: str, order_by: Column | None, st
     coded = used.join(listed.withColumnsRenamed({"text": "_text", "code": "_code"}), F.col("due_status") == F.col("_text"), "left")
     prepared = coded.withColumn("period", period_of(F.col("event_date"), grain)).withColumn("amount_cents", cents(F.col("amount")))
     prepared = prepared.withColumn("first_due", F.when(kind == "instalment", _first_due(order_by, F.col("_code"), *width)))
-    folded = _folded(prepared).withColumn("_first", _first_code(*width).cast("int"))
+    folded = _folded(prepared, "first_due").withColumn("_first", _listed_code().cast("int"))
     named = folded.join(listed.withColumnRenamed("code", "_first"), "_first", "left")
     return _activity_columns(named, F.coalesce(_status_name(F.col("_first")), F.col("text")))
 
 
-def _folded(prepared: DataFrame, *more: Column) -> DataFrame:
+def _folded(prepared: DataFrame, first: str, *more: Column) -> DataFrame:
+    """One row per credit and period that has an instalment; ``first`` is the number whose minimum tells the first one."""
     kind = F.col("kind")
     aggregates = [
-        F.min("first_due").alias("first_due"),
+        F.min(first).alias(first),
         F.min_by("amount_cents", "first_due").alias("due_cents"),
         F.sum(F.when(kind == "movement", F.col("amount_cents"))).alias("movement_cents"),
         F.sum(F.when(kind == "overdraft", F.col("amount_cents"))).alias("overdraft_cents"),
         *more,
     ]
-    return prepared.groupBy("credit_id", "period").agg(*aggregates).filter(F.col("first_due").isNotNull())
+    return prepared.groupBy("credit_id", "period").agg(*aggregates).filter(F.col(first).isNotNull())
 
 
 def _activity_columns(folded: DataFrame, status: Column) -> DataFrame:
@@ -173,16 +181,18 @@ def period_activity(
         return _activity_by_list(events, grain, order_by, statuses)
     known_only = known_only or statuses is not None
     kind = F.col("kind")
+    unlisted = None if known_only else F.lit(_OTHER)
     prepared = (
         events.filter(kind.isin(*USED_KINDS))
         .withColumn("period", period_of(F.col("event_date"), grain))
         .withColumn("amount_cents", cents(F.col("amount")))
-        .withColumn("first_due", F.when(kind == "instalment", _first_due(order_by, None if known_only else F.lit(_OTHER))))
+        .withColumn("first_place", F.when(kind == "instalment", _first_place(order_by, unlisted)))
+        .withColumn("first_due", F.when(kind == "instalment", _first_due(order_by, unlisted)))
     )
     if known_only:
-        return _activity_columns(_folded(prepared), _first_status(None))
+        return _activity_columns(_folded(prepared, "first_place"), _first_status(None))
     other = F.when(F.col("first_due").isNotNull() & _is_other(F.col("due_status")), F.struct("first_due", "due_status"))
-    return _activity_columns(_folded(prepared, F.min(other).alias("other")), _first_status(F.col("other.due_status")))
+    return _activity_columns(_folded(prepared, "first_place", F.min(other).alias("other")), _first_status(F.col("other.due_status")))
 
 
 def period_activity_joined(events: DataFrame, grain: str = "month", order_by: Column | None = None) -> DataFrame:
@@ -197,9 +207,10 @@ def period_activity_joined(events: DataFrame, grain: str = "month", order_by: Co
     other = F.when(_is_other(F.col("due_status")), F.struct("first_due", "due_status"))
     instalments = (
         dated.filter(F.col("kind") == "instalment")
+        .withColumn("first_place", _first_place(order_by, F.lit(_OTHER)))
         .withColumn("first_due", _first_due(order_by, F.lit(_OTHER)))
         .groupBy(*keys)
-        .agg(F.min("first_due").alias("first_due"), F.min_by("amount_cents", "first_due").alias("due_cents"), F.min(other).alias("other"))
+        .agg(F.min("first_place").alias("first_place"), F.min_by("amount_cents", "first_due").alias("due_cents"), F.min(other).alias("other"))
         .select(
             *keys, _first_status(F.col("other.due_status")).alias("due_status"), from_cents(F.col("due_cents")).alias("due_amount")
         )

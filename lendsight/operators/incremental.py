@@ -1,16 +1,16 @@
 """Behavioural features of new periods, continued from a stored state instead of from all history.
 
 The state has one row per credit: where its balance and its late streak stand,
-and what the windows still look back on, the last eleven rows. New rows and the
-state meet in one shuffle on the credit; the windows then run over the new rows
-alone and take what lies before them from the state. Since balances are whole
+and what the windows still look back on, the last eleven rows. New rows and those
+of the state meet in one shuffle on the credit, and the windows run over both.
+Sums over many rows are differences of running totals. Since balances are whole
 hundredths and everything else is counted, the features are those of a run over
 all history, bit by bit.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from lendsight.functions.keys import cents, from_cents
 from lendsight.operators.behaviour import BALANCE_SPANS, FEATURE_TABLE, INCIDENT_SPAN, OVERDRAFT_SPAN
@@ -32,39 +32,42 @@ def no_state(activity: DataFrame) -> DataFrame:
     return activity.sparkSession.createDataFrame([], state_schema(activity.schema["credit_id"].dataType.simpleString()))
 
 
-def _by_credit():
-    return Window.partitionBy("credit_id").orderBy("period")
+def _by_credit() -> WindowSpec:
+    """Rows of the state first, from the oldest, then the new ones."""
+    return Window.partitionBy("credit_id").orderBy("_is_new", "period", "_place")
 
 
-def _to_date():
+def _to_date() -> WindowSpec:
     return _by_credit().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _reach(span: int) -> Column:
-    """The part of the state that a window of ``span`` rows still covers: the rows before the new ones."""
-    return F.slice("_before.recent", F.lit(1), F.greatest(F.lit(span) - F.col("_new_rows"), F.lit(0)).cast("int"))
-
-
-def _past_sum(span: int, field: str, kind: str) -> Column:
-    return F.aggregate(_reach(span), F.lit(0).cast(kind), lambda total, row: (total + F.coalesce(row[field], F.lit(0).cast(kind))).cast(kind))
+def _share(span: int, flag: str) -> Column:
+    """Mean of a flag over the last ``span`` rows where it is known."""
+    frame = _by_credit().rowsBetween(1 - span, Window.currentRow)
+    known = F.count(flag).over(frame)
+    return F.when(known > 0, F.sum(flag).over(frame).cast("double") / known)
 
 
-def _past_count(span: int, field: str) -> Column:
-    return F.aggregate(_reach(span), F.lit(0).cast("bigint"), lambda n, row: n + F.when(row[field].isNotNull(), F.lit(1)).otherwise(F.lit(0)))
+def _mean_balance(span: int) -> Column:
+    """From running totals, a lag of them each: no frame is summed again for every row."""
 
+    def within(total: str) -> Column:
+        return F.col(total) - F.coalesce(F.lag(total, span).over(_by_credit()), F.lit(0))
 
-def _share(span: int, field: str) -> Column:
-    """Mean of a flag over the last ``span`` rows, new and stored, where it is known."""
-    frame = _by_credit().rowsBetween(1 - span, Window.currentRow)
-    hits = F.coalesce(F.sum(f"_{field}").over(frame), F.lit(0)) + _past_sum(span, field, "bigint")
-    known = F.count(f"_{field}").over(frame) + _past_count(span, field)
-    return F.when(known > 0, hits.cast("double") / known)
+    known = within("_known_balances")
+    return F.when(known > 0, within("_total_cents").cast("double") / (known * 100))
 
 
-def _mean_balance(span: int) -> Column:
-    frame = _by_credit().rowsBetween(1 - span, Window.currentRow)
-    total = F.sum("_balance_cents").over(frame) + _past_sum(span, "balance_cents", "decimal(38,0)")
-    return total.cast("double") / ((F.count("_balance_cents").over(frame) + _past_count(span, "balance_cents")) * 100)
+def _past(state: DataFrame) -> DataFrame:
+    """The rows that the state lists; the newest one brings the balance and the streak to go on from."""
+    listed = state.select("*", F.posexplode_outer("recent").alias("_back", "_row"))
+    newest = F.coalesce("_back", F.lit(0)) == 0
+    return listed.select(
+        "credit_id", "period", F.lit(False).alias("_is_new"), (-F.coalesce("_back", F.lit(0))).alias("_place"),
+        F.when(newest, F.col("balance_cents")).cast("decimal(38,0)").alias("_movement"),
+        F.when(newest, F.col("late_streak")).alias("_streak_before"), F.col("period").alias("_state_period"),
+        F.col("_row").isNotNull().alias("_is_listed"), F.col("_row.balance_cents").alias("_listed_cents"), F.col("_row.overdrawn").alias("_overdrawn"), F.col("_row.unpaid").alias("_unpaid"),
+    )
 
 
 def continued(activity: DataFrame, state: DataFrame) -> DataFrame:
@@ -77,48 +80,45 @@ def continued(activity: DataFrame, state: DataFrame) -> DataFrame:
     """
     late = F.coalesce(F.col("due_status") != "on_time", F.lit(False))
     fresh = activity.select(
-        "credit_id", "period", "due_status", F.lit(True).alias("_is_new"), cents(F.col("net_movement")).alias("_movement"),
-        late.alias("_late"), (F.col("overdraft_amount") > 0).cast("int").alias("_overdrawn"),
-        (F.col("due_status") == "unpaid").cast("int").alias("_unpaid"), F.lit(None).cast(_STATE).alias("_state"),
+        "credit_id", "period", "due_status", F.lit(True).alias("_is_new"), F.lit(0).alias("_place"),
+        cents(F.col("net_movement")).alias("_movement"), late.alias("_late"),
+        (F.col("overdraft_amount") > 0).cast("int").alias("_overdrawn"), (F.col("due_status") == "unpaid").cast("int").alias("_unpaid"),
     )
-    stored = state.select(
-        "credit_id", "period", F.struct("period", "balance_cents", "late_streak", "recent").cast(_STATE).alias("_state"),
-        F.lit(False).alias("_is_new"),
-    )
-    before = F.coalesce("_before.period", F.lit("0001-01-01").cast("date"))
-    wrong = F.raise_error(F.concat(F.lit("a row is not after the state of credit "), F.col("credit_id").cast("string"))).cast("date")
-    whole = _by_credit().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counted = fresh.unionByName(stored, allowMissingColumns=True)
-    counted = counted.withColumn("_before", F.first("_state", ignorenulls=True).over(whole))
-    empty = F.struct(
-        F.lit(None).cast("date").alias("period"), F.lit(0).cast("decimal(38,0)").alias("balance_cents"),
-        F.lit(0).cast("bigint").alias("late_streak"), F.array().cast(_RECENT).alias("recent"),
-    )
-    counted = counted.withColumn("_before", F.coalesce("_before", empty.cast(_STATE)))
+    counted = fresh.unionByName(_past(state), allowMissingColumns=True)
     running = counted.withColumns({
         "_new_rows": F.count_if("_is_new").over(_to_date()),
-        "_balance_cents": F.when(F.col("_is_new"), F.col("_before.balance_cents") + F.sum("_movement").over(_to_date())),
+        "_running_cents": F.sum("_movement").over(_to_date()),
+        "_streak_before": F.coalesce(F.max("_streak_before").over(_to_date()), F.lit(0).cast("bigint")),
+        "_state_period": F.max("_state_period").over(_to_date()),
+        "overdraft_ratio_3": _share(OVERDRAFT_SPAN, "_overdrawn"),
+        "incident_freq_6": _share(INCIDENT_SPAN, "_unpaid"),
+        "_is_last": F.lead("_is_new").over(_by_credit()).isNull(),
+        "_is_kept": F.lead("_is_new", KEPT).over(_by_credit()).isNull(),
     })
-    punctual = F.max(F.when(F.col("_is_new") & ~F.col("_late"), F.col("_new_rows"))).over(_to_date())
-    streak = F.when(punctual.isNull(), F.col("_new_rows") + F.col("_before.late_streak")).otherwise(F.col("_new_rows") - punctual)
-    featured = running.withColumns({
+    running = running.withColumn("_balance_cents", F.when(F.col("_is_new"), F.col("_running_cents")).otherwise(F.col("_listed_cents")))
+    totalled = running.withColumns({
+        "_punctual": F.max(F.when(F.col("_is_new") & ~F.col("_late"), F.col("_new_rows"))).over(_to_date()),
+        "_total_cents": F.sum("_balance_cents").over(_to_date()),
+        "_known_balances": F.count("_balance_cents").over(_to_date()),
+    })
+    streak = F.when(F.col("_punctual").isNull(), F.col("_new_rows") + F.col("_streak_before")).otherwise(F.col("_new_rows") - F.col("_punctual"))
+    row = F.struct(F.col("_balance_cents").alias("balance_cents"), F.col("_overdrawn").alias("overdrawn"), F.col("_unpaid").alias("unpaid"))
+    listed = F.col("_is_kept") & (F.col("_is_new") | F.col("_is_listed"))
+    whole = _by_credit().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    featured = totalled.withColumns({
         "late_streak": streak.cast("bigint"),
         "balance": from_cents(F.col("_balance_cents")),
         **{f"balance_avg_{n}": _mean_balance(n) for n in BALANCE_SPANS},
-        "overdraft_ratio_3": _share(OVERDRAFT_SPAN, "overdrawn"),
-        "incident_freq_6": _share(INCIDENT_SPAN, "unpaid"),
-        "_is_last": F.lead("period").over(_by_credit()).isNull(),
-        "_rows": F.collect_list(F.when(F.col("_is_new"), F.struct(
-            F.col("_balance_cents").alias("balance_cents"), F.col("_overdrawn").alias("overdrawn"), F.col("_unpaid").alias("unpaid")
-        ))).over(_by_credit().rowsBetween(1 - KEPT, Window.currentRow)),
+        "_rows": F.collect_list(F.when(listed, row)).over(whole),
     })
     after = F.struct(
-        F.col("period"), F.coalesce("_balance_cents", "_before.balance_cents").alias("balance_cents"), F.col("late_streak"),
-        F.slice(F.concat(F.reverse("_rows"), F.col("_before.recent")), 1, KEPT).alias("recent"),
+        F.col("period"), F.col("_running_cents").alias("balance_cents"), F.col("late_streak"), F.reverse("_rows").alias("recent")
     )
+    before = F.coalesce("_state_period", F.lit("0001-01-01").cast("date"))
+    wrong = F.raise_error(F.concat(F.lit("a row is not after the state of credit "), F.col("credit_id").cast("string"))).cast("date")
     checked = F.when(~F.col("_is_new") | (F.col("period") > before), F.col("period")).otherwise(wrong)
     featured = featured.withColumns({"_after": F.when(F.col("_is_last"), after.cast(_STATE)), "period": checked})
-    return featured.select(*FEATURE_TABLE, "_is_new", "_after")
+    return featured.filter(F.col("_is_new") | F.col("_is_last")).select(*FEATURE_TABLE, "_is_new", "_after")
 
 
 def new_features(rows: DataFrame) -> DataFrame:

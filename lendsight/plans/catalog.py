@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendsight import schemas
 from lendsight.functions import rules
-from lendsight.functions.keys import period_label, split_bucket
+from lendsight.functions.keys import period_from_label, period_label, split_bucket
 from lendsight.jobs import feature_job
 from lendsight.operators import activity, behaviour, curves, labels, model, newton, panel as panels, portfolio, ranking, state, summary
 from lendsight.plans import mapping as m
@@ -222,9 +222,13 @@ CUTS = [(None, "1996-12"), ("1997-01", "1997-01"), ("1997-02", None)]
 def _appended_features(spark, folder):
     """History appended to one table part by part, each part going on from the state stored after the one before."""
     path, states = scratch_path(spark, "features"), scratch_path(spark, "states")
-    events = materialise(m.history_events(spark, folder).withColumn("_month", period_label(F.col("event_date"), "month")), "events")
+    events = materialise(m.history_events(spark, folder), "events")
     for first, last in CUTS:
-        own = events.filter(F.col("_month").between(first or "0000-01", last or "9999-12")).drop("_month")
+        own = events
+        if first:
+            own = own.filter(F.col("event_date") >= period_from_label(F.lit(first)))
+        if last:
+            own = own.filter(F.col("event_date") < F.add_months(period_from_label(F.lit(last)), 1))
         feature_job.append_features(own, path, states, first or "0000-01", last, F.col("event_id"))
     return tables.read_features(spark, path).withColumn("period", period_label(F.col("period"), "month"))
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendsight import schemas
+from lendsight.functions.keys import cents
 from lendsight.jobs import feature_job
 from lendsight.operators import activity, behaviour, incremental
 from lendsight.session import materialise
@@ -180,3 +181,41 @@ def test_stored_state(spark, many, tmp_path):
     stored, month = tables.read_window_state(spark, str(tmp_path / "s"))
     assert month == "2024-06" and same_rows(incremental.new_state(rows), stored)
     assert tables.read_window_state(spark, str(tmp_path / "s"), before="2024-06")[1] is None
+
+
+def test_features_take_no_loop_over_frames(many):
+    """Means come from running totals, the first instalment from a BIGINT: work per row does not grow with the spans."""
+    plan = incremental.continued(many, incremental.no_state(many))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "aggregate(" not in plan
+    frames = [part.split(")")[0] for part in plan.split("specifiedwindowframe(RowFrame, ")[1:]]
+    assert f"-{incremental.BALANCE_SPANS[-1] - 1}, currentrow$()" not in plan and frames
+    events = many.select(
+        F.lit("e").alias("event_id"), F.lit("instalment").alias("kind"), "credit_id", F.col("period").alias("event_date"),
+        F.lit(1.0).alias("amount"), "due_status",
+    )
+    folded = behaviour.behaviour_features(events, "month", F.lit(1), known_only=True)
+    text = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(first_place" in text and "min(first_due" not in text and "min_by(" not in text
+
+
+def test_state_rows_count_as_rows_before_the_new_ones(spark):
+    """A state of one row, one of eleven rows and none, each followed by a single new row."""
+    rows = [(c, _month(m), "unpaid", 1.0, 10.0 * (m + 1), float(m % 2)) for c, n in (("A", 1), ("B", 15), ("C", 0)) for m in range(n)]
+    schema = "credit_id string, period date, due_status string, due_amount double, net_movement double, overdraft_amount double"
+    before, new = spark.createDataFrame(rows, schema), spark.createDataFrame(
+        [(c, _month(20), status, 1.0, -5.0, 2.0) for c, status in (("A", "late"), ("B", None), ("C", "unpaid"))], schema
+    )
+    state = incremental.new_state(materialise(incremental.continued(before, incremental.no_state(before)), "rows"))
+    got = incremental.new_features(incremental.continued(new, state))
+    expected = behaviour.features_from_activity(before.unionAll(new)).filter(F.col("period") == _month(20))
+    assert same_rows(expected, got) and got.count() == 3
+    untouched = incremental.new_state(incremental.continued(new.filter("credit_id = 'C'"), state)).filter("credit_id <> 'C'")
+    assert same_rows(state, untouched)
+
+
+def test_cents_of_any_amount(spark):
+    amounts = [0.0, -0.0, 0.005, 1.005, -2.675, 9999999999999.99, 1e13, -1e13, 1.00000000000001e13, 9e16, -9e16, 1e30, 1e40, float("nan"), None]
+    df = spark.createDataFrame([(a,) for a in amounts], "amount double")
+    old = F.rint(F.col("amount") * 100).try_cast("decimal(38,0)")
+    rows = df.filter("amount IS NULL OR abs(amount) < 1e35").select(cents(F.col("amount")).alias("new"), old.alias("old")).collect()
+    assert all(r.new == r.old for r in rows) and len(rows) >= 13
