@@ -2,6 +2,7 @@
 
 import csv
 import datetime
+import gzip
 import json
 import os
 
@@ -393,3 +394,42 @@ def test_event_files_are_small_and_whole(spark, tmp_path):
     assert written.index("md5(") < written.index("RebalancePartitions") and written.count("RebalancePartitions") == 1
     assert sinks.write_events(together, str(tmp_path / "plain"), by_folder=True) == n
     assert sorted(tables.read_events(spark, str(tmp_path / "plain")).select(*columns).collect(), key=str) == sorted(texts.collect(), key=str)
+
+
+def test_event_files_shuffle_credits_and_pack_well(spark, tmp_path):
+    """Rows are shuffled before the months are expanded; repeated and missing keys give the rows of the plain join."""
+    orders = [(k, k % 7 if k % 11 else None, 900.0 + k * 37.5 if k % 13 else None, "1-URGENT") for k in range(400)]
+    orders += [(3, 3, 50_000.0, "2-HIGH"), (3, 3, 70_000.0, "3-MEDIUM"), (5, 2, 8_000.0, None), (None, 1, 9_000.0, "5-LOW")]
+    customers = [(k, k % 4 if k else None, "A") for k in range(7)] + [(2, 1, "A"), (None, 1, "A")]
+    nations = [(k, f"NATION_{k}", k if k != 1 else 4) for k in range(4)]
+    for name, rows, schema in (
+        ("orders", orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"),
+        ("customer", customers, "c_custkey long, c_nationkey int, c_mktsegment string"),
+        ("nation", nations, "n_nationkey int, n_name string, n_regionkey int"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    plain = mapping.order_events(spark, str(tmp_path))
+    together = mapping.order_events(spark, str(tmp_path), by_folder=True)
+    assert plain.filter("country_code IS NULL").count() > 0 and plain.filter("amount IS NULL").count() > 0
+    assert plain.groupBy("event_id").count().filter("count > 3").count() > 0
+    assert together.columns == plain.columns
+    assert sorted(together.collect(), key=str) == sorted(plain.collect(), key=str)
+    plan = sinks.event_lines(together)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Generate explode") < plan.index("RebalancePartitions") and "Join" not in plan[: plan.rindex("Generate explode")]
+
+    writers, size = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = [spark.conf.get(key) for key in (writers, size)]
+    known = together.filter("amount IS NOT NULL")
+    lines = tmp_path / "lines"
+    assert sinks.write_events(known, str(lines), compression="gzip", by_folder=True, task_size=panel.CREDITS_OF_A_TASK) == known.count()
+    assert [spark.conf.get(key) for key in (writers, size)] == before
+    assert tables.read_events(spark, str(lines)).count() == known.count()
+    # Digests pack better without short matches.
+    files = [file for file in lines.rglob("*.gz") if file.stat().st_size > 2000]
+    assert files
+    for file in files:
+        text = gzip.decompress(file.read_bytes())
+        assert file.stat().st_size < len(gzip.compress(text, 6))
+        if "pays_code=N" in str(file):
+            credits = [json.loads(line)["credit_id"] for line in text.splitlines()]
+            assert credits == sorted(credits, key=int)
